@@ -21,6 +21,7 @@ from ..functions.text import (HEURISTIC_SEPARATORS, NEGATION_WINDOW_CHARS, NEGAT
                               value_pattern)
 
 MIN_VALUE_CHARS = 3
+_WS = [" ", "\t", "\n", "\r", "\x0b", "\x0c"]
 
 
 def compile_dictionary(schema: DataFrame, keys: Sequence[str], min_chars: int = MIN_VALUE_CHARS) -> DataFrame:
@@ -43,30 +44,56 @@ def compile_dictionary(schema: DataFrame, keys: Sequence[str], min_chars: int =
                  F.when(is_density_value("norm"), F.regexp_extract("norm", r"(\d+)", 1))
                   .otherwise(F.col("norm")).alias("probe"),
                  bounded_pattern(value_pattern("norm")).alias("pattern")).alias("e"))
-    return entries.groupBy(*keys).agg(F.array_sort(F.collect_list("e")).alias("dict"))
+    compiled = entries.groupBy(*keys).agg(F.array_sort(F.collect_list("e")).alias("dict"))
+    # Heuristic candidates keep every value (no length minimum, no dedupe);
+    # ``attrs`` is the product's attribute list in schema order.
+    extra = schema.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("attr_ord", (-F.length("value")).alias("neg_len"),
+                                             "value", "attr"))).alias("hvals"),
+        F.array_sort(F.collect_set(F.struct("attr_ord", "attr"))).alias("attrs"))
+    return extra.join(compiled, list(keys), "left").withColumn(
+        "dict", F.coalesce(F.col("dict"), F.array().cast(compiled.schema["dict"].dataType)))
+
+
+def _negation_regex() -> str:
+    """One anchored regex equal to: for some word w, the look-back ends with
+    ' ' + w, equals w, or ends with w without its spaces."""
+    import re
+    alts = []
+    for w in NEGATION_WORDS:
+        if " " in w:
+            alts.append("(?:^| )" + re.escape(w))
+        alts.append(re.escape(w.replace(" ", "")))
+    return "(?:" + "|".join(alts) + ")$"
+
+
+_NEG_RE = _negation_regex()
 
 
 def _negated(text: Column, start0: Column) -> Column:
-    """Intended negation rule: the trimmed, de-punctuated look-back window ends
-    with a negation word."""
+    """Intended negation rule: the trimmed, de-punctuated look-back window of
+    28 characters before the value ends with a negation word."""
     lo = F.greatest(start0 - NEGATION_WINDOW_CHARS, F.lit(0))
     lb = F.lower(F.substring(text, lo + 1, start0 - lo))
     lb = F.trim(F.regexp_replace(lb, r"[^a-z0-9]+", " "))
-    conds = [lb.endswith(" " + w) | (lb == w) | lb.endswith(w.replace(" ", "")) for w in NEGATION_WORDS]
-    return reduce(lambda a, b: a | b, conds)
+    return lb.rlike(_NEG_RE)
+
+
+def _with_start(hits: Column, text: Column) -> Column:
+    """Bind each hit's match position once: ``struct(e, s)``; regexp_instr
+    gives the boundary char's 1-based position = the value's 0-based start."""
+    return F.transform(hits, lambda d: F.struct(d.alias("e"), F.regexp_instr(text, d["pattern"]).alias("s")))
 
 
 def match_hits(text: Column, dictionary: Column, negation_guard: bool = False) -> Column:
     """Array of dictionary entries whose value occurs in ``text`` at a token
     boundary (optionally not in a negated context), in try order."""
-    def test(d):
-        # cheap containment probe first; the regex only runs on real candidates
-        found = (F.instr(text, d["probe"]) > 0) & F.regexp(text, d["pattern"])
-        if negation_guard:
-            # regexp_instr is the boundary char's 1-based position = the value's 0-based start.
-            found = found & ~_negated(text, F.regexp_instr(text, d["pattern"]))
+    # cheap containment probe first; the regex only runs on real candidates
+    found = F.filter(dictionary, lambda d: (F.instr(text, d["probe"]) > 0) & F.regexp(text, d["pattern"]))
+    if not negation_guard:
         return found
-    return F.filter(dictionary, test)
+    kept = F.filter(_with_start(found, text), lambda x: ~_negated(text, x["s"]))
+    return F.transform(kept, lambda x: x["e"])
 
 
 def first_per_attr(hits: Column) -> Column:
@@ -78,27 +105,29 @@ def dictionary_match(goods: DataFrame, dictionaries: DataFrame, keys: Sequence[s
                      text_col: str = "goods_shipped", negation_guard: bool = False) -> DataFrame:
     """One row per (goods row, attribute) that the dictionary resolves:
     ``goods columns + attr, value``."""
-    t = match_text(text_col)
-    joined = goods.join(dictionaries, list(keys), "inner")
-    picked = joined.withColumn("_m", first_per_attr(match_hits(t, F.col("dict"), negation_guard))).drop("dict")
+    joined = goods.join(dictionaries.select(*keys, "dict"), list(keys), "inner").withColumn("_t", match_text(text_col))
+    picked = joined.withColumn("_m", first_per_attr(match_hits(F.col("_t"), F.col("dict"), negation_guard)))
     return (picked.select(*goods.columns, F.explode("_m").alias("_h"))
                   .select(*goods.columns, F.col("_h.attr").alias("attr"), F.col("_h.value").alias("value")))
 
 
 def match_summary(goods: DataFrame, dictionaries: DataFrame, keys: Sequence[str],
                   text_col: str = "goods_shipped", negation_guard: bool = False) -> DataFrame:
-    """Per goods row: number of attributes tried, matched, and blocked by negation."""
-    t = match_text(text_col)
-    j = goods.join(dictionaries, list(keys), "inner")
-    n_attrs = F.size(F.array_distinct(F.transform("dict", lambda d: d["attr"])))
-    plain = first_per_attr(match_hits(t, F.col("dict"), False))
-    guarded = first_per_attr(match_hits(t, F.col("dict"), True)) if negation_guard else plain
-    out = j.select(*goods.columns, n_attrs.alias("attrs_tried"), F.size(guarded).alias("attrs_matched"),
-                   (F.size(F.filter(F.col("dict"), lambda d: (F.instr(t, d["probe"]) > 0) & F.regexp(t, d["pattern"])))
-                    - F.size(F.filter(F.col("dict"), lambda d: (F.instr(t, d["probe"]) > 0) & F.regexp(t, d["pattern"])
-                                      & ~_negated(t, F.regexp_instr(t, d["pattern"]))))
-                    if negation_guard else F.lit(0)).alias("blocked"))
-    return out
+    """Per goods row: attributes tried, matched, and matches rejected by the
+    negation guard before the accepted value (the matcher stops at the first
+    accepted value of each attribute)."""
+    j = goods.join(dictionaries, list(keys), "inner").withColumn("_t", match_text(text_col))
+    t = F.col("_t")
+    found = match_hits(t, F.col("dict"), False)
+    raw = F.transform(_with_start(found, t),
+                      lambda x: F.struct(x["e"]["attr"].alias("attr"),
+                                         (_negated(t, x["s"]) if negation_guard else F.lit(False)).alias("neg")))
+    accepted = F.filter(raw, lambda x: ~x["neg"])
+    n_matched = F.size(F.array_distinct(F.transform(accepted, lambda x: x["attr"])))
+    blocked = F.size(F.filter(raw, lambda x, i: x["neg"] & ~F.exists(
+        F.slice(raw, 1, i), lambda y: (y["attr"] == x["attr"]) & ~y["neg"])))
+    return j.select(*goods.columns, F.size("attrs").alias("attrs_tried"),
+                    n_matched.alias("attrs_matched"), blocked.alias("blocked"))
 
 
 def match_coverage(summary: DataFrame) -> DataFrame:
@@ -129,12 +158,43 @@ def heuristic_candidates(text: Column, values: Column) -> Column:
         pos = F.instr(text, lv)                      # 1-based, 0 = absent
         before = F.substring(text, pos - 1, 1)
         after = F.substring(text, pos + F.length(lv), 1)
-        left_ok = (pos == 1) | before.rlike(r"^\s$")
-        right_ok = ((pos + F.length(lv)) > F.length(text)) | after.rlike(r"^\s$")
+        left_ok = (pos == 1) | before.isin(*_WS)
+        right_ok = ((pos + F.length(lv)) > F.length(text)) | after.isin(*_WS)
         return (F.length(lv) > 0) & (pos > 0) & left_ok & right_ok
     return F.filter(values, ok)
 
 
+def heuristic_pick(htext: Column, hvals: Column, attr: Column) -> Column:
+    """C3 for one attribute on an already ``heuristic_text``-normalised text:
+    the longest (then alphabetical) allowed value whose first occurrence is
+    whitespace-delimited; NULL when none."""
+    own = F.filter(hvals, lambda v: v["attr"] == attr)
+    return F.try_element_at(heuristic_candidates(htext, own), F.lit(1))["value"]
+
+
+def resolve_attributes(goods: DataFrame, dictionaries: DataFrame, keys: Sequence[str],
+                       text_col: str = "goods_shipped", negation_guard: bool = False,
+                       heuristic: bool = True, response: Column | None = None) -> DataFrame:
+    """C5 without a shuffle: every (goods, attribute) of the product resolved
+    as dictionary > ``response`` (a map<attr, value> column, optional) >
+    heuristic > 'None', with a ``source`` column.  Long form output."""
+    j = (goods.join(dictionaries, list(keys), "inner")
+              .withColumn("_t", match_text(text_col)).withColumn("_ht", heuristic_text(text_col)))
+    j = j.withColumn("_m", first_per_attr(match_hits(F.col("_t"), F.col("dict"), negation_guard)))
+
+    def resolve(a):
+        det = F.try_element_at(F.filter("_m", lambda h: h["attr"] == a["attr"]), F.lit(1))["value"]
+        resp = F.lit(None).cast("string") if response is None else F.try_element_at(response, a["attr"])
+        resp = F.when(resp != "None", resp)
+        heur = heuristic_pick(F.col("_ht"), F.col("hvals"), a["attr"]) if heuristic else F.lit(None).cast("string")
+        value = F.coalesce(det, resp, heur, F.lit("None"))
+        source = (F.when(det.isNotNull(), "dictionary").when(resp.isNotNull(), "response")
+                  .when(heur.isNotNull(), "heuristic").otherwise("none"))
+        return F.struct(a["attr"].alias("attr"), value.alias("value"), source.alias("source"))
+    out = j.withColumn("_r", F.explode(F.transform("attrs", resolve)))
+    return out.select(*goods.columns, "_r.attr", "_r.value", "_r.source")
+
+
 def heuristic_fill(rows: DataFrame, schema: DataFrame, keys: Sequence[str],
                    text_col: str = "goods_shipped") -> DataFrame:
     """C3 for attributes still 'None': ``rows`` is long form
@@ -144,9 +204,10 @@ def heuristic_fill(rows: DataFrame, schema: DataFrame, keys: Sequence[str],
                   .agg(F.array_sort(F.collect_list(F.struct((-F.length("value")).alias("neg_len"),
                                                             F.col("value")))).alias("_vals")))
     j = rows.join(vals, [*keys, "attr"], "left")
-    cands = heuristic_candidates(heuristic_text(text_col), F.coalesce(F.col("_vals"), F.array()))
-    pick = F.element_at(cands, 1)["value"]
+    j = j.withColumn("_ht", heuristic_text(text_col))
+    cands = heuristic_candidates(F.col("_ht"), F.coalesce(F.col("_vals"), F.array()))
+    pick = F.try_element_at(cands, F.lit(1))["value"]
     need = F.col("value") == "None"
     return (j.withColumn("filled", need & pick.isNotNull())
              .withColumn("value", F.when(need & pick.isNotNull(), pick).otherwise(F.col("value")))
-             .drop("_vals"))
+             .drop("_vals", "_ht"))

@@ -89,36 +89,62 @@ def batch_numbers(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequ
               .withColumn("n_batches", F.ceil(F.count(F.lit(1)).over(wp) / batch_size).cast("long")))
 
 
-def batch_numbers_ranked(df: DataFrame, partition_cols: Sequence[str], order_col: str, batch_size: int) -> DataFrame:
-    """W1 without a single-task window: a dense global position comes from a
-    range-partitioned sort (``zipWithIndex`` style over sorted partitions is an
-    RDD idiom; here the rank is computed by counting smaller keys per
-    partition group with a sort + cumulative partition offsets)."""
-    # Spark's row_number over a partition clause is the DataFrame idiom; when a
-    # partition key is hot, AQE cannot split a window.  We split the hot group
-    # by a range repartition on (partition, order) and add per-range offsets.
-    keyed = df.repartitionByRange(*partition_cols, order_col)
-    local = keyed.withColumn("_pid", F.spark_partition_id())
-    w_local = Window.partitionBy("_pid", *partition_cols).orderBy(order_col)
-    local = local.withColumn("_lpos", F.row_number().over(w_local) - 1)
-    counts = local.groupBy("_pid", *partition_cols).agg(F.count(F.lit(1)).alias("_cnt"))
-    w_off = Window.partitionBy(*partition_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0))).drop("_cnt")
-    out = local.join(F.broadcast(offsets), ["_pid", *partition_cols])
-    out = out.withColumn("pos", F.col("_off") + F.col("_lpos"))
-    return (out.withColumn("batch", F.floor(F.col("pos") / batch_size).cast("long"))
+def _range_split(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """Range-partition on (group, order) so one hot group spans many tasks;
+    ``_pid`` is the range index (ranges are in key order)."""
+    return df.repartitionByRange(*group_cols, *order_cols).withColumn("_pid", F.spark_partition_id())
+
+
+def _range_offsets(local: DataFrame, group_cols: Sequence[str], measures: dict[str, Column]) -> DataFrame:
+    """Per (range, group): the measures summed over all earlier ranges of the group.
+    The table has one row per (range, group) pair, tiny next to the data."""
+    per = local.groupBy("_pid", *group_cols).agg(*[m.alias(k) for k, m in measures.items()])
+    w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    for k in measures:
+        per = per.withColumn(f"_off_{k}", F.coalesce(F.sum(k).over(w), F.lit(0)).cast("long")).drop(k)
+    return per
+
+
+def positions_by_range(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """0-based ``pos`` of each row within its group in ``order_cols`` order,
+    without sending a whole group to one task: rows are range-partitioned on
+    (group, order), numbered inside each range, and shifted by the row counts
+    of the group's earlier ranges."""
+    ranged = _range_split(df, group_cols, order_cols)
+    w_local = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
+    local = ranged.withColumn("_lpos", F.row_number().over(w_local) - 1)
+    offsets = _range_offsets(local, group_cols, {"n": F.count(F.lit(1))})
+    out = local.join(offsets, ["_pid", *group_cols])
+    return out.withColumn("pos", (F.col("_off_n") + F.col("_lpos")).cast("long")).drop("_pid", "_lpos", "_off_n")
+
+
+def batch_numbers_scaled(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                         batch_size: int) -> DataFrame:
+    """W1 for groups of any size (see ``positions_by_range``)."""
+    pos = positions_by_range(df, group_cols, order_cols)
+    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    return (pos.join(sizes, list(group_cols))
+               .withColumn("batch", F.floor(F.col("pos") / batch_size).cast("long"))
                .withColumn("pos_in_batch", (F.col("pos") % batch_size).cast("int"))
-               .drop("_pid", "_lpos", "_off"))
+               .withColumn("n_batches", F.ceil(F.col("_n") / batch_size).cast("long")).drop("_n"))
+
+
+def running_total(df: DataFrame, order_cols: Sequence[str], value_col: str, out_col: str = "before") -> DataFrame:
+    """Sum of ``value_col`` over all rows strictly before each row in a global
+    order, computed per range partition plus offsets (no single-task window)."""
+    ranged = _range_split(df, [], order_cols)
+    w_local = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_lsum", F.coalesce(F.sum(value_col).over(w_local), F.lit(0)))
+    offsets = _range_offsets(local, [], {"s": F.sum(value_col)})
+    out = local.join(offsets, ["_pid"])
+    return out.withColumn(out_col, (F.col("_off_s") + F.col("_lsum")).cast("long")).drop("_pid", "_lsum", "_off_s")
 
 
 def token_budget(batches: DataFrame, tokens_col: str, order_cols: Sequence[str], budget: int) -> DataFrame:
     """A batch is admitted while the tokens used before it are below the
-    budget.  Runs on the per-batch table (one row per batch, batches hold
-    many rows), so the running sum is over a small table."""
-    w = Window.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    used_before = F.coalesce(F.sum(tokens_col).over(w), F.lit(0))
-    return (batches.withColumn("tokens_before", used_before.cast("long"))
-                   .withColumn("admitted", F.col("tokens_before") < F.lit(budget)))
+    budget (one global order over the per-batch table, via ``running_total``)."""
+    return (running_total(batches, order_cols, tokens_col, "tokens_before")
+            .withColumn("admitted", F.col("tokens_before") < F.lit(budget)))
 
 
 def batch_tokens(rows: DataFrame, batch_keys: Sequence[str], text_col: str,
