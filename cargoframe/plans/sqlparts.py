@@ -85,3 +85,48 @@ def matches_ctes() -> str:
   WHERE regexp_matches(g.t, d.pattern)
 ),
 matches AS (SELECT hs4, product, goods_shipped, n_rows, t, attr, value, pattern FROM hits WHERE rn = 1)"""
+
+
+def resolved_ctes() -> str:
+    """``resolved(hs4, product, goods_shipped, attr, value, source)``: dictionary >
+    heuristic > 'None' for every (description, attribute) — after matches."""
+    return """attrs AS (SELECT DISTINCT hs4, product, attr, attr_ord FROM schema),
+ht AS (SELECT hs4, product, goods_shipped, translate(lower(goods_shipped), '#,;/\\()', '       ') AS h FROM goods),
+cand AS (
+  SELECT ht.hs4, ht.product, ht.goods_shipped, s.attr, s.value,
+         row_number() OVER (PARTITION BY ht.hs4, ht.product, ht.goods_shipped, s.attr
+                            ORDER BY length(s.value) DESC, s.value) AS rn
+  FROM ht JOIN schema s ON ht.hs4 = s.hs4 AND ht.product = s.product
+  WHERE length(s.value) > 0 AND strpos(ht.h, lower(s.value)) > 0
+    AND (strpos(ht.h, lower(s.value)) = 1
+         OR regexp_matches(substr(ht.h, strpos(ht.h, lower(s.value)) - 1, 1), '^\\s$'))
+    AND (strpos(ht.h, lower(s.value)) + length(lower(s.value)) > length(ht.h)
+         OR regexp_matches(substr(ht.h, strpos(ht.h, lower(s.value)) + length(lower(s.value)), 1), '^\\s$'))
+),
+resolved AS (
+  SELECT g.hs4, g.product, g.goods_shipped, a.attr, a.attr_ord,
+         coalesce(m.value, c.value, 'None') AS value,
+         CASE WHEN m.value IS NOT NULL THEN 'dictionary' WHEN c.value IS NOT NULL THEN 'heuristic' ELSE 'none' END AS source
+  FROM goods g JOIN attrs a ON g.hs4 = a.hs4 AND g.product = a.product
+  LEFT JOIN matches m ON m.hs4 = g.hs4 AND m.product = g.product AND m.goods_shipped = g.goods_shipped AND m.attr = a.attr
+  LEFT JOIN cand c ON c.hs4 = g.hs4 AND c.product = g.product AND c.goods_shipped = g.goods_shipped
+                  AND c.attr = a.attr AND c.rn = 1
+)"""
+
+
+def wide_ctes(attrs: list[str]) -> str:
+    """``wide`` per description and ``rows`` per shipment (K1 layout) — after resolved."""
+    cols = ", ".join(f"max(CASE WHEN attr = '{a}' THEN value END) AS attr_{a}" for a in attrs)
+    rcols = ", ".join(f"w.attr_{a}" for a in attrs)
+    return f"""wide AS (SELECT hs4, product, goods_shipped, {cols} FROM resolved GROUP BY hs4, product, goods_shipped),
+rows AS (SELECT c.shipment_id, c.ord, c.hs4, c.category AS product, c.goods_shipped, c.weight_in_kg, {rcols}
+         FROM clean c JOIN wide w ON c.hs4 = w.hs4 AND c.category = w.product AND c.goods_shipped = w.goods_shipped)"""
+
+
+def json_str(x: str) -> str:
+    esc = f"replace(replace(replace(replace(replace({x}, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), chr(13), '\\r'), chr(9), '\\t')"
+    return f"('\"' || {esc} || '\"')"
+
+
+def all_ctes(attrs: list[str]) -> str:
+    return f"{clean_cte()}, {dictionary_ctes()}, {goods_ctes()}, {matches_ctes()}, {resolved_ctes()}, {wide_ctes(attrs)}"
