@@ -38,10 +38,6 @@ def shipments(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataF
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
               "l_extendedprice", "l_quantity")
     part = read(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    df = li.join(part, li.l_partkey == part.p_partkey)
-    sid = F.concat(_pad("l_orderkey", 10), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"),
-                   _pad("l_partkey", 8), F.lit("-"), _pad("l_suppkey", 6))
-    cents = F.lpad(F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"), 12, "0")
     pk = F.col("p_partkey")
     hs = (F.when(pk % 6 == 0, "901").when(pk % 6 == 1, "0901").when(pk % 6 == 2, "090111")
           .when(pk % 6 == 3, "90111").when(pk % 6 == 4, "901110000").otherwise("1006.30"))
@@ -49,12 +45,18 @@ def shipments(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataF
         F.concat(F.lit("  "), F.when(pk % 11 == 0, F.lit("NOT ")).otherwise(F.lit("")),
                  F.upper("p_name"), F.lit(",  "), F.col("p_brand"), F.lit(" ("),
                  F.col("p_size").cast("string"), F.lit("% broken) ")))
+    # Part-only columns are derived on the part side, once per part rather
+    # than once per lineitem row.
+    pd_ = part.select("p_partkey", hs.alias("hs_code"), goods.alias("goods_shipped"), F.col("p_type").alias("category"))
+    df = li.join(pd_, li.l_partkey == pd_.p_partkey)
+    sid = F.concat(_pad("l_orderkey", 10), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"),
+                   _pad("l_partkey", 8), F.lit("-"), _pad("l_suppkey", 6))
+    cents = F.lpad(F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"), 12, "0")
     ln = F.col("l_linenumber")
     multi = (F.when(ln % 4 == 0, "True").when(ln % 4 == 1, "0").when(ln % 4 == 2, "no")
              .otherwise(F.lit(None).cast("string")))
     cols = [sid.alias("shipment_id"), F.concat(sid, F.lit("-"), cents).alias("ord"),
-            hs.alias("hs_code"), goods.alias("goods_shipped"), F.col("p_type").alias("category"),
-            multi.alias("is_multi_product_shipment"),
+            "hs_code", "goods_shipped", "category", multi.alias("is_multi_product_shipment"),
             F.col("l_extendedprice").alias("value_of_goods_usd"), F.col("l_quantity").alias("weight_in_kg")]
     if extended:
         orders = read(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority")
