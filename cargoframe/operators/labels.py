@@ -99,7 +99,8 @@ def _range_offsets(local: DataFrame, group_cols: Sequence[str], measures: dict[s
     """Per (range, group): the measures summed over all earlier ranges of the group.
     The table has one row per (range, group) pair, tiny next to the data."""
     per = local.groupBy("_pid", *group_cols).agg(*[m.alias(k) for k, m in measures.items()])
-    w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    base = Window.partitionBy(*group_cols) if group_cols else Window  # no groups: one row per range
+    w = base.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     for k in measures:
         per = per.withColumn(f"_off_{k}", F.coalesce(F.sum(k).over(w), F.lit(0)).cast("long")).drop(k)
     return per
@@ -122,8 +123,11 @@ def batch_numbers_scaled(df: DataFrame, group_cols: Sequence[str], order_cols: S
                          batch_size: int) -> DataFrame:
     """W1 for groups of any size (see ``positions_by_range``)."""
     pos = positions_by_range(df, group_cols, order_cols)
-    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    return (pos.join(sizes, list(group_cols))
+    if group_cols:
+        pos = pos.join(df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")), list(group_cols))
+    else:
+        pos = pos.withColumn("_n", df.agg(F.count(F.lit(1))).scalar())
+    return (pos
                .withColumn("batch", F.floor(F.col("pos") / batch_size).cast("long"))
                .withColumn("pos_in_batch", (F.col("pos") % batch_size).cast("int"))
                .withColumn("n_batches", F.ceil(F.col("_n") / batch_size).cast("long")).drop("_n"))
