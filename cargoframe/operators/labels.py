@@ -20,10 +20,20 @@ UNCLASSIFIED = "Unclassified"
 def distinct_goods(rows: DataFrame, keys: Sequence[str] = ("goods_shipped",), order_col: str = "ord") -> DataFrame:
     """A1: one row per distinct key with its first-seen order and row count.
     Partial aggregation runs before the shuffle, so a hot description costs one
-    row per map task, not one per shipment."""
+    row per map task, not one per shipment.  Pass a numeric ``order_col``: a
+    string min needs a sort-based aggregate."""
     return rows.groupBy(*keys).agg(F.min(order_col).alias("first_ord"), F.count(F.lit(1)).alias("n_rows"))
 
 
+def first_value(rows: DataFrame, keys: Sequence[str], value_col: str, order_col: str,
+                out_col: str | None = None) -> DataFrame:
+    """Value of the first row (lowest ``order_col``) per key, in two hash-friendly
+    steps: ``min(order)`` per (key, value) shrinks the rows first, then
+    ``min_by`` runs on the reduced table (one row per distinct key/value pair)."""
+    per = rows.groupBy(*keys, value_col).agg(F.min(order_col).alias("_o"))
+    return per.groupBy(*keys).agg(F.min_by(value_col, "_o").alias(out_col or value_col), F.min("_o").alias("first_ord"))
+
+
 def label_fanout(rows: DataFrame, labels: DataFrame, keys: Sequence[str] = ("goods_shipped",),
                  label_col: str = "category", default: str = UNCLASSIFIED) -> DataFrame:
     """Left join the per-description labels back to every row.

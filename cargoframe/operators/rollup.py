@@ -59,8 +59,10 @@ def schema_master(long_df: DataFrame, group_cols: Sequence[str], order_col: str
 
     ``long_df``: ``group_cols + [attr (column name), attr_ord, value, ord]``."""
     v = long_df.withColumn("cv", clean_value("value")).filter(F.col("cv").isNotNull())
-    first = (v.groupBy(*group_cols, "attr", "attr_ord", F.lower(strip_ws("cv")).alias("_k"))
-              .agg(F.min(F.struct(F.col(order_col).alias("o"), F.col("cv").alias("v"))).alias("_f")))
+    # min order per exact value first (hash aggregate), then per folded value
+    per = v.groupBy(*group_cols, "attr", "attr_ord", "cv").agg(F.min(order_col).alias("_o"))
+    first = (per.groupBy(*group_cols, "attr", "attr_ord", F.lower(strip_ws("cv")).alias("_k"))
+                .agg(F.min(F.struct(F.col("_o").alias("o"), F.col("cv").alias("v"))).alias("_f")))
     per_attr = first.groupBy(*group_cols, "attr", "attr_ord").agg(
         F.array_sort(F.collect_list("_f")).alias("_vals"))
     attrs = long_df.select(*group_cols, "attr", "attr_ord").distinct()

@@ -36,7 +36,7 @@ def _pad(col: str, n: int) -> F.Column:
 
 def shipments(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataFrame:
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-              "l_extendedprice", "l_quantity")
+              "l_extendedprice", "l_quantity", spread_key="l_orderkey")
     part = read(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
     pk = F.col("p_partkey")
     hs = (F.when(pk % 6 == 0, "901").when(pk % 6 == 1, "0901").when(pk % 6 == 2, "090111")
@@ -55,7 +55,8 @@ def shipments(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataF
     ln = F.col("l_linenumber")
     multi = (F.when(ln % 4 == 0, "True").when(ln % 4 == 1, "0").when(ln % 4 == 2, "no")
              .otherwise(F.lit(None).cast("string")))
-    cols = [sid.alias("shipment_id"), F.concat(sid, F.lit("-"), cents).alias("ord"),
+    ord_ = F.concat(sid, F.lit("-"), cents)
+    cols = [sid.alias("shipment_id"), ord_.alias("ord"), ord_key(ord_).alias("ord_key"),
             "hs_code", "goods_shipped", "category", multi.alias("is_multi_product_shipment"),
             F.col("l_extendedprice").alias("value_of_goods_usd"), F.col("l_quantity").alias("weight_in_kg")]
     if extended:
@@ -69,6 +70,20 @@ def shipments(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataF
     return df.select(*cols)
 
 
+def ord_key(ord_text: F.Column) -> F.Column:
+    """Numeric twin of ``ord``: its 37 digits as DECIMAL(38,0).  Every field of
+    ``ord`` has a fixed width, so both sort the same; aggregates over the
+    number stay hash aggregates (a string min/max forces a sort-based one)."""
+    return F.translate(ord_text, "-", "").cast("decimal(38,0)")
+
+
+def ord_text(key: F.Column) -> F.Column:
+    """``ord`` text back from ``ord_key``."""
+    s = F.lpad(key.cast("string"), 37, "0")
+    return F.concat_ws("-", F.substring(s, 1, 10), F.substring(s, 11, 1), F.substring(s, 12, 8),
+                       F.substring(s, 20, 6), F.substring(s, 26, 12))
+
+
 def attribute_values(spark: SparkSession) -> DataFrame:
     """The fixture dictionary as a config table ``(attr, attr_ord, value, value_ord)``."""
     rows = [(a, i, v, j) for i, (a, vals) in enumerate(ATTRIBUTE_VALUES) for j, v in enumerate(vals)]

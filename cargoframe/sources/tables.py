@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table_path
@@ -9,8 +11,28 @@ from ..session import table_path
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
+# Inputs at least this large are spread over the cores when the file layout
+# gives fewer scan splits than cores (e.g. one row group per file); on a
+# cluster the splits already outnumber the cores and nothing changes.
+SPREAD_MIN_BYTES = 8 * 1024 * 1024
+
+
+def read(spark: SparkSession, sf_dir: str, name: str, *cols: str, spread_key: str | None = None) -> DataFrame:
+    """Parquet scan; passing ``cols`` makes the pruning explicit in ``ReadSchema``.
 
-def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Parquet scan; passing ``cols`` makes the pruning explicit in ``ReadSchema``."""
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*cols) if cols else df
+    ``spread_key``: hash-partition on this column when the scan would run in
+    fewer tasks than there are cores (hash, not round-robin, so a retried task
+    sees the same rows)."""
+    path = table_path(sf_dir, name)
+    df = spark.read.parquet(path)
+    if cols:
+        df = df.select(*cols)
+    if spread_key is not None:
+        par = spark.sparkContext.defaultParallelism
+        try:
+            big = os.path.getsize(path) >= SPREAD_MIN_BYTES
+        except OSError:  # remote storage: rely on the split count alone
+            big = True
+        if big and df.rdd.getNumPartitions() < par:
+            df = df.repartition(par, spread_key)
+    return df
