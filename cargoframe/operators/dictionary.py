@@ -174,10 +174,13 @@ def heuristic_pick(htext: Column, hvals: Column, attr: Column) -> Column:
 
 def resolve_attributes(goods: DataFrame, dictionaries: DataFrame, keys: Sequence[str],
                        text_col: str = "goods_shipped", negation_guard: bool = False,
-                       heuristic: bool = True, response: Column | None = None) -> DataFrame:
+                       heuristic: bool = True, response: Column | None = None,
+                       wide: Sequence[str] | None = None) -> DataFrame:
     """C5 without a shuffle: every (goods, attribute) of the product resolved
     as dictionary > ``response`` (a map<attr, value> column, optional) >
-    heuristic > 'None', with a ``source`` column.  Long form output."""
+    heuristic > 'None', with a ``source`` column.  Long form output, or with
+    ``wide`` one ``attr_<Name>`` column per listed attribute (K1 layout built
+    in the row, no pivot shuffle)."""
     j = (goods.join(dictionaries, list(keys), "inner")
               .withColumn("_t", match_text(text_col)).withColumn("_ht", heuristic_text(text_col)))
     j = j.withColumn("_m", first_per_attr(match_hits(F.col("_t"), F.col("dict"), negation_guard)))
@@ -191,6 +194,12 @@ def resolve_attributes(goods: DataFrame, dictionaries: DataFrame, keys: Sequence
         source = (F.when(det.isNotNull(), "dictionary").when(resp.isNotNull(), "response")
                   .when(heur.isNotNull(), "heuristic").otherwise("none"))
         return F.struct(a["attr"].alias("attr"), value.alias("value"), source.alias("source"))
+    if wide is not None:
+        r = j.withColumn("_all", F.transform("attrs", resolve))
+        def is_attr(name):
+            return lambda x: x["attr"] == name
+        return r.select(*goods.columns, *[
+            F.try_element_at(F.filter("_all", is_attr(a)), F.lit(1))["value"].alias("attr_" + a) for a in wide])
     out = j.withColumn("_r", F.explode(F.transform("attrs", resolve)))
     return out.select(*goods.columns, "_r.attr", "_r.value", "_r.source")
 

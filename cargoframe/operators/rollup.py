@@ -58,18 +58,16 @@ def schema_master(long_df: DataFrame, group_cols: Sequence[str], order_col: str
     attributes in column order.
 
     ``long_df``: ``group_cols + [attr (column name), attr_ord, value, ord]``."""
-    v = long_df.withColumn("cv", clean_value("value")).filter(F.col("cv").isNotNull())
-    # min order per exact value first (hash aggregate), then per folded value
+    v = long_df.withColumn("cv", clean_value("value"))
+    # min order per exact value first (hash aggregate; a NULL cv keeps the
+    # column present even when it has no usable value), then per folded value
     per = v.groupBy(*group_cols, "attr", "attr_ord", "cv").agg(F.min(order_col).alias("_o"))
     first = (per.groupBy(*group_cols, "attr", "attr_ord", F.lower(strip_ws("cv")).alias("_k"))
                 .agg(F.min(F.struct(F.col("_o").alias("o"), F.col("cv").alias("v"))).alias("_f")))
     per_attr = first.groupBy(*group_cols, "attr", "attr_ord").agg(
-        F.array_sort(F.collect_list("_f")).alias("_vals"))
-    attrs = long_df.select(*group_cols, "attr", "attr_ord").distinct()
-    per_attr = attrs.join(per_attr, [*group_cols, "attr", "attr_ord"], "left")
+        F.array_sort(F.collect_list(F.when(F.col("_k").isNotNull(), F.col("_f")))).alias("_vals"))
     entry = F.struct(F.col("attr_ord").alias("o"), attr_to_snake(F.concat(F.lit(ATTR_PREFIX), F.col("attr"))).alias("k"),
-                     json_text_array(F.transform(F.coalesce("_vals", F.array().cast("array<struct<o:string,v:string>>")),
-                                                 lambda x: x["v"])).alias("v"))
+                     json_text_array(F.transform("_vals", lambda x: x["v"])).alias("v"))
     return per_attr.groupBy(*group_cols).agg(
         json_text_object(F.array_sort(F.collect_list(entry))).alias("schema_json"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..sources.fixtures import attribute_values_sql, shipments_sql
+from ..sources.fixtures import HS_CODE_SQL, attribute_values_sql, shipments_sql
 
 
 def strip(x: str) -> str:
@@ -54,7 +54,7 @@ def dictionary_ctes() -> str:
     return f"""attrvals AS ({attribute_values_sql()}),
 schema AS (
   SELECT p.hs4, p.product, a.attr, a.attr_ord, a.value, a.value_ord
-  FROM (SELECT DISTINCT hs4, category AS product FROM clean) p, attrvals a
+  FROM (SELECT DISTINCT {hs4(strip(HS_CODE_SQL))} AS hs4, p_type AS product FROM part) p, attrvals a
 ),
 dict0 AS (
   SELECT *, lower({collapse('value')}) AS norm FROM schema WHERE length({strip('value')}) >= 3

@@ -39,8 +39,7 @@ def shipments(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataF
               "l_extendedprice", "l_quantity", spread_key="l_orderkey")
     part = read(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
     pk = F.col("p_partkey")
-    hs = (F.when(pk % 6 == 0, "901").when(pk % 6 == 1, "0901").when(pk % 6 == 2, "090111")
-          .when(pk % 6 == 3, "90111").when(pk % 6 == 4, "901110000").otherwise("1006.30"))
+    hs = _hs_code(pk)
     goods = F.when(pk % 97 == 0, F.lit("   ")).otherwise(
         F.concat(F.lit("  "), F.when(pk % 11 == 0, F.lit("NOT ")).otherwise(F.lit("")),
                  F.upper("p_name"), F.lit(",  "), F.col("p_brand"), F.lit(" ("),
@@ -90,15 +89,29 @@ def attribute_values(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "attr string, attr_ord int, value string, value_ord int")
 
 
-def product_schema(spark: SparkSession, clean: DataFrame) -> DataFrame:
+def _hs_code(pk: F.Column) -> F.Column:
+    return (F.when(pk % 6 == 0, "901").when(pk % 6 == 1, "0901").when(pk % 6 == 2, "090111")
+            .when(pk % 6 == 3, "90111").when(pk % 6 == 4, "901110000").otherwise("1006.30"))
+
+
+def product_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product catalog ``(hs4, product)``: every (HS-4, type) pair the part
+    table defines.  Read from the part dimension, not from the shipments, so
+    building the dictionary never rescans the fact table."""
+    from ..functions.text import hs4_from_digits, strip_ws
+    part = read(spark, sf_dir, "part", "p_partkey", "p_type")
+    return part.select(hs4_from_digits(strip_ws(_hs_code(F.col("p_partkey")))).alias("hs4"),
+                       F.col("p_type").alias("product")).distinct()
+
+
+def product_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed schema ``(hs4, product, attr, attr_ord, value, value_ord)``: every
-    product present in the data gets the fixture dictionary.  The value list is
-    exploded per product (a generator, not a cross join)."""
+    catalog product gets the fixture dictionary.  The value list is exploded
+    per product (a generator, not a cross join)."""
     entries = F.array(*[F.struct(F.lit(a).alias("attr"), F.lit(i).alias("attr_ord"),
                                  F.lit(v).alias("value"), F.lit(j).alias("value_ord"))
                         for i, (a, vals) in enumerate(ATTRIBUTE_VALUES) for j, v in enumerate(vals)])
-    return (clean.select("hs4", F.col("category").alias("product")).distinct()
-            .select("hs4", "product", F.explode(entries).alias("e"))
+    return (product_keys(spark, sf_dir).select("hs4", "product", F.explode(entries).alias("e"))
             .select("hs4", "product", "e.attr", "e.attr_ord", "e.value", "e.value_ord"))
 
 
@@ -109,11 +122,14 @@ _SID = ("concat(lpad(CAST(l_orderkey AS VARCHAR),10,'0'),'-',CAST(l_linenumber A
         "lpad(CAST(l_partkey AS VARCHAR),8,'0'),'-',lpad(CAST(l_suppkey AS VARCHAR),6,'0'))")
 
 
+HS_CODE_SQL = ("CASE p_partkey % 6 WHEN 0 THEN '901' WHEN 1 THEN '0901' WHEN 2 THEN '090111' "
+               "WHEN 3 THEN '90111' WHEN 4 THEN '901110000' ELSE '1006.30' END")
+
+
 def shipments_sql(extended: bool = False) -> str:
     cols = f"""{_SID} AS shipment_id,
        concat({_SID},'-',lpad(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR),12,'0')) AS ord,
-       CASE p_partkey % 6 WHEN 0 THEN '901' WHEN 1 THEN '0901' WHEN 2 THEN '090111'
-            WHEN 3 THEN '90111' WHEN 4 THEN '901110000' ELSE '1006.30' END AS hs_code,
+       {HS_CODE_SQL} AS hs_code,
        CASE WHEN p_partkey % 97 = 0 THEN '   '
             ELSE concat('  ', CASE WHEN p_partkey % 11 = 0 THEN 'NOT ' ELSE '' END, upper(p_name), ',  ',
                         p_brand, ' (', CAST(p_size AS VARCHAR), '% broken) ') END AS goods_shipped,
