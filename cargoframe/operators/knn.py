@@ -224,3 +224,15 @@ def write_back(results: DataFrame, min_score: float, id_cols: Sequence[str]) ->
     results; one record per non-'None' value."""
     keep = ((F.col("method") == "vector") & (F.col("score") >= min_score)) | (F.col("method") == "llm")
     return results.filter(keep & (F.col("value") != "None")).withColumn("id", full_id(*id_cols))
+
+
+def embed_with(df: DataFrame, text_col: str, fn, out_col: str = "embedding") -> DataFrame:
+    """A user embedding model applied in the executors on Arrow batches
+    (``fn(list[str]) -> list[list[float]]``); the model is loaded once per
+    Python worker by the caller's ``fn``."""
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("array<double>")
+    def _embed(texts: pd.Series) -> pd.Series:
+        return pd.Series([list(map(float, v)) for v in fn(texts.tolist())])
+    return df.withColumn(out_col, _embed(F.col(text_col)))

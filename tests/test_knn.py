@@ -31,3 +31,12 @@ def test_kb_upsert_idempotent(spark):
     twice = K.kb_upsert(once, upd)
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) == \
         [("a", "x", 0), ("b", "z", 1), ("c", "w", 1)]
+
+
+def test_embed_with_user_model(spark):
+    df = spark.createDataFrame([("ab",), ("ba",), ("zz",)], "t string")
+
+    def model(texts):  # character counts over a tiny alphabet
+        return [[t.count(c) for c in "abz"] for t in texts]
+    out = {r.t: r.embedding for r in K.embed_with(df, "t", model).collect()}
+    assert out == {"ab": [1.0, 1.0, 0.0], "ba": [1.0, 1.0, 0.0], "zz": [0.0, 0.0, 2.0]}
