@@ -220,3 +220,24 @@ def heuristic_fill(rows: DataFrame, schema: DataFrame, keys: Sequence[str],
     return (j.withColumn("filled", need & pick.isNotNull())
              .withColumn("value", F.when(need & pick.isNotNull(), pick).otherwise(F.col("value")))
              .drop("_vals", "_ht"))
+
+
+def resolve_maps(goods: DataFrame, dictionaries: DataFrame, keys: Sequence[str],
+                 text_col: str = "goods_shipped") -> DataFrame:
+    """One in-row pass per description giving ``attrs`` (the product's
+    attributes), ``det`` (dictionary values), ``guard`` (dictionary values
+    with the negation guard), ``heur`` (heuristic values for attributes the
+    dictionary left open) as maps, and ``n_open``."""
+    j = (goods.join(dictionaries, list(keys), "inner")
+              .withColumn("_t", match_text(text_col)).withColumn("_ht", heuristic_text(text_col)))
+    j = (j.withColumn("_p", first_per_attr(match_hits(F.col("_t"), F.col("dict"), False)))
+          .withColumn("_g", first_per_attr(match_hits(F.col("_t"), F.col("dict"), True))))
+
+    def as_map(hits):
+        return F.map_from_entries(F.transform(hits, lambda h: F.struct(h["attr"], h["value"])))
+    j = j.withColumn("det", as_map(F.col("_p"))).withColumn("guard", as_map(F.col("_g")))
+    open_attrs = F.filter("attrs", lambda a: ~F.array_contains(F.map_keys("det"), a["attr"]))
+    heur = F.map_from_entries(F.transform(open_attrs, lambda a: F.struct(
+        a["attr"], heuristic_pick(F.col("_ht"), F.col("hvals"), a["attr"]))))
+    return j.select(*goods.columns, F.transform("attrs", lambda a: a["attr"]).alias("attr_names"),
+                    "det", "guard", heur.alias("heur"), (F.size("attrs") - F.size("_p")).alias("n_open"))

@@ -77,21 +77,32 @@ def shipment_attributes(long_df: DataFrame, id_col: str = "shipment_id", order_c
     """A10 + K5: per shipment, attributes merged over files: the key is
     ``snake_case_combined(attr)``; the later (file, row, column) wins; the key
     keeps its first position; blanks and nan/none/null are skipped.  Product
-    is the last non-empty one.  ``long_df``: ``id, product, attr, attr_ord, value`` + order cols."""
-    pos = F.struct(*[F.col(c) for c in order_cols], F.col("attr_ord"))
+    is the last non-empty one.  ``long_df``: ``id, product, attr, attr_ord, value`` + order cols.
+
+    One window per (shipment, key) gives both the first position and the
+    last value in a single shuffle and sort (a struct-ordered min/max would
+    be a sort-based aggregate on both sides of the shuffle)."""
+    from pyspark.sql import Window
+    order = [F.col(c) for c in order_cols] + [F.col("attr_ord")]
     v = (long_df.withColumn(id_col, strip_ws(id_col)).filter(F.col(id_col) != "")
                 .withColumn("_k", snake_case_combined("attr")).filter(F.col("_k") != "")
                 .withColumn("_v", strip_ws("value"))
                 .filter(F.col("_v").isNotNull() & ~F.lower("_v").isin(ROLLUP_MISSING_VALUES)))
-    per_key = v.groupBy(id_col, "_k").agg(F.min(pos).alias("_first"), F.max_by("_v", pos).alias("_last"))
-    attrs = per_key.groupBy(id_col).agg(json_text_object(F.array_sort(F.collect_list(
-        F.struct(F.col("_first").alias("o"), F.col("_k").alias("k"), json_string("_last").alias("v"))))).alias("attrs_json"))
-    rowpos = F.struct(*[F.col(c) for c in order_cols])
-    prod = (long_df.withColumn(id_col, strip_ws(id_col)).filter(F.col(id_col) != "")
-                   .select(id_col, rowpos.alias("_p"), strip_ws(product_col).alias("_prod"))
-                   .groupBy(id_col).agg(F.max_by(F.when(F.col("_prod") != "", F.col("_prod")),
-                                                 F.when(F.col("_prod") != "", F.col("_p"))).alias(product_col)))
-    out = prod.join(attrs, id_col, "left")
+    w = Window.partitionBy(id_col, "_k").orderBy(*order)
+    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    per_key = (v.withColumn("_rf", F.row_number().over(w)).withColumn("_last", F.last("_v").over(w_all))
+                .filter(F.col("_rf") == 1))
+    first_pos = F.struct(*[F.col(c) for c in order_cols], F.col("attr_ord"))
+    attrs = per_key.groupBy(id_col).agg(json_text_object(F.transform(F.array_sort(F.collect_list(
+        F.struct(first_pos.alias("o"), F.col("_k").alias("k"), json_string("_last").alias("v")))),
+        lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v")))).alias("attrs_json"))
+    rows = long_df.withColumn(id_col, strip_ws(id_col)).filter(F.col(id_col) != "") \
+                  .select(id_col, *order_cols, strip_ws(product_col).alias("_prod"))
+    ids = rows.select(id_col).distinct()
+    wp = Window.partitionBy(id_col).orderBy(*[F.col(c).desc() for c in order_cols])
+    prod = (rows.filter(F.col("_prod") != "").withColumn("_rp", F.row_number().over(wp))
+                .filter(F.col("_rp") == 1).select(id_col, F.col("_prod").alias(product_col)))
+    out = ids.join(prod, id_col, "left").join(attrs, id_col, "left")
     return out.select(id_col, F.coalesce(product_col, F.lit("")).alias(product_col),
                       F.coalesce("attrs_json", F.lit("{}")).alias("attrs_json"))
 

@@ -108,9 +108,12 @@ def product_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed schema ``(hs4, product, attr, attr_ord, value, value_ord)``: every
     catalog product gets the fixture dictionary.  The value list is exploded
     per product (a generator, not a cross join)."""
-    entries = F.array(*[F.struct(F.lit(a).alias("attr"), F.lit(i).alias("attr_ord"),
-                                 F.lit(v).alias("value"), F.lit(j).alias("value_ord"))
-                        for i, (a, vals) in enumerate(ATTRIBUTE_VALUES) for j, v in enumerate(vals)])
+    import json
+    # one JSON literal, constant-folded by the optimizer (a small expression
+    # tree, unlike an array of literal structs)
+    doc = json.dumps([{"attr": a, "attr_ord": i, "value": v, "value_ord": j}
+                      for i, (a, vals) in enumerate(ATTRIBUTE_VALUES) for j, v in enumerate(vals)])
+    entries = F.from_json(F.lit(doc), "array<struct<attr:string,attr_ord:int,value:string,value_ord:int>>")
     return (product_keys(spark, sf_dir).select("hs4", "product", F.explode(entries).alias("e"))
             .select("hs4", "product", "e.attr", "e.attr_ord", "e.value", "e.value_ord"))
 
