@@ -73,7 +73,7 @@ def schema_master(long_df: DataFrame, group_cols: Sequence[str], order_col: str
 
 
 def shipment_attributes(long_df: DataFrame, id_col: str = "shipment_id", order_cols: Sequence[str] = ("file_ord", "ord"),
-                        product_col: str = "product") -> DataFrame:
+                        product_col: str = "product", rows: DataFrame | None = None) -> DataFrame:
     """A10 + K5: per shipment, attributes merged over files: the key is
     ``snake_case_combined(attr)``; the later (file, row, column) wins; the key
     keeps its first position; blanks and nan/none/null are skipped.  Product
@@ -96,13 +96,16 @@ def shipment_attributes(long_df: DataFrame, id_col: str = "shipment_id", order_c
     attrs = per_key.groupBy(id_col).agg(json_text_object(F.transform(F.array_sort(F.collect_list(
         F.struct(first_pos.alias("o"), F.col("_k").alias("k"), json_string("_last").alias("v")))),
         lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v")))).alias("attrs_json"))
-    rows = long_df.withColumn(id_col, strip_ws(id_col)).filter(F.col(id_col) != "") \
-                  .select(id_col, *order_cols, strip_ws(product_col).alias("_prod"))
-    ids = rows.select(id_col).distinct()
-    wp = Window.partitionBy(id_col).orderBy(*[F.col(c).desc() for c in order_cols])
-    prod = (rows.filter(F.col("_prod") != "").withColumn("_rp", F.row_number().over(wp))
-                .filter(F.col("_rp") == 1).select(id_col, F.col("_prod").alias(product_col)))
-    out = ids.join(prod, id_col, "left").join(attrs, id_col, "left")
+    # products: one row per source row (``rows`` when given, else derived);
+    # one window per id picks the last non-empty product and keeps ids without one
+    src = rows if rows is not None else long_df.select(id_col, product_col, *order_cols).distinct()
+    r = (src.withColumn(id_col, strip_ws(id_col)).filter(F.col(id_col) != "")
+            .withColumn("_prod", strip_ws(product_col)))
+    has = F.coalesce(F.col("_prod") != "", F.lit(False))
+    wp = Window.partitionBy(id_col).orderBy(has.desc(), *[F.col(c).desc() for c in order_cols])
+    prod = (r.withColumn("_rp", F.row_number().over(wp)).filter(F.col("_rp") == 1)
+             .select(id_col, F.when(has, F.col("_prod")).alias(product_col)))
+    out = prod.join(attrs, id_col, "left")
     return out.select(id_col, F.coalesce(product_col, F.lit("")).alias(product_col),
                       F.coalesce("attrs_json", F.lit("{}")).alias("attrs_json"))
 
