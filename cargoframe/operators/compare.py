@@ -84,3 +84,9 @@ def pattern_profile(df: DataFrame, text_col: str, id_col: str, patterns: dict[st
                    .groupBy("name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(id_col)),
                                                                  lambda x: x.cast("string")), "|").alias("sample_ids")))
     return counts.join(samples, "name")
+
+
+def report_rows(df: DataFrame, section: str) -> DataFrame:
+    """A report section as JSON lines (``section``, ``json``), one per
+    result row; write with ``sources.files.write_json_lines``."""
+    return df.select(F.lit(section).alias("section"), F.to_json(F.struct(*df.columns)).alias("json"))

@@ -54,3 +54,8 @@ def test_token_budget(spark):
     b = spark.createDataFrame([(i, 100) for i in range(5)], "batch long, tokens long")
     got = sorted((r.batch, r.admitted) for r in L.token_budget(b, "tokens", ["batch"], 250).collect())
     assert got == [(0, True), (1, True), (2, True), (3, False), (4, False)]
+
+
+def test_union_ids_keeps_first_appearance(spark):
+    df = spark.createDataFrame([(["a", "b"], ["b", "c"]), (None, ["x"])], "a array<string>, b array<string>")
+    assert [r[0] for r in df.select(L.union_ids(F.col("a"), F.col("b"))).collect()] == [["a", "b", "c"], ["x"]]
