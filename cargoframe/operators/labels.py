@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import token_estimate
+from ..session import cut_lineage
 
 UNCLASSIFIED = "Unclassified"
 
@@ -123,7 +124,10 @@ def positions_by_range(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     of the group's earlier ranges."""
     ranged = _range_split(df, group_cols, order_cols)
     w_local = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
-    local = ranged.withColumn("_lpos", F.row_number().over(w_local) - 1)
+    # Materialised once (reliable checkpoint): the numbering and the per-range
+    # counts must see the same range bounds; two independently planned range
+    # exchanges would sample different bounds on large inputs.
+    local = cut_lineage(ranged.withColumn("_lpos", F.row_number().over(w_local) - 1))
     offsets = _range_offsets(local, group_cols, {"n": F.count(F.lit(1))})
     out = local.join(offsets, ["_pid", *group_cols])
     return out.withColumn("pos", (F.col("_off_n") + F.col("_lpos")).cast("long")).drop("_pid", "_lpos", "_off_n")
@@ -148,7 +152,8 @@ def running_total(df: DataFrame, order_cols: Sequence[str], value_col: str, out_
     order, computed per range partition plus offsets (no single-task window)."""
     ranged = _range_split(df, [], order_cols)
     w_local = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_lsum", F.coalesce(F.sum(value_col).over(w_local), F.lit(0)))
+    # one materialisation so the local sums and the range totals share bounds
+    local = cut_lineage(ranged.withColumn("_lsum", F.coalesce(F.sum(value_col).over(w_local), F.lit(0))))
     offsets = _range_offsets(local, [], {"s": F.sum(value_col)})
     out = local.join(offsets, ["_pid"])
     return out.withColumn(out_col, (F.col("_off_s") + F.col("_lsum")).cast("long")).drop("_pid", "_lsum", "_off_s")
