@@ -43,6 +43,8 @@ def block_vectors(df: DataFrame, ns_cols: Sequence[str], id_col: str, vec_col: s
 
 
 def _topk_pairs(k: int):
+    """Per block pair: scores by one matmul, then a row-wise lexsort (score
+    descending, KB id ascending) keeps the exact top-k per query."""
     def run(batches):
         for pdf in batches:
             out_q, out_k, out_s = [], [], []
@@ -54,30 +56,28 @@ def _topk_pairs(k: int):
                 kid = np.asarray(ki, dtype=np.int64)
                 scores = qm @ km.T
                 kk = min(k, km.shape[0])
-                for r, q in enumerate(qi):
-                    row = scores[r]
-                    if kk < row.shape[0]:
-                        cand = np.argpartition(-row, kk - 1)[:kk]
-                        # keep every candidate tied with the k-th score so the
-                        # id tie-break below stays exact
-                        cut = row[cand].min()
-                        cand = np.nonzero(row >= cut)[0]
-                    else:
-                        cand = np.arange(row.shape[0])
-                    order = np.lexsort((kid[cand], -row[cand]))[:kk]
-                    sel = cand[order]
-                    out_q.extend([q] * len(sel))
-                    out_k.extend(kid[sel].tolist())
-                    out_s.extend(row[sel].tolist())
-            yield pd.DataFrame({"q_id": pd.Series(out_q, dtype="int64"), "k_id": pd.Series(out_k, dtype="int64"),
-                                "score": pd.Series(out_s, dtype="float64")})
+                order = np.lexsort((np.broadcast_to(kid, scores.shape), -scores), axis=-1)[:, :kk]
+                out_q.append(np.repeat(np.asarray(qi, dtype=np.int64), kk))
+                out_k.append(kid[order].ravel())
+                out_s.append(np.take_along_axis(scores, order, axis=1).ravel())
+            if out_q:
+                yield pd.DataFrame({"q_id": np.concatenate(out_q), "k_id": np.concatenate(out_k),
+                                    "score": np.concatenate(out_s)})
+            else:
+                yield pd.DataFrame({"q_id": pd.Series([], dtype="int64"), "k_id": pd.Series([], dtype="int64"),
+                                    "score": pd.Series([], dtype="float64")})
     return run
 
 
 def knn(queries: DataFrame, kb: DataFrame, ns_cols: Sequence[str], q_id: str, k_id: str,
         vec_col: str = "embedding", k: int = 10, block_size: int = 1024) -> DataFrame:
     """Exact top-k KB neighbours by cosine per query within its namespace:
-    ``ns_cols…, q_id, k_id, score, rank`` (rank 1 = best; ties by KB id)."""
+    ``ns_cols…, q_id, k_id, score, rank`` (rank 1 = best; ties by KB id).
+
+    A block-pair row holds about ``2 * block_size * dim * 8`` bytes; Arrow
+    batches into the Python worker are capped by
+    ``spark.sql.execution.arrow.maxBytesPerBatch`` (set by ``get_spark``), so
+    choose ``block_size`` near 1024 for 64-d vectors and ~256 for 1024-d."""
     qb = block_vectors(queries, ns_cols, q_id, vec_col, block_size) \
         .select(*ns_cols, F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"))
     kbb = block_vectors(kb, ns_cols, k_id, vec_col, block_size) \
