@@ -82,17 +82,28 @@ def aggregate_updates(updates: DataFrame, id_col: str = "shipment_id", order_col
     """Per id the first usable product (not blank, not 'none') and the
     attributes merged in row order (later value wins, key keeps its first
     place); ids with neither are dropped.  ``updates``: ``id, product,
-    attrs_json, ord``.  Output: ``id, product, upd`` (array<struct<k,v>>)."""
+    attrs_json, ord``.  Output: ``id, product, upd`` (array<struct<k,v>>).
+
+    ``order_col`` should be numeric: the first product is found in two hash
+    aggregate steps and the per-key first/last in one window, so no
+    sort-based aggregate runs on the raw updates."""
+    from pyspark.sql import Window
     u = updates.withColumn(id_col, strip_ws(id_col)).filter(F.col(id_col).isNotNull() & (F.col(id_col) != ""))
     prod = strip_ws(F.coalesce("product", F.lit("")))
     ok = F.when((prod != "") & (F.lower(prod) != "none"), prod)
-    prods = u.groupBy(id_col).agg(F.min_by(ok, F.when(ok.isNotNull(), F.col(order_col))).alias("product"))
+    firsts = u.select(id_col, ok.alias("_ok"), order_col).filter(F.col("_ok").isNotNull()) \
+              .groupBy(id_col, "_ok").agg(F.min(order_col).alias("_o"))
+    prods = firsts.groupBy(id_col).agg(F.min_by("_ok", "_o").alias("product"))
     kv = (u.select(id_col, order_col, F.posexplode(F.map_entries(F.from_json(strip_ws("attrs_json"), "map<string,string>")))
                    .alias("kpos", "e"))
-           .select(id_col, F.struct(order_col, "kpos").alias("_p"), F.col("e.key").alias("k"), F.col("e.value").alias("v")))
-    per_key = kv.groupBy(id_col, "k").agg(F.min("_p").alias("_first"), F.max_by("v", "_p").alias("v"))
-    maps = per_key.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("_first", "k", "v"))),
-                                                   lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v"))).alias("upd"))
+           .select(id_col, order_col, "kpos", F.col("e.key").alias("k"), F.col("e.value").alias("v")))
+    w = Window.partitionBy(id_col, "k").orderBy(order_col, "kpos")
+    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    per_key = (kv.withColumn("_rf", F.row_number().over(w)).withColumn("_last", F.last("v").over(w_all))
+                 .filter(F.col("_rf") == 1))
+    maps = per_key.groupBy(id_col).agg(F.transform(
+        F.array_sort(F.collect_list(F.struct(F.struct(order_col, "kpos").alias("_first"), "k", F.col("_last").alias("v")))),
+        lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v"))).alias("upd"))
     out = prods.join(maps, id_col, "full")
     return out.filter(F.col("product").isNotNull() | (F.size(F.coalesce("upd", F.array())) > 0))
 
