@@ -29,8 +29,8 @@ WAREHOUSE_SCHEMA = [
     ("industry_gics", "string"), ("shipment_id", "string"), ("is_multi_product_shipment", "boolean"),
     ("volume_teu", "double"), ("weight_in_kg", "double"), ("shipper_profile", "string"),
     ("shipper_ultimate_parent_profile", "string"), ("consignee_profile", "string"),
-    ("consignee_ultimate_parent_profile", "string"), ("consignee_tradyon_profile_id", "bigint"),
-    ("shipper_tradyon_profile_id", "bigint"), ("consignee_business_id", "string"), ("shipper_business_id", "string"),
+    ("consignee_ultimate_parent_profile", "string"), ("consignee_profile_id", "bigint"),
+    ("shipper_profile_id", "bigint"), ("consignee_business_id", "string"), ("shipper_business_id", "string"),
     ("unit_price", "double"), ("original_consignee_business_id", "string"), ("original_shipper_business_id", "string"),
     ("product_id", "string"), ("product_name", "string"), ("attributes", "string"), ("is_outlier", "boolean"),
     ("outlier_type", "string"),
