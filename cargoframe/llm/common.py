@@ -68,28 +68,26 @@ def matrix(col: pa.Array, dim: int, dtype=np.float64) -> np.ndarray:
     return np.asarray(col.flatten().to_numpy(zero_copy_only=False), dtype).reshape(len(col), dim)
 
 
-class TwoGenerationCache:
-    """A bounded memo: when the young half is full it becomes the old half;
-    entries that are used again move back to the young half."""
-
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
-
-    def missing(self, keys) -> list:
-        """The keys that are not held; the others are young afterwards."""
-        young, old, out = self.young, self.old, []
-        for k in keys:
-            if k not in young:
-                v = old.get(k)
-                if v is None:
-                    out.append(k)
-                else:
-                    young[k] = v
-        return out
-
-    def turn(self) -> None:
-        if len(self.young) > self.size:
-            self.old, self.young = self.young, {}
+class Memo(dict):
+    """A bounded memo of ``compute(key)``. When the young half is full it
+    becomes the old half; entries used again move back to the young half.
+    Keys longer than ``longest`` are computed each time."""
+
+    def __init__(self, compute: Callable, size: int, longest: int = 64):
+        super().__init__()
+        self.compute, self.size, self.longest, self.old = compute, size, longest, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+            if len(key) > self.longest:
+                return value
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cargoframe.llm import chat_format
+from cargoframe.llm import byte_bpe, chat_format, packing
 from cargoframe.llm.common import read
 
 QUERIES: dict = {}
@@ -43,3 +44,17 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(upto) FILTER (role = 'assistant' OR rn = n) AS BIGINT) AS formatted_chars,
   count(*) FILTER (role = 'assistant' OR rn = n) AS n_examples
 FROM s GROUP BY conv_id"""
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by the rank file and decoded again."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return byte_bpe.encoding_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
