@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cargoframe.llm import byte_bpe, chat_format, packing
-from cargoframe.llm.common import read
+from cargoframe.llm import byte_bpe, chat_format, langid, packing, pii_crf, suffix_dedup, superminhash, toxicity
+from cargoframe.llm.common import crc_mod, read
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -58,3 +59,44 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by the rank file and decoded again."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return byte_bpe.encoding_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def _held_out(n: int, r: int):
+    return F.coalesce(crc_mod("doc_id", n) == r, F.lit(False))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels of four fifths."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read(spark, sf_dir, "labels", "doc_id", "toxic").filter(crc_mod("doc_id", 5) != 0)
+    got = toxicity.score(docs, toxicity.learn(docs, labels), ("doc_id",))
+    return got.select("doc_id", _held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from three quarters."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.learn(docs.filter(crc_mod("doc_id", 4) != 2))
+    got = langid.predict(docs, model)
+    return got.select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: pattern spans and the field's."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return pii_crf.find_pii(docs, pii_crf.learn(docs))
+
+
+@query
+def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: four words, 0.8."""
+    return superminhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), k=4, percent=80)
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated 200-byte strings."""
+    return suffix_dedup.removal_digests(read(spark, sf_dir, "documents", "doc_id", "text"), 200)
