@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargoframe.llm import byte_bpe, chat_format, langid, packing, pii_crf, suffix_dedup, superminhash, toxicity
+from cargoframe.llm import byte_bpe, chat_format, flat_graph, langid, packing, pii_crf, suffix_dedup, superminhash, topk_search, toxicity
 from cargoframe.llm.common import crc_mod, read
 
 QUERIES: dict = {}
@@ -100,3 +100,42 @@ def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without repeated 200-byte strings."""
     return suffix_dedup.removal_digests(read(spark, sf_dir, "documents", "doc_id", "text"), 200)
+
+
+@query
+def op2_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate embeddings of equal label at cosine 0.98."""
+    return flat_graph.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), 0.98)
+
+
+@query
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact 20 best inner products of the embeddings in 64ths."""
+    v = read(spark, sf_dir, "embeddings", "vec_id", "embedding").filter(topk_search.is_finite("embedding"))
+    v = v.select("vec_id", F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("long")).alias("vec"))
+    return topk_search.top_k(v, F.col("vec_id") % 20 == 0, 20)
+
+
+ORACLE["op4_topk_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT vec_id, min(v) AS v FROM v WHERE vec_id % 20 = 0 GROUP BY vec_id),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+ORACLE["op2_flat_graph"] = """
+WITH RECURSIVE ok AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT vec_id AS node, vec_id AS seen FROM embeddings UNION SELECT r.node, l.b FROM reach r JOIN l ON l.a = r.seen),
+c AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept, 1.0::DOUBLE AS audit_recall
+FROM embeddings e JOIN c ON c.node = e.vec_id LEFT JOIN n ON n.a = e.vec_id"""
