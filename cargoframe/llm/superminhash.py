@@ -9,14 +9,15 @@
 2. Documents with equal sets form one class (no pairs among copies); one
    signature per class goes on.
 3. Banding: classes that agree on all rows of a band meet in a bucket. Within
-   a bucket a class is a candidate of the bucket's smallest class only; a
-   class keeps the partner it meets in most bands.
+   a bucket a class is a candidate of the bucket's hub only, the class that
+   meets most others anywhere; a class keeps the hub it meets in most bands.
 4. Candidates are confirmed on the full sets, recomputed from the texts in
-   groups of at most ``BATCH`` texts beside one partner, and linked by
+   groups of about ``BATCH`` texts beside one partner, and linked by
    union-find.
-5. Buckets whose classes are still not all in one component are gone through
-   again: all pairs of different components whose signatures are similar
-   enough are confirmed too, so that no pair of a bucket is left out.
+5. Classes that buckets connect form a family. In families that are still in
+   several components, all classes outside the largest one are compared with
+   the whole family on the full sets, block by block, so that no pair of a
+   bucket is left out and none is emitted that isn't a link.
 
 With 24 bands of 4 rows a pair at similarity 0.8 is missed with probability
 4e-6.
@@ -169,30 +170,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                .agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")))
     classes = materialise(classes, "classes")
     rows = band_rows(classes)
-    size = rows.groupBy("band", "bucket").agg(F.min("id").alias("low"), F.count("*").alias("n")).filter("n > 1")
-    met = materialise(rows.join(size.select("band", "bucket", "low"), ["band", "bucket"]), "met")
-    stars = met.filter("id != low").groupBy("id", "low").agg(F.count("*").alias("n"))
-    best = stars.groupBy("id").agg(F.min_by("low", F.struct(-F.col("n"), "low")).alias("low"))
-    pairs = best.select(F.col("id").alias("a"), F.col("low").alias("b"))
-    need = met.select("id").distinct().join(classes.select("id", "digest"), "id")
+    size = rows.groupBy("band", "bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    met = materialise(rows.join(size, ["band", "bucket"]), "met")
+    central = met.groupBy("id").agg(F.sum("n").alias("weight"))
+    hubs = met.join(central, "id").groupBy("band", "bucket").agg(F.max(F.struct("weight", (-F.col("id")).alias("hub"))).alias("h"))
+    stars = (met.join(hubs, ["band", "bucket"]).select("id", (-F.col("h.hub")).alias("hub"), "h.weight").filter("id != hub")
+             .groupBy("id", "hub").agg(F.count("*").alias("n"), F.first("weight").alias("weight")))
+    stars = materialise(stars, "stars")
+    pairs = stars.groupBy("id").agg(F.max(F.struct("n", "weight", (-F.col("hub")).alias("hub"))).alias("h"))
+    pairs = pairs.select(F.col("id").alias("a"), (-F.col("h.hub")).alias("b"))
+    need = central.select("id").join(classes.select("id", "digest"), "id")
     found = docs.selectExpr("cast(doc_id as long) as id", "text").join(need, "id")
     texts = materialise(_one_text(found, k), "texts")
     good = materialise(confirm(pairs, texts, k, percent), "links")
-    first = materialise(connected_components(good, "a", "b"), "components")
-
-    own = F.coalesce("component", "id")
-    placed = met.select("band", "bucket", "id").join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("component", own)
-    open_ = (placed.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-             .filter("x != y").select("band", "bucket"))
-    rest = materialise(placed.join(open_, ["band", "bucket"]).join(classes.select("id", "sig"), "id"), "open")
-    again = materialise(_crossing(rest, percent), "crossing")
-    more = confirm(again, texts, k, percent)
-    links = good.union(more).union(_same_id(sets, classes))
-    comp = connected_components(links, "a", "b")
+    first = materialise(connected_components(good, "a", "b").withColumnRenamed("node", "id"), "components")
+
+    family = connected_components(stars, "id", "hub").select(F.col("node").alias("id"), F.col("component").alias("family"))
+    placed = family.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    more = _compare_apart(materialise(placed, "families"), texts, k, percent)
+    comp = connected_components(good.union(more).union(_same_id(sets, classes)), "a", "b")
 
     classed = sets.join(classes.select("digest", "id"), "digest", "left")
     out = classed.join(comp.withColumnRenamed("node", "id"), "id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "id", "doc_id").alias("component_id")).withColumn(
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))
+    return out.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -213,16 +214,42 @@ def _one_text(found: DataFrame, k: int) -> DataFrame:
     return arrow_map(found.select("id", "text", "digest"), run, "id long, text string").dropDuplicates(["id"])
 
 
-def _crossing(rest: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share an open bucket and whose
-    signatures agree in enough positions (five standard deviations below the
-    threshold)."""
-    p = percent / 100
-    least = SIZE * (p - 5 * (p * (1 - p) / SIZE) ** 0.5)
-    sig = lambda c: F.split(F.regexp_replace(F.hex(c), "(.{8})", "$1,"), ",")
-    rest = rest.withColumn("s", sig("sig")).select("band", "bucket", "id", "component", "s")
-    x, y = rest.alias("x"), rest.alias("y")
-    alike = F.aggregate(F.zip_with("x.s", "y.s", lambda a, b: (a == b).cast("int")), F.lit(0), lambda t, v: t + v) - 1
-    pair = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") > F.col("y.id"))
-                  & (F.col("x.component") != F.col("y.component")) & (alike >= least))
-    return pair.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+def _compare_apart(placed: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components of a family (documents that
+    buckets connect), from rows (id, family, component).
+
+    All documents outside a family's largest component are compared with the
+    whole family on the full sets, a block of one against a block of the
+    other; only links come back."""
+    size = placed.groupBy("family", "component").agg(F.count("*").alias("n"))
+    size = size.groupBy("family").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("parts")).filter("parts > 1")
+    size = size.select("family", F.col("top.component").alias("main"), F.ceil((F.col("n") - F.col("top.n")) / BATCH).cast("int").alias("xs"),
+                       F.ceil(F.col("n") / (8 * BATCH)).cast("int").alias("ys"))
+    rows = materialise(placed.join(size, "family").join(texts, "id"), "apart")
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    out = rows.filter("component != main").select("family", block("xs").alias("x"), every("ys").alias("y"), "id", "component", "text")
+    all_ = rows.select(F.col("family").alias("family"), every("xs").alias("x"), block("ys").alias("y"), F.col("id").alias("id"),
+                       F.col("component").alias("component"), F.col("text").alias("text"))
+
+    def run(key: tuple, one: pa.Table, other: pa.Table) -> pa.Table:
+        pairs = []
+        if one.num_rows and other.num_rows:
+            ids, comp = one.column("id").to_numpy(), one.column("component").to_numpy()
+            own = [shingles(t.as_py(), k) for t in one.column("text")]
+            sizes = np.array([len(o) for o in own])
+            flat, owner = np.concatenate(own), np.repeat(np.arange(len(own)), sizes)
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            for i, c, t in zip(other.column("id").to_pylist(), other.column("component").to_pylist(), other.column("text")):
+                s = shingles(t.as_py(), k)
+                left, right = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
+                n = right - left
+                at = np.repeat(right - np.cumsum(n), n) + np.arange(n.sum())
+                both = np.bincount(owner[at], minlength=len(own))
+                hit = (100 * both >= percent * (sizes + len(s) - both)) & (comp != c)
+                pairs += [(int(j), i) for j in ids[hit]]
+        return pa.table([pa.array([p[x] for p in pairs], pa.int64()) for x in (0, 1)], names=["a", "b"])
+
+    keys = ["family", "x", "y"]
+    return out.groupBy(*keys).cogroup(all_.groupBy(*keys)).applyInArrow(run, "a long, b long")
