@@ -14,8 +14,9 @@ else (any document, or another place of the same one) is removed.
    suffix arrays: kinds arrive in batches; a batch's windows are sorted into a
    suffix array, merge-scanned against every level for equal windows, and
    becomes a level; two levels of equal size merge into one of twice the size.
-   Batches, families and tasks are bounded: a representative with more than
-   ``KINDS`` kinds is dealt out by the hash of its windows.
+   A family is bounded: the windows of a representative with more than
+   ``KINDS`` kinds (the edge of a passage that very many texts share) are
+   dealt out by a 128-bit hash and counted instead.
 4. The repeated intervals go back to their documents, which are cut.
 
 Texts are shuffled once, by document. No group is collected beyond the
@@ -94,16 +95,12 @@ class Family:
         self.length, self.levels, self.waiting, self.held = length, {}, [], 0
         self.repeated: list[np.ndarray] = []  # per string: its windows that occur elsewhere
 
-    def add(self, text: bytes, share: tuple[int, int] = (0, 1)) -> None:
-        """Take a string's windows; with share (k, n) only those whose hash is k modulo n."""
+    def add(self, text: bytes) -> None:
         n = len(text) - self.length + 1
-        at = np.arange(n)
-        if share[1] > 1:
-            at = at[[xxhash.xxh64_intdigest(text[i:i + self.length]) % share[1] == share[0] for i in range(n)]]
         self.repeated.append(np.zeros(n, bool))
         windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(text, np.uint8), self.length)
-        for a in range(0, len(at), BATCH):
-            part = at[a:a + BATCH]
+        for a in range(0, n, BATCH):
+            part = np.arange(a, min(n, a + BATCH))
             self.waiting.append((np.ascontiguousarray(windows[part]).view(f"S{self.length}").ravel(), len(self.repeated) - 1, part))
             self.held += len(part)
             if self.held >= BATCH:
@@ -166,30 +163,69 @@ def _stretch_rows(keyed: DataFrame, length: int) -> DataFrame:
     return arrow_map(keyed, run, "rep long, digest long, doc_id long, tkey int, start int, n int, twice boolean")
 
 
+def _kind_bytes(kinds: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """(rep, digest, bytes) of kinds, cut from the texts where they stand."""
+    by_doc = kinds.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("rep", "digest", "start", "n")).alias("want"))
+    # all columns of texts go along: its shuffle is then the one that the last join reads as well
+    cut = by_doc.join(texts, (F.col("doc_id") == F.col("_doc")) & (F.col("tkey") == F.col("_tkey"))).select("want", *(c for c in texts.columns if c not in ("_doc", "_tkey")))
+
+    def run(cols: dict[str, pa.Array]) -> dict:
+        out: tuple[list, ...] = ([], [], [])
+        for want, t in zip(cols["want"].to_pylist(), cols["_text"]):
+            text = t.as_py().encode()
+            for w in want:
+                for o, v in zip(out, (w["rep"], w["digest"], text[w["start"]:w["start"] + w["n"] + length - 1])):
+                    o.append(v)
+        return dict(zip(("rep", "digest", "bytes"), out))
+
+    return arrow_map(cut, run, "rep long, digest long, bytes binary")
+
+
+_RUNS = "rep long, digest long, first int, last int"
+
+
 def _compare(kinds: DataFrame, length: int) -> DataFrame:
-    """(rep, digest, first, last): repeated windows of kinds, from rows
-    (rep, share, shares, digest, bytes) that stand together by rep and share."""
-    names, types = ["rep", "digest", "first", "last"], [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    """(rep, digest, first, last): runs of windows that other kinds of a
+    representative hold too; its rows stand together."""
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, digests, family = None, [], None
 
         def results() -> list[tuple]:
-            return [(group[0], d, a, z) for d, runs in zip(digests, family.ranges()) for a, z in runs] if family else []
+            return [(group, d, a, z) for d, runs in zip(digests, family.ranges()) for a, z in runs] if family else []
+
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["rep", "digest", "first", "last"])
 
         for b in batches:
             rows = []
-            for rep, share, shares, digest, data in zip(*(b.column(c).to_pylist() for c in range(5))):
-                if (rep, share) != group:
+            for rep, digest, data in zip(*(b.column(c).to_pylist() for c in range(3))):
+                if rep != group:
                     rows += results()
-                    group, digests, family = (rep, share), [], Family(length)
+                    group, digests, family = rep, [], Family(length)
                 digests.append(digest)
-                family.add(data, (share, shares))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
-        rows = results()
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
+                family.add(data)
+            yield batch(rows)
+        yield batch(results())
+
+    return kinds.mapInArrow(run, _RUNS)
+
+
+def _count_windows(kinds: DataFrame, length: int) -> DataFrame:
+    """The same for representatives with too many kinds for one task: their
+    windows are dealt out and counted by a 128-bit hash of their bytes."""
+    def run(cols: dict[str, pa.Array]) -> dict:
+        out: tuple[list, ...] = ([], [], [], [])
+        for rep, digest, data in zip(*(cols[c].to_pylist() for c in ("rep", "digest", "bytes"))):
+            for i in range(len(data) - length + 1):
+                for o, v in zip(out, (rep, digest, i, xxhash.xxh3_128_digest(data[i:i + length]))):
+                    o.append(v)
+        return dict(zip(("rep", "digest", "at", "window"), out))
 
-    return kinds.mapInArrow(run, "rep long, digest long, first int, last int")
+    windows = arrow_map(kinds, run, "rep long, digest long, at int, window binary")
+    again = windows.groupBy("window").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("window").alias("again"))
+    return windows.join(again, F.col("window") == F.col("again"), "left_semi").select("rep", "digest", F.col("at").alias("first"), F.col("at").alias("last"))
 
 
 def repeated_spans(docs: DataFrame, length: int, fn: Callable[[bytes, list[tuple[int, int]]], dict], schema: str,
@@ -209,24 +245,9 @@ def repeated_spans(docs: DataFrame, length: int, fn: Callable[[bytes, list[tuple
     kinds = materialise(kinds.select("rep", "digest", "copies", "at.*", "twice", "kinds"), "kinds")
 
     open_ = kinds.filter((F.col("kinds") > 1) | ((F.col("copies") == 1) & F.col("twice")))
-    by_doc = (open_.withColumn("shares", F.ceil(F.col("kinds") / KINDS).cast("int")).groupBy("doc_id", "tkey")
-              .agg(F.collect_list(F.struct("rep", "shares", "digest", "start", "n")).alias("want")))
-    cut = by_doc.join(texts, (F.col("doc_id") == F.col("_doc")) & (F.col("tkey") == F.col("_tkey"))).select("want", "_text")
-
-    def bytes_of(cols: dict[str, pa.Array]) -> dict:
-        out: tuple[list, ...] = ([], [], [], [], [])
-        for want, t in zip(cols["want"].to_pylist(), cols["_text"]):
-            text = t.as_py().encode()
-            for w in want:
-                data = text[w["start"]:w["start"] + w["n"] + length - 1]
-                for share in range(w["shares"]):
-                    for o, v in zip(out, (w["rep"], share, w["shares"], w["digest"], data)):
-                        o.append(v)
-        return dict(zip(("rep", "share", "shares", "digest", "bytes"), out))
-
-    grouped = (arrow_map(cut, bytes_of, "rep long, share int, shares int, digest long, bytes binary")
-               .repartition("rep", "share").sortWithinPartitions("rep", "share"))
-    part = _compare(grouped, length).join(kinds.filter("copies = 1").select("rep", "digest"), ["rep", "digest"])
+    few = _kind_bytes(open_.filter(F.col("kinds") <= KINDS), texts, length).repartition("rep").sortWithinPartitions("rep")
+    many = _kind_bytes(open_.filter(F.col("kinds") > KINDS), texts, length)
+    part = _compare(few, length).union(_count_windows(many, length)).join(kinds.filter("copies = 1").select("rep", "digest"), ["rep", "digest"])
     whole = kinds.filter("copies > 1").select("rep", "digest", F.lit(0).alias("first"), (F.col("n") - 1).alias("last"))
     hits = marked.join(whole.union(part), ["rep", "digest"]).select(
         "doc_id", "tkey", F.struct((F.col("start") + F.col("first")).alias("a"), (F.col("start") + F.col("last") + length).alias("z")).alias("run"))
