@@ -245,7 +245,7 @@ def _search(members: DataFrame, cosine: float, beam: int) -> tuple[DataFrame, Da
         ids = t.column("id").to_numpy()
         adj = build_graph(unit(matrix(t.column("embedding"), len(t.column("embedding")[0]))))
         row, to = with_reverse(adj)
-        return pa.table({"group": [key[0].as_py()] * len(row), "id": pa.array(ids[row]), "to": pa.array(ids[to])})
+        return pa.table({"group": pa.array([key[0].as_py()] * len(row), pa.string()), "id": pa.array(ids[row]), "to": pa.array(ids[to])})
 
     edges = members.select("group", "shard", "block", "id", "embedding").groupBy("group", "shard", "block").applyInArrow(
         build, "group string, id long, to long")
