@@ -67,6 +67,11 @@ def filter_hs(df: DataFrame, codes: Iterable[str] | None = None, hs_col: str = "
     return df.filter(F.col(hs_col).isin([str(c)[:4] for c in codes]))
 
 
+def filter_hs_in_schema(df: DataFrame, schema: DataFrame, hs_col: str = "hs4") -> DataFrame:
+    """Keep rows whose HS-4 the schema holds (semi join)."""
+    return df.join(schema.select(hs_col).distinct(), hs_col, "left_semi")
+
+
 def filter_equals(df: DataFrame, filters: dict | None) -> DataFrame:
     """Conjunction of ``column = value`` filters (pushed into the scan)."""
     cond = F.lit(True)
@@ -78,8 +83,8 @@ def filter_equals(df: DataFrame, filters: dict | None) -> DataFrame:
 def load_classified(df: DataFrame, id_col: str = "shipment_id", order_col: str = "ord") -> DataFrame:
     """S3: classified rows -> (hs_code as HS-4 prefix, category, goods, shipment_id).
 
-    When no shipment id exists one is numbered 1..n over ``order_col`` (a global
-    window: only used on inputs that really lack ids)."""
+    When no shipment id exists one is numbered 1..n over ``order_col``, by
+    range partitions (no task sorts the whole table)."""
     require_columns(df, REQUIRED_CLASSIFIED_COLUMNS)
     out = (df.withColumn("hs_code", hs4_prefix("hs_code"))
              .withColumn("goods_shipped", strip_ws(F.col("goods_shipped").cast("string")))
@@ -87,8 +92,8 @@ def load_classified(df: DataFrame, id_col: str = "shipment_id", order_col: str =
     if id_col in df.columns:
         out = out.withColumn(id_col, strip_ws(F.col(id_col).cast("string")))
     else:
-        from pyspark.sql import Window
-        out = out.withColumn(id_col, F.row_number().over(Window.orderBy(order_col)).cast("string"))
+        from .labels import positions_by_range
+        out = positions_by_range(out, [], [order_col]).withColumn(id_col, (F.col("pos") + 1).cast("string"))
     return out.filter(F.col("goods_shipped").isNotNull()).select("hs_code", "category", "goods_shipped", id_col)
 
 
@@ -104,18 +109,19 @@ def with_default(df: DataFrame, col: str, value: str) -> DataFrame:
 
 
 def profile_shipments(df: DataFrame) -> DataFrame:
-    """One pass — rows, distinct HS/goods/shipments, all-empty flags, dedup ratio."""
+    """Rows, distinct HS/goods/shipments, all-empty flags, dedup ratio.
+    Every distinct count is its own two-step aggregate over one pruned column
+    (several in one aggregate would multiply the rows before the shuffle)."""
     def all_empty(c):
         return F.count_if(F.col(c).isNotNull() & (F.col(c) != "")) == 0
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct("hs_code").alias("n_hs_codes"),
-        F.countDistinct("goods_shipped").alias("n_goods"),
-        F.countDistinct("shipment_id").alias("n_shipments"),
-        all_empty("goods_shipped").alias("goods_all_empty"),
-        all_empty("shipment_id").alias("ids_all_empty"),
-        all_empty("hs_code").alias("hs_all_empty"),
-    ).withColumn("dedup_ratio", F.round(F.col("n_goods") / F.greatest(F.col("n_rows"), F.lit(1)), 6))
+
+    def distinct(c):
+        return df.select(c).filter(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1))).scalar()
+    flags = df.agg(F.count(F.lit(1)).alias("n_rows"), all_empty("goods_shipped").alias("goods_all_empty"),
+                   all_empty("shipment_id").alias("ids_all_empty"), all_empty("hs_code").alias("hs_all_empty"))
+    return flags.select("n_rows", distinct("hs_code").alias("n_hs_codes"), distinct("goods_shipped").alias("n_goods"),
+                        distinct("shipment_id").alias("n_shipments"), "goods_all_empty", "ids_all_empty", "hs_all_empty").withColumn(
+        "dedup_ratio", F.round(F.col("n_goods") / F.greatest(F.col("n_rows"), F.lit(1)), 6))
 
 
 def available_hs4(df: DataFrame, hs_col: str = "hs4") -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,26 +21,38 @@ def category_distribution(df: DataFrame, cat_col: str = "category") -> DataFrame
               .withColumn("pct", F.round(F.col("n") * 100.0 / total, 2)))
 
 
-def label_agreement(a: DataFrame, b: DataFrame, key: str, label_col: str = "category") -> DataFrame:
-    """A7 + J7: inner join on ``key``; agreement by ``b``'s label (the
+def label_pairs(a: DataFrame, b: DataFrame, key: str, label_col: str = "category") -> DataFrame:
+    """Rows (key, label_a, label_b, n) of two label sets that stand in
+    different tables."""
+    return (a.select(key, F.col(label_col).alias("label_a")).join(b.select(key, F.col(label_col).alias("label_b")), key, "inner")
+             .withColumn("n", F.lit(1).cast("long")))
+
+
+def pairs_within(rows: DataFrame, key: str) -> DataFrame:
+    """J7 for label sets that stand in the same rows (key, label_a, label_b):
+    the pairs of a join on ``key`` with their number ``n``, without the join.
+    Equal rows of a key are counted first, so a key's list is short."""
+    c = rows.groupBy(key, "label_a", "label_b").agg(F.count(F.lit(1)).alias("n"))
+    g = c.groupBy(key).agg(F.collect_list(F.struct("label_a", "label_b", "n")).alias("g"))
+    x = g.select(key, "g", F.explode("g").alias("x")).select(key, "x", F.explode("g").alias("y"))
+    return x.select(key, "x.label_a", "y.label_b", (F.col("x.n") * F.col("y.n")).alias("n"))
+
+
+def label_agreement(pairs: DataFrame, label_col: str = "category") -> DataFrame:
+    """Agreement of pairs (label_a, label_b, n) by ``label_b`` (the
     reference set) and overall (``category`` NULL, ``level`` = 'overall')."""
-    j = (a.select(key, F.col(label_col).alias("label_a"))
-          .join(b.select(key, F.col(label_col).alias("label_b")), key, "inner")
-          .withColumn("agrees", F.col("label_a") == F.col("label_b")))
-    r = j.rollup("label_b").agg(F.count(F.lit(1)).alias("n"), F.count_if("agrees").alias("n_agree"),
-                                F.grouping_id().alias("_g"))
+    r = pairs.rollup("label_b").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("label_a") == F.col("label_b"), F.col("n"))), F.lit(0)).alias("n_agree"),
+                                    F.grouping_id().alias("_g"))
     return r.select(F.when(F.col("_g") == 1, F.lit("overall")).otherwise(F.lit("category")).alias("level"),
                     F.col("label_b").alias(label_col), "n", "n_agree",
                     (F.col("n") - F.col("n_agree")).alias("n_disagree"),
                     F.round(F.col("n_agree") * 100.0 / F.col("n"), 2).alias("agreement_pct"))
 
 
-def disagreement_samples(a: DataFrame, b: DataFrame, key: str, label_col: str = "category", k: int = 10) -> DataFrame:
+def disagreement_samples(pairs: DataFrame, key: str, k: int = 10) -> DataFrame:
     """A7's sample: the first k disagreements in key order (a top-k report)."""
-    j = (a.select(key, F.col(label_col).alias("label_a"))
-          .join(b.select(key, F.col(label_col).alias("label_b")), key, "inner")
-          .filter(~(F.col("label_a") == F.col("label_b"))))
-    return j.orderBy(key).limit(k)
+    top = pairs.filter(F.col("label_a") != F.col("label_b")).orderBy(key).limit(k)
+    return top.select(key, "label_a", "label_b", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("col").orderBy(key).limit(k)
 
 
 def attribute_agreement(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -86,7 +98,9 @@ def pattern_profile(df: DataFrame, text_col: str, id_col: str, patterns: dict[st
     return counts.join(samples, "name")
 
 
-def report_rows(df: DataFrame, section: str) -> DataFrame:
-    """A report section as JSON lines (``section``, ``json``), one per
-    result row; write with ``sources.files.write_json_lines``."""
-    return df.select(F.lit(section).alias("section"), F.to_json(F.struct(*df.columns)).alias("json"))
+def report_rows(df: DataFrame, section: str, rank: Column | None = None) -> DataFrame:
+    """A report section as JSON lines (``section``, ``json``, and ``rank``
+    where the section has an order), one per result row; write with
+    ``sources.files.write_json_lines``."""
+    order = [] if rank is None else [rank.alias("rank")]
+    return df.select(F.lit(section).alias("section"), *order, F.to_json(F.struct(*df.columns)).alias("json"))

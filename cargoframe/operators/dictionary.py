@@ -16,12 +16,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import (HEURISTIC_SEPARATORS, NEGATION_WINDOW_CHARS, NEGATION_WORDS,
+from ..functions.text import (HEURISTIC_SEPARATORS, NEGATION_WINDOW_CHARS, NEGATION_WORDS, WHITESPACE,
                               bounded_pattern, collapse_ws, is_density_value, match_text, strip_ws,
                               value_pattern)
 
 MIN_VALUE_CHARS = 3
-_WS = [" ", "\t", "\n", "\r", "\x0b", "\x0c"]
+_WS = list(WHITESPACE)
 
 
 def compile_dictionary(schema: DataFrame, keys: Sequence[str], min_chars: int = MIN_VALUE_CHARS) -> DataFrame:
@@ -41,8 +41,8 @@ def compile_dictionary(schema: DataFrame, keys: Sequence[str], min_chars: int =
     entries = first.select(
         *keys,
         F.struct(F.col("attr_ord"), (-F.length("value")).alias("neg_len"), F.col("value"), F.col("attr"),
-                 F.when(is_density_value("norm"), F.regexp_extract("norm", r"(\d+)", 1))
-                  .otherwise(F.col("norm")).alias("probe"),
+                 # a density value may occur with any of its numbers: no probe
+                 F.when(is_density_value("norm"), F.lit("")).otherwise(F.col("norm")).alias("probe"),
                  bounded_pattern(value_pattern("norm")).alias("pattern")).alias("e"))
     compiled = entries.groupBy(*keys).agg(F.array_sort(F.collect_list("e")).alias("dict"))
     # Heuristic candidates keep every value (no length minimum, no dedupe);
@@ -89,7 +89,7 @@ def match_hits(text: Column, dictionary: Column, negation_guard: bool = False) -
     """Array of dictionary entries whose value occurs in ``text`` at a token
     boundary (optionally not in a negated context), in try order."""
     # cheap containment probe first; the regex only runs on real candidates
-    found = F.filter(dictionary, lambda d: (F.instr(text, d["probe"]) > 0) & F.regexp(text, d["pattern"]))
+    found = F.filter(dictionary, lambda d: ((d["probe"] == "") | (F.instr(text, d["probe"]) > 0)) & F.regexp(text, d["pattern"]))
     if not negation_guard:
         return found
     kept = F.filter(_with_start(found, text), lambda x: ~_negated(text, x["s"]))
@@ -190,10 +190,10 @@ def resolve_attributes(goods: DataFrame, dictionaries: DataFrame, keys: Sequence
         resp = F.lit(None).cast("string") if response is None else F.try_element_at(response, a["attr"])
         resp = F.when(resp != "None", resp)
         heur = heuristic_pick(F.col("_ht"), F.col("hvals"), a["attr"]) if heuristic else F.lit(None).cast("string")
-        value = F.coalesce(det, resp, heur, F.lit("None"))
-        source = (F.when(det.isNotNull(), "dictionary").when(resp.isNotNull(), "response")
-                  .when(heur.isNotNull(), "heuristic").otherwise("none"))
-        return F.struct(a["attr"].alias("attr"), value.alias("value"), source.alias("source"))
+        # the first of the candidates that is there, evaluated once each
+        found = F.filter(F.array(*[F.struct(a["attr"].alias("attr"), v.alias("value"), F.lit(n).alias("source")) for v, n in (
+            (det, "dictionary"), (resp, "response"), (heur, "heuristic"), (F.lit("None"), "none"))]), lambda x: x["value"].isNotNull())
+        return F.element_at(found, 1)
     if wide is not None:
         r = j.withColumn("_all", F.transform("attrs", resolve))
         def is_attr(name):
@@ -204,24 +204,6 @@ def resolve_attributes(goods: DataFrame, dictionaries: DataFrame, keys: Sequence
     return out.select(*goods.columns, "_r.attr", "_r.value", "_r.source")
 
 
-def heuristic_fill(rows: DataFrame, schema: DataFrame, keys: Sequence[str],
-                   text_col: str = "goods_shipped") -> DataFrame:
-    """C3 for attributes still 'None': ``rows`` is long form
-    ``keys + [text_col, attr, value]``; returns it with ``value`` filled and a
-    ``filled`` flag (longest candidate, then alphabetical)."""
-    vals = (schema.groupBy(*keys, "attr")
-                  .agg(F.array_sort(F.collect_list(F.struct((-F.length("value")).alias("neg_len"),
-                                                            F.col("value")))).alias("_vals")))
-    j = rows.join(vals, [*keys, "attr"], "left")
-    j = j.withColumn("_ht", heuristic_text(text_col))
-    cands = heuristic_candidates(F.col("_ht"), F.coalesce(F.col("_vals"), F.array()))
-    pick = F.try_element_at(cands, F.lit(1))["value"]
-    need = F.col("value") == "None"
-    return (j.withColumn("filled", need & pick.isNotNull())
-             .withColumn("value", F.when(need & pick.isNotNull(), pick).otherwise(F.col("value")))
-             .drop("_vals", "_ht"))
-
-
 def resolve_maps(goods: DataFrame, dictionaries: DataFrame, keys: Sequence[str],
                  text_col: str = "goods_shipped") -> DataFrame:
     """One in-row pass per description giving ``attrs`` (the product's

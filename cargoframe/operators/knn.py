@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import full_id, normalize_vector, short_id
+from ..functions.text import normalize_vector, short_id
 
 UNCLASSIFIED = "Unclassified"
 
@@ -130,12 +130,13 @@ def label_transfer(best: DataFrame, kb_labels: DataFrame, k_id: str, label_col:
 def attribute_transfer(best: DataFrame, allowed: DataFrame, thresholds: DataFrame | None,
                        default_threshold: float) -> DataFrame:
     """C8 + P10 + P11 per (query, attribute): ``best`` holds the top hit
-    (``score``, ``hit_value``; NULL when the namespace had no KB rows).
+    (``score``, ``hit_value``; NULL when the namespace had no KB rows; a NULL
+    ``attr`` marks a category without a schema: one row, ``no_schema``).
     ``allowed(ns…, attr, value)`` is the schema; ``thresholds(attr, threshold)``
     overrides the default per attribute."""
     t = best
     if thresholds is not None:
-        t = t.join(F.broadcast(thresholds), "attr", "left")  # per-attribute config rows
+        t = t.join(thresholds, "attr", "left")  # per-attribute config rows
     else:
         t = t.withColumn("threshold", F.lit(None).cast("double"))
     thr = F.coalesce(F.col("threshold"), F.lit(default_threshold))
@@ -144,10 +145,10 @@ def attribute_transfer(best: DataFrame, allowed: DataFrame, thresholds: DataFram
     t = t.join(ok_vals, (F.col("category") == F.col("_c")) & (F.col("attr") == F.col("_a"))
                & (F.col("hit_value") == F.col("_ok")), "left").drop("_c", "_a")
     valid = F.col("_ok").isNotNull() | (F.col("hit_value") == "None")
-    method = (F.when(F.col("score").isNull(), "vector_no_match")
+    method = (F.when(F.col("attr").isNull(), "no_schema").when(F.col("score").isNull(), "vector_no_match")
               .when(F.col("score") < thr, "vector_low_similarity")
               .when(valid, "vector").otherwise("vector_invalid"))
-    value = F.when(method == "vector", F.col("hit_value")).otherwise(F.lit("None"))
+    value = F.when(F.col("attr").isNull(), F.lit(None).cast("string")).when(method == "vector", F.col("hit_value")).otherwise(F.lit("None"))
     return t.select("q_id", "category", "attr", value.alias("value"),
                     F.coalesce(F.col("score"), F.lit(0.0)).alias("score"), method.alias("method"))
 
@@ -186,26 +187,36 @@ def kb_records_from_labels(rows: DataFrame, hs_col: str = "hs4", cat_col: str =
                     "shipment_count", F.lit(0).cast("long").alias("version"))
 
 
+def kb_attribute_id(hs_col, cat_col, attr_col, goods_col) -> Column:
+    """the one key of an attribute record: its namespace and description.
+    A changed value replaces the record."""
+    return short_id(hs_col, cat_col, attr_col, goods_col)
+
+
 def kb_records_from_attributes(long_attrs: DataFrame, method: str = "manual_load",
                                count_col: str | None = None) -> DataFrame:
-    """C11 + P7 + X2 + F10: one attribute-KB record per (namespace, goods,
-    value); 'None'/blank/NULL values are skipped; id is a sha256 of the
-    namespace, goods and value (stable across runs, unlike a process hash)."""
+    """C11 + P7 + X2 + F10: one attribute-KB record per (namespace, goods):
+    the value seen most often, then the smallest; 'None'/blank/NULL values are
+    skipped; ids are stable across runs."""
     v = long_attrs.filter(F.col("value").isNotNull() & ~F.col("value").isin("None", "none", "")
                           & (F.trim("value") != ""))
     n = F.sum(count_col) if count_col else F.count(F.lit(1))
-    d = v.groupBy("hs4", "category", "attr", "goods_shipped", "value").agg(n.cast("int").alias("shipment_count"))
-    return d.select(short_id("hs4", "category", "attr", "goods_shipped", "value").alias("id"), "hs4", "category",
-                    F.col("attr").alias("attribute_name"), F.col("value").alias("attribute_value"), "goods_shipped",
+    keys = ["hs4", "category", "attr", "goods_shipped"]
+    d = v.groupBy(*keys, "value").agg(n.cast("int").alias("n"))
+    d = d.groupBy(*keys).agg(F.min(F.struct((-F.col("n")).alias("m"), "value")).alias("b"), F.sum("n").cast("int").alias("shipment_count"))
+    return d.select(kb_attribute_id(*keys).alias("id"), "hs4", "category",
+                    F.col("attr").alias("attribute_name"), F.col("b.value").alias("attribute_value"), "goods_shipped",
                     F.lit(1.0).alias("confidence"), F.lit(method).alias("classification_method"),
                     "shipment_count", F.lit(0).cast("long").alias("version"))
 
 
 def kb_upsert(existing: DataFrame, updates: DataFrame, id_col: str = "id", version_col: str = "version") -> DataFrame:
-    """Union and keep the newest record per id (idempotent: upserting the
-    same updates twice gives the same table)."""
+    """Union and keep the newest record per id; equal versions are settled
+    by all other columns, largest first (idempotent: upserting the same
+    updates twice gives the same table)."""
     u = existing.unionByName(updates, allowMissingColumns=True)
-    w = Window.partitionBy(id_col).orderBy(F.col(version_col).desc())
+    rest = [F.col(c).desc() for c in sorted(u.columns) if c not in (id_col, version_col)]
+    w = Window.partitionBy(id_col).orderBy(F.col(version_col).desc(), *rest)
     return u.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
@@ -219,11 +230,30 @@ def kb_namespace_counts(kb: DataFrame, ns_cols: Sequence[str], top: int = 10) ->
     return kb.groupBy(*ns_cols).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), *ns_cols).limit(top)
 
 
-def write_back(results: DataFrame, min_score: float, id_cols: Sequence[str]) -> DataFrame:
-    """C10 filter: vector results with mean score >= min_score, or model
-    results; one record per non-'None' value."""
-    keep = ((F.col("method") == "vector") & (F.col("score") >= min_score)) | (F.col("method") == "llm")
-    return results.filter(keep & (F.col("value") != "None")).withColumn("id", full_id(*id_cols))
+def write_back(results: DataFrame, min_score: float, query_col: str = "q_id") -> DataFrame:
+    """C10 filter: the results of vector queries whose mean score over the
+    query's attributes is at least ``min_score``, and of model queries; one
+    record per non-'None' value."""
+    mean = F.avg("score").over(Window.partitionBy(query_col))
+    keep = ((F.col("method").startswith("vector")) & (F.col("_mean") >= min_score)) | (F.col("method") == "llm")
+    return results.withColumn("_mean", mean).filter(keep & F.col("value").isNotNull() & (F.col("value") != "None")).drop("_mean")
+
+
+def product_write_back(labels: DataFrame, hs_col: str = "hs4", cat_col: str = "category", goods_col: str = "goods_shipped") -> DataFrame:
+    """C10, products: fallback labels other than Unclassified as KB records
+    with the lower confidence of a model."""
+    own = labels.filter(F.col(cat_col).isNotNull() & (F.col(cat_col) != UNCLASSIFIED))
+    return own.select(short_id(hs_col, cat_col, goods_col).alias("id"), F.col(hs_col).alias("hs4"), F.col(cat_col).alias("category"),
+                      F.lit(None).cast("string").alias("attribute_name"), F.lit(None).cast("string").alias("attribute_value"),
+                      F.trim(goods_col).alias("goods_shipped"), F.lit(0.8).alias("confidence"),
+                      F.lit("llm_fallback").alias("classification_method"), F.lit(1).alias("shipment_count"), F.lit(1).cast("long").alias("version"))
+
+
+def token_jaccard(a, b) -> Column:
+    """Rerank scorer over texts: shared distinct lower-case words over all of them."""
+    words = lambda x: F.array_distinct(F.filter(F.split(F.lower(F.col(x) if isinstance(x, str) else x), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+    both, all_ = F.size(F.array_intersect(words(a), words(b))), F.size(F.array_union(words(a), words(b)))
+    return F.when(all_ > 0, both / all_).otherwise(F.lit(0.0))
 
 
 def embed_with(df: DataFrame, text_col: str, fn, out_col: str = "embedding") -> DataFrame:

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import token_estimate
 from ..session import cut_lineage
 
 UNCLASSIFIED = "Unclassified"
@@ -56,20 +55,23 @@ def _chunk_of(id_col: Column, n_chunks: Column) -> Column:
 
 
 def goods_to_shipments(rows: DataFrame, keys: Sequence[str] = ("hs4", "product", "goods_shipped"),
-                       id_col: str = "shipment_id", max_ids_per_row: int = 10000) -> DataFrame:
-    """A2 + K2 flat form: ids of each description, '|'-joined and sorted.
-
-    A description may own a third of all rows, so ids are never gathered into
-    one unbounded array: a group with n ids is split into ceil(n / max) chunks
-    by a hash of the id, and each output row holds one chunk
-    (``chunk``, ``n_chunks``, ``n_ids`` describe the split)."""
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_ids"))
-    sized = rows.join(sizes, list(keys))
-    n_chunks = F.greatest(F.ceil(F.col("n_ids") / F.lit(max_ids_per_row)), F.lit(1)).cast("long")
-    chunked = sized.withColumn("n_chunks", n_chunks).withColumn("chunk", _chunk_of(F.col(id_col), F.col("n_chunks")))
-    return (chunked.groupBy(*keys, "n_ids", "n_chunks", "chunk")
-                   .agg(F.array_join(F.array_sort(F.collect_list(id_col)), "|").alias("shipment_ids"),
-                        F.count(F.lit(1)).alias("n_in_chunk")))
+                       id_col: str = "shipment_id") -> DataFrame:
+    """A2: one row per (description, shipment), at any size of a description."""
+    return rows.select(*keys, id_col)
+
+
+def id_lines(pairs: DataFrame, ids_per_line: int, keys: Sequence[str] = ("hs4", "product", "goods_shipped"),
+             id_col: str = "shipment_id") -> DataFrame:
+    """K2 flat form, a sink: the ids of a description '|'-joined and sorted, in
+    ``ceil(n / ids_per_line)`` lines dealt by a hash of the id, so a line is
+    bounded whatever a description owns (``line``, ``n_lines``, ``n_ids``)."""
+    sizes = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_ids"))
+    n_lines = F.ceil(F.col("n_ids") / F.lit(ids_per_line)).cast("long")
+    lined = (pairs.join(sizes, list(keys)).withColumn("n_lines", n_lines)
+                  .withColumn("line", _chunk_of(F.col(id_col), F.col("n_lines"))))
+    return (lined.groupBy(*keys, "n_ids", "n_lines", "line")
+                 .agg(F.array_join(F.array_sort(F.collect_list(id_col)), "|").alias("shipment_ids"),
+                      F.count(F.lit(1)).alias("n_in_line")))
 
 
 def explode_ids(df: DataFrame, ids_col: str = "shipment_ids", out_col: str = "shipment_id",
@@ -85,21 +87,6 @@ def union_ids(a: Column, b: Column) -> Column:
     return F.array_union(F.coalesce(a, F.array()), F.coalesce(b, F.array()))
 
 
-def batch_numbers(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-                  batch_size: int) -> DataFrame:
-    """``batch = (row_number - 1) div size`` within each partition, plus the
-    partition's batch total.  Batches are per (hs4, product) in the
-    reference, so the window keeps its partition clause.  A partition that
-    holds a third of all rows is still sorted by one task; callers with one
-    huge product batch by ``batch_numbers_global`` instead."""
-    w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
-    wp = Window.partitionBy(*partition_cols)
-    return (df.withColumn("pos", F.row_number().over(w) - 1)
-              .withColumn("batch", F.floor(F.col("pos") / batch_size).cast("long"))
-              .withColumn("pos_in_batch", (F.col("pos") % batch_size).cast("int"))
-              .withColumn("n_batches", F.ceil(F.count(F.lit(1)).over(wp) / batch_size).cast("long")))
-
-
 def _range_split(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """Range-partition on (group, order) so one hot group spans many tasks;
     ``_pid`` is the range index (ranges are in key order)."""
@@ -119,32 +106,33 @@ def _range_offsets(local: DataFrame, group_cols: Sequence[str], measures: dict[s
 
 def positions_by_range(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """0-based ``pos`` of each row within its group in ``order_cols`` order,
-    without sending a whole group to one task: rows are range-partitioned on
-    (group, order), numbered inside each range, and shifted by the row counts
-    of the group's earlier ranges."""
-    ranged = _range_split(df, group_cols, order_cols)
-    w_local = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
-    # Materialised once (reliable checkpoint): the numbering and the per-range
-    # counts must see the same range bounds; two independently planned range
-    # exchanges would sample different bounds on large inputs.
-    local = cut_lineage(ranged.withColumn("_lpos", F.row_number().over(w_local) - 1))
-    offsets = _range_offsets(local, group_cols, {"n": F.count(F.lit(1))})
-    out = local.join(offsets, ["_pid", *group_cols])
-    return out.withColumn("pos", (F.col("_off_n") + F.col("_lpos")).cast("long")).drop("_pid", "_lpos", "_off_n")
+    and the group's ``group_size``, without sending a whole group to one task.
+
+    Rows are range-partitioned on (group, order) and sorted within the range,
+    so a row's place in its range is its running id; that of the group's first
+    row there is taken off and the counts of the group's earlier ranges are
+    added. One exchange; pass the columns that are needed only, as the rows
+    are written once so that ids and counts see the same ranges."""
+    cols = [*group_cols, *order_cols]
+    ranged = df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_mid", F.monotonically_increasing_id())
+    local = cut_lineage(ranged).withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
+        "_at", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+    per = local.groupBy("_pid", *group_cols).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))  # one row per range and group
+    before = whole.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("_pid", *group_cols, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_add"),
+                     F.sum("_n").over(whole).alias("group_size"))
+    out = local.join(per, ["_pid", *group_cols])
+    return out.withColumn("pos", (F.col("_at") + F.col("_add")).cast("long")).drop("_pid", "_mid", "_at", "_add")
 
 
 def batch_numbers_scaled(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                          batch_size: int) -> DataFrame:
     """W1 for groups of any size (see ``positions_by_range``)."""
     pos = positions_by_range(df, group_cols, order_cols)
-    if group_cols:
-        pos = pos.join(df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")), list(group_cols))
-    else:
-        pos = pos.withColumn("_n", df.agg(F.count(F.lit(1))).scalar())
-    return (pos
-               .withColumn("batch", F.floor(F.col("pos") / batch_size).cast("long"))
+    return (pos.withColumn("batch", F.floor(F.col("pos") / batch_size).cast("long"))
                .withColumn("pos_in_batch", (F.col("pos") % batch_size).cast("int"))
-               .withColumn("n_batches", F.ceil(F.col("_n") / batch_size).cast("long")).drop("_n"))
+               .withColumn("n_batches", F.ceil(F.col("group_size") / batch_size).cast("long")).drop("group_size"))
 
 
 def running_total(df: DataFrame, order_cols: Sequence[str], value_col: str, out_col: str = "before") -> DataFrame:
@@ -166,12 +154,13 @@ def token_budget(batches: DataFrame, tokens_col: str, order_cols: Sequence[str],
             .withColumn("admitted", F.col("tokens_before") < F.lit(budget)))
 
 
-def batch_tokens(rows: DataFrame, batch_keys: Sequence[str], text_col: str,
+def batch_tokens(rows: DataFrame, batch_keys: Sequence[str], tokens_col: str,
                  per_label_tokens: int = 3) -> DataFrame:
-    """F12 per batch: input estimate ``len // 4`` summed, plus 3 output tokens per item."""
+    """F12 per batch: the items' token estimates (``token_estimate``) summed,
+    plus 3 output tokens per item."""
     return rows.groupBy(*batch_keys).agg(
         F.count(F.lit(1)).alias("n_items"),
-        F.sum(token_estimate(text_col)).cast("long").alias("input_tokens"),
+        F.sum(tokens_col).cast("long").alias("input_tokens"),
     ).withColumn("tokens", F.col("input_tokens") + F.col("n_items") * per_label_tokens)
 
 
@@ -180,17 +169,14 @@ def sample_key(text_col: str, seed: int) -> Column:
     return F.sha2(F.concat(F.lit(str(seed)), F.col(text_col)), 256)
 
 
-def seeded_sample(goods: DataFrame, text_col: str, n: int, seed: int,
-                  partition_cols: Sequence[str] = ()) -> DataFrame:
-    """N distinct texts in a seeded pseudo-random order (all when fewer).
-    Without partition columns this is a TakeOrdered (top-n per task, then
-    merge) — n is the feature's sample size, bounded by configuration."""
-    k = sample_key(text_col, seed)
-    if not partition_cols:
-        return goods.withColumn("sample_key", k).orderBy("sample_key", text_col).limit(n)
-    w = Window.partitionBy(*partition_cols).orderBy(k, F.col(text_col))
-    return goods.withColumn("sample_key", k).withColumn("_rn", F.row_number().over(w)) \
-                .filter(F.col("_rn") <= n).drop("_rn")
+def seeded_rounds(texts: DataFrame, text_col: str, n: int, seeds: Sequence[int], keep: Sequence[Column] = ()) -> DataFrame:
+    """For each round (0-based) n distinct texts in the pseudo-random order
+    of its seed (all when fewer): round, sample_key and the columns ``keep``
+    of the text.  The texts are read once and don't travel: equal texts fall
+    together by their keys, and the window keeps n rows per task first."""
+    keyed = texts.select(*keep, F.posexplode(F.array(*[sample_key(text_col, s) for s in seeds])).alias("round", "sample_key")).distinct()
+    w = Window.partitionBy("round").orderBy("sample_key")
+    return keyed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
 def cap_per_group(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence, n: int) -> DataFrame:

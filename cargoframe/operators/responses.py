@@ -73,10 +73,10 @@ def validate_attribute_responses(goods: DataFrame, responses: DataFrame, schema_
     dict_items = items.filter(F.col("item").startswith("{"))
     g = goods.join(dict_items.withColumnRenamed("pos", pos_col), [*batch_keys, pos_col], "left")
     g = g.join(schema_vals, list(product_keys), "inner")
-    attrs_map = F.from_json(F.get_json_object("item", "$.attributes"), "map<string,string>")
+    attrs_map = F.from_json(F.get_json_object("item", "$.attributes"), "map<string,variant>")
     g = g.withColumn("_am", attrs_map).withColumn("_a", F.explode("attrs")).withColumn("attr", F.col("_a.attr"))
     present = F.col("item").isNotNull()
-    raw = F.when(F.col("_am").isNull(), F.lit(None).cast("string")).otherwise(F.try_element_at("_am", F.col("attr")))
+    raw = F.try_element_at("_am", F.col("attr"))
     # a missing key and a JSON null both mean 'None'
     val = F.when(present, unwrap_value(raw))
     custom = present & unwrap_is_custom(raw)
@@ -107,17 +107,22 @@ def precedence(det: Column, resp: Column, heur: Column) -> tuple[Column, Column]
     return value, source
 
 
-def validation_stats(validated: DataFrame, product_keys: Sequence[str], batch_keys: Sequence[str]) -> DataFrame:
+def validation_stats(validated: DataFrame, product_keys: Sequence[str], batch_keys: Sequence[str],
+                     allow_out_of_schema: bool = False) -> DataFrame:
     """A19 per product: batches, failed batches, assignments checked, coerced
-    (invalid), out-of-schema kept, heuristic fills."""
-    per = validated.groupBy(*product_keys).agg(
+    (invalid), out-of-schema kept, heuristic fills. A batch that answered
+    without any item counts with all its assignments; out-of-schema values
+    are reported only where they are allowed."""
+    answered = F.max(F.col("has_item").cast("int")).over(Window.partitionBy(*product_keys, *batch_keys)) == 1
+    v = validated.withColumn("_answered", answered)
+    counted = F.col("batch").isNotNull() & ~F.col("batch_failed") & (F.col("has_item") | ~F.col("_answered"))
+    return v.groupBy(*product_keys).agg(
         F.countDistinct(*batch_keys).alias("batches"),
         F.countDistinct(F.when(F.col("batch_failed"), F.struct(*batch_keys))).alias("failed_batches"),
-        F.count_if(F.col("has_item") & ~F.col("batch_failed")).alias("total"),
+        F.count_if(counted).alias("total"),
         F.count_if("invalid").alias("invalid"),
-        F.count_if("out_of_schema").alias("out_of_schema"),
+        (F.count_if("out_of_schema") if allow_out_of_schema else F.count_if(F.lit(False))).alias("out_of_schema"),
         F.count_if(F.col("source") == "heuristic").alias("heuristic_fills"))
-    return per
 
 
 def label_with(batches: DataFrame, fn: Callable, batch_keys: Sequence[str], prompt_col: str = "prompt") -> DataFrame:

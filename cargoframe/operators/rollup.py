@@ -66,69 +66,49 @@ def schema_master(long_df: DataFrame, group_cols: Sequence[str], order_col: str
                 .agg(F.min(F.struct(F.col("_o").alias("o"), F.col("cv").alias("v"))).alias("_f")))
     per_attr = first.groupBy(*group_cols, "attr", "attr_ord").agg(
         F.array_sort(F.collect_list(F.when(F.col("_k").isNotNull(), F.col("_f")))).alias("_vals"))
-    entry = F.struct(F.col("attr_ord").alias("o"), attr_to_snake(F.concat(F.lit(ATTR_PREFIX), F.col("attr"))).alias("k"),
-                     json_text_array(F.transform("_vals", lambda x: x["v"])).alias("v"))
-    return per_attr.groupBy(*group_cols).agg(
+    # two columns with one key: the key keeps its place, the later column's values win
+    keyed = per_attr.withColumn("_key", attr_to_snake(F.concat(F.lit(ATTR_PREFIX), F.col("attr"))))
+    keyed = keyed.groupBy(*group_cols, "_key").agg(F.min("attr_ord").alias("_place"), F.max_by("_vals", "attr_ord").alias("_vals"))
+    entry = F.struct(F.col("_place").alias("o"), F.col("_key").alias("k"), json_text_array(F.transform("_vals", lambda x: x["v"])).alias("v"))
+    return keyed.groupBy(*group_cols).agg(
         json_text_object(F.array_sort(F.collect_list(entry))).alias("schema_json"))
 
 
-def shipment_attributes(long_df: DataFrame, id_col: str = "shipment_id", order_cols: Sequence[str] = ("file_ord", "ord"),
-                        product_col: str = "product", rows: DataFrame | None = None) -> DataFrame:
-    """A10 + K5: per shipment, attributes merged over files: the key is
-    ``snake_case_combined(attr)``; the later (file, row, column) wins; the key
-    keeps its first position; blanks and nan/none/null are skipped.  Product
-    is the last non-empty one.  ``long_df``: ``id, product, attr, attr_ord, value`` + order cols.
-
-    One window per (shipment, key) gives both the first position and the
-    last value in a single shuffle and sort (a struct-ordered min/max would
-    be a sort-based aggregate on both sides of the shuffle)."""
-    from pyspark.sql import Window
-    order = [F.col(c) for c in order_cols] + [F.col("attr_ord")]
-    v = (long_df.withColumn(id_col, strip_ws(id_col)).filter(F.col(id_col) != "")
-                .withColumn("_k", snake_case_combined("attr")).filter(F.col("_k") != "")
-                .withColumn("_v", strip_ws("value"))
-                .filter(F.col("_v").isNotNull() & ~F.lower("_v").isin(ROLLUP_MISSING_VALUES)))
-    w = Window.partitionBy(id_col, "_k").orderBy(*order)
-    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    per_key = (v.withColumn("_rf", F.row_number().over(w)).withColumn("_last", F.last("_v").over(w_all))
-                .filter(F.col("_rf") == 1))
-    first_pos = F.struct(*[F.col(c) for c in order_cols], F.col("attr_ord"))
-    attrs = per_key.groupBy(id_col).agg(json_text_object(F.transform(F.array_sort(F.collect_list(
-        F.struct(first_pos.alias("o"), F.col("_k").alias("k"), json_string("_last").alias("v")))),
-        lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v")))).alias("attrs_json"))
-    # products: one row per source row (``rows`` when given, else derived);
-    # one window per id picks the last non-empty product and keeps ids without one
-    src = rows if rows is not None else long_df.select(id_col, product_col, *order_cols).distinct()
-    r = (src.withColumn(id_col, strip_ws(id_col)).filter(F.col(id_col) != "")
-            .withColumn("_prod", strip_ws(product_col)))
-    has = F.coalesce(F.col("_prod") != "", F.lit(False))
-    wp = Window.partitionBy(id_col).orderBy(has.desc(), *[F.col(c).desc() for c in order_cols])
-    prod = (r.withColumn("_rp", F.row_number().over(wp)).filter(F.col("_rp") == 1)
-             .select(id_col, F.when(has, F.col("_prod")).alias(product_col)))
-    out = prod.join(attrs, id_col, "left")
-    return out.select(id_col, F.coalesce(product_col, F.lit("")).alias(product_col),
-                      F.coalesce("attrs_json", F.lit("{}")).alias("attrs_json"))
-
-
-def merge_updates(long_updates: DataFrame, id_col: str = "shipment_id", order_col: str = "ord",
-                  product_col: str = "product") -> DataFrame:
-    """Per id the **first** usable product ('none' is not a product) and
-    the attributes merged last-wins (key keeps its first position), as a
-    ``map<string,string>`` column ``attributes``; ids with neither are dropped.
-    ``long_updates``: ``id, product, attr, attr_ord, value, order_col`` (attr NULL
-    for a row without attributes)."""
-    ok = F.when((strip_ws(product_col) != "") & (F.lower(strip_ws(product_col)) != "none"), strip_ws(product_col))
-    prods = long_updates.groupBy(id_col).agg(F.min_by(ok, F.when(ok.isNotNull(), F.col(order_col))).alias(product_col))
-    pos = F.struct(F.col(order_col), F.col("attr_ord"))
-    vals = (long_updates.filter(F.col("attr").isNotNull() & F.col("value").isNotNull())
-                        .groupBy(id_col, "attr").agg(F.max_by("value", pos).alias("value"), F.min(pos).alias("_first")))
-    maps = vals.groupBy(id_col).agg(F.map_from_entries(F.transform(
-        F.array_sort(F.collect_list(F.struct("_first", "attr", "value"))),
-        lambda e: F.struct(e["attr"], e["value"]))).alias("attributes"))
-    out = prods.join(maps, id_col, "full")
-    return out.filter(F.col(product_col).isNotNull() | (F.size(F.coalesce("attributes", F.create_map())) > 0))
-
-
-def product_name_column(file_col: Column) -> Column:
-    from ..functions.text import product_from_filename
-    return product_from_filename(file_col)
+def shipment_attributes(rows: DataFrame, columns: Sequence[tuple[str, str]], id_col: str = "shipment_id",
+                        order_cols: Sequence[str] = ("file_ord", "ord"), product_col: str = "product") -> DataFrame:
+    """A10 + K5: per shipment, attributes merged over files: ``columns`` names
+    the attribute columns of the wide ``rows`` in file order with their key
+    (``snake_case_combined`` of the name); the later (file, row, column) wins;
+    a key keeps its first position; blanks and nan/none/null are skipped.
+    Product is the last non-empty one.
+
+    One aggregation per shipment: its rows are never exploded per attribute
+    and, with ``max_by`` and ``min``, combined before the shuffle."""
+    def usable(c: str) -> Column:
+        v = strip_ws(F.col(c).cast("string"))
+        return F.when(~F.lower(v).isin(ROLLUP_MISSING_VALUES), v)
+
+    at = F.struct(*[F.col(c) for c in order_cols])
+    keys = list(dict.fromkeys(k for _, k in columns if k))
+    own = {k: [(i, c) for i, (c, key) in enumerate(columns) if key == k] for k in keys}
+    r = rows.withColumn(id_col, strip_ws(id_col)).filter(F.col(id_col) != "").select(
+        id_col, at.alias("_at"), strip_ws(product_col).alias("_prod"),
+        *[F.coalesce(*[usable(c) for _, c in reversed(cs)]).alias(f"_v{n}") for n, cs in enumerate(own.values())],
+        *[F.coalesce(*[F.when(usable(c).isNotNull(), F.lit(i)) for i, c in cs]).alias(f"_c{n}") for n, cs in enumerate(own.values())])
+    aggs = [F.max_by("_prod", F.when(F.col("_prod") != "", F.col("_at"))).alias("_product")]
+    for n in range(len(keys)):
+        there = F.col(f"_v{n}").isNotNull()
+        aggs += [F.max_by(f"_v{n}", F.when(there, F.col("_at"))).alias(f"_v{n}"),
+                 F.min(F.when(there, F.struct("_at", f"_c{n}"))).alias(f"_p{n}")]
+    g = r.groupBy(id_col).agg(*aggs)
+    entries = F.array_sort(F.filter(F.array(*[
+        F.struct(F.col(f"_p{n}._at").alias("o"), F.col(f"_p{n}._c{n}").alias("c"), F.lit(k).alias("k"),
+                 json_string(f"_v{n}").alias("v")) for n, k in enumerate(keys)]), lambda e: e["v"].isNotNull()))
+    return g.select(id_col, F.coalesce("_product", F.lit("")).alias(product_col), json_text_object(entries).alias("attrs_json"))
+
+
+def keyed_columns(spark, names: Sequence[str]) -> list[tuple[str, str]]:
+    """(column, key) of attribute columns, the key by the column rule F4
+    (evaluated once on the names)."""
+    text = spark.range(1).select(*[snake_case_combined(F.lit(n.removeprefix(ATTR_PREFIX))).alias(f"k{i}") for i, n in enumerate(names)]).first()
+    return list(zip(names, text))

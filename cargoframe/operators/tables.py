@@ -17,40 +17,21 @@ from pyspark.sql import functions as F
 
 from ..functions.text import json_string, json_text_object, strip_ws, title_case_key
 
-# ---------------------------------------------------------------------------
-# The warehouse shipment table's declared column types.
-# ---------------------------------------------------------------------------
-WAREHOUSE_SCHEMA = [
-    ("date", "timestamp"), ("hs_code", "string"), ("goods_shipped", "string"),
-    ("shipment_destination", "string"), ("shipment_origin", "string"), ("port_of_lading", "string"),
-    ("port_of_lading_country", "string"), ("port_of_lading_un_locode", "string"), ("port_of_unlading", "string"),
-    ("port_of_unlading_country", "string"), ("port_of_unlading_un_locode", "string"), ("trade_direction", "string"),
-    ("transport_method", "string"), ("is_containerized", "string"), ("value_of_goods_usd", "double"),
-    ("industry_gics", "string"), ("shipment_id", "string"), ("is_multi_product_shipment", "boolean"),
-    ("volume_teu", "double"), ("weight_in_kg", "double"), ("shipper_profile", "string"),
-    ("shipper_ultimate_parent_profile", "string"), ("consignee_profile", "string"),
-    ("consignee_ultimate_parent_profile", "string"), ("consignee_profile_id", "bigint"),
-    ("shipper_profile_id", "bigint"), ("consignee_business_id", "string"), ("shipper_business_id", "string"),
-    ("unit_price", "double"), ("original_consignee_business_id", "string"), ("original_shipper_business_id", "string"),
-    ("product_id", "string"), ("product_name", "string"), ("attributes", "string"), ("is_outlier", "boolean"),
-    ("outlier_type", "string"),
-]
-
-
-def warehouse_rows(text_rows: DataFrame) -> DataFrame:
-    """K6: text rows -> the declared types: '' is NULL, the multi-product flag
-    is ``lower(x) = 'true'``, ``attributes_struct`` is dropped, numbers use
-    ``try_cast`` (bad text becomes NULL instead of failing the load)."""
-    types = dict(WAREHOUSE_SCHEMA)
+def warehouse_rows(text_rows: DataFrame, types: dict[str, str]) -> DataFrame:
+    """K6: text rows -> the table's declared ``types``: '' is NULL, a flag is
+    true if it says so, false if it says anything else, ``attributes_struct``
+    is dropped, numbers and timestamps use ``try_cast`` (bad text becomes NULL
+    instead of failing the load); undeclared columns stay text."""
     out = []
     for c in text_rows.columns:
         if c == "attributes_struct":
             continue
         v = F.nullif(F.col(c).cast("string"), F.lit(""))
-        if c == "is_multi_product_shipment":
+        kind = types.get(c, "string")
+        if kind == "boolean":
             v = F.lower(v) == "true"
-        elif types.get(c, "string") != "string":
-            v = F.expr(f"try_cast(nullif(CAST(`{c}` AS STRING), '') AS {types[c]})")
+        elif kind != "string":
+            v = v.try_cast(kind)
         out.append(v.alias(c))
     return text_rows.select(*out)
 
@@ -63,26 +44,38 @@ def append_to(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     w.parquet(path)
 
 
+def _fragments(json_text: Column) -> Column:
+    """``array<struct<k, v>>`` of a JSON object's members in order, each value
+    as its own JSON text (numbers, objects and nulls keep their type); NULL if
+    the text is not an object."""
+    entries = F.map_entries(F.from_json(json_text, "map<string,variant>"))
+    return F.when(F.try_parse_json(json_text).isNotNull() & F.ltrim(json_text).startswith("{"), F.transform(
+        entries, lambda e: F.struct(e["key"].alias("k"), F.coalesce(F.to_json(e["value"]), F.lit("null")).alias("v"))))
+
+
 def _merged_attrs(existing_json: Column, updates: Column) -> Column:
-    """Existing JSON object text updated with an ordered ``array<struct<k,v>>``:
-    existing keys keep their place, new keys are appended, update values win."""
-    old = F.map_entries(F.coalesce(F.from_json(existing_json, "map<string,string>"), F.create_map().cast("map<string,string>")))
-    upd = F.coalesce(updates, F.array().cast("array<struct<k:string,v:string>>"))
+    """Existing JSON object text updated with an ordered ``array<struct<k,v>>``
+    of JSON fragments: existing keys keep their place, new keys are appended,
+    update values win. Text that is not an object stays as it is."""
+    none = F.array().cast("array<struct<k:string,v:string>>")
+    blank = existing_json.isNull() | (strip_ws(existing_json) == "")
+    old = F.coalesce(_fragments(existing_json), none)
+    upd = F.coalesce(updates, none)
     upd_map = F.map_from_entries(upd)
-    kept = F.transform(old, lambda e: F.struct(e["key"].alias("k"),
-                                               F.coalesce(F.try_element_at(upd_map, e["key"]), e["value"]).alias("v")))
-    old_keys = F.transform(old, lambda e: e["key"])
+    kept = F.transform(old, lambda e: F.struct(e["k"].alias("k"), F.coalesce(F.try_element_at(upd_map, e["k"]), e["v"]).alias("v")))
+    old_keys = F.transform(old, lambda e: e["k"])
     added = F.filter(upd, lambda u: ~F.array_contains(old_keys, u["k"]))
     allkv = F.concat(kept, added)
-    return F.when(F.size(allkv) > 0, json_text_object(F.transform(allkv, lambda e: F.struct(
-        e["k"].alias("k"), json_string(e["v"]).alias("v")))))
+    return (F.when(~blank & _fragments(existing_json).isNull(), existing_json)
+             .when(F.size(allkv) > 0, json_text_object(allkv)))
 
 
 def aggregate_updates(updates: DataFrame, id_col: str = "shipment_id", order_col: str = "ord") -> DataFrame:
     """Per id the first usable product (not blank, not 'none') and the
     attributes merged in row order (later value wins, key keeps its first
     place); ids with neither are dropped.  ``updates``: ``id, product,
-    attrs_json, ord``.  Output: ``id, product, upd`` (array<struct<k,v>>).
+    attrs_json, ord``.  Output: ``id, product, upd`` (array<struct<k,v>>, ``v``
+    JSON text).
 
     ``order_col`` should be numeric: the first product is found in two hash
     aggregate steps and the per-key first/last in one window, so no
@@ -94,9 +87,8 @@ def aggregate_updates(updates: DataFrame, id_col: str = "shipment_id", order_col
     firsts = u.select(id_col, ok.alias("_ok"), order_col).filter(F.col("_ok").isNotNull()) \
               .groupBy(id_col, "_ok").agg(F.min(order_col).alias("_o"))
     prods = firsts.groupBy(id_col).agg(F.min_by("_ok", "_o").alias("product"))
-    kv = (u.select(id_col, order_col, F.posexplode(F.map_entries(F.from_json(strip_ws("attrs_json"), "map<string,string>")))
-                   .alias("kpos", "e"))
-           .select(id_col, order_col, "kpos", F.col("e.key").alias("k"), F.col("e.value").alias("v")))
+    kv = (u.select(id_col, order_col, F.posexplode(_fragments(strip_ws("attrs_json"))).alias("kpos", "e"))
+           .select(id_col, order_col, "kpos", "e.k", "e.v"))
     w = Window.partitionBy(id_col, "k").orderBy(order_col, "kpos")
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     per_key = (kv.withColumn("_rf", F.row_number().over(w)).withColumn("_last", F.last("v").over(w_all))
@@ -112,13 +104,17 @@ def attribute_upsert(target: DataFrame, agg_updates: DataFrame, id_col: str = "s
                      product_col: str = "product_name", attrs_col: str = "attributes") -> DataFrame:
     """K8 + J9: MERGE … WHEN MATCHED THEN UPDATE.  Matched rows get the new
     product (else the old one) and the old attributes updated with the new
-    ones; unmatched update ids are ignored; other rows are unchanged."""
+    ones (values keep their JSON type); an old text that is no JSON object is
+    kept and flagged (``attrs_kept``); unmatched update ids are ignored; other
+    rows are unchanged."""
     u = agg_updates.select(id_col, F.col("product").alias("_np"), F.col("upd").alias("_upd"),
                            F.lit(True).alias("_hit"))
     j = target.join(u, id_col, "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     new_attrs = _merged_attrs(F.col(attrs_col), F.col("_upd"))
-    return (j.withColumn(product_col, F.when(hit, F.coalesce("_np", product_col)).otherwise(F.col(product_col)))
+    bad = hit & F.col(attrs_col).isNotNull() & (strip_ws(attrs_col) != "") & _fragments(F.col(attrs_col)).isNull()
+    return (j.withColumn("attrs_kept", F.coalesce(bad, F.lit(False)))
+             .withColumn(product_col, F.when(hit, F.coalesce("_np", product_col)).otherwise(F.col(product_col)))
              .withColumn(attrs_col, F.when(hit, new_attrs).otherwise(F.col(attrs_col)))
              .drop("_np", "_upd", "_hit"))
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from ..functions.text import WHITESPACE
 from ..sources.fixtures import HS_CODE_SQL, attribute_values_sql, shipments_sql
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"trim({x}, '{WHITESPACE}')"
 
 
 def collapse(x: str) -> str:
-    return f"regexp_replace({strip(x)}, '\\s+', ' ', 'g')"
+    return f"regexp_replace({strip(x)}, '[{WHITESPACE}]+', ' ', 'g')"
 
 
 def hs4(x: str) -> str:
@@ -90,7 +91,7 @@ matches AS (SELECT hs4, product, goods_shipped, n_rows, t, attr, value, pattern
 def resolved_ctes() -> str:
     """``resolved(hs4, product, goods_shipped, attr, value, source)``: dictionary >
     heuristic > 'None' for every (description, attribute) — after matches."""
-    return """attrs AS (SELECT DISTINCT hs4, product, attr, attr_ord FROM schema),
+    return f"""attrs AS (SELECT DISTINCT hs4, product, attr, attr_ord FROM schema),
 ht AS (SELECT hs4, product, goods_shipped, translate(lower(goods_shipped), '#,;/\\()', '       ') AS h FROM goods),
 cand AS (
   SELECT ht.hs4, ht.product, ht.goods_shipped, s.attr, s.value,
@@ -99,9 +100,9 @@ cand AS (
   FROM ht JOIN schema s ON ht.hs4 = s.hs4 AND ht.product = s.product
   WHERE length(s.value) > 0 AND strpos(ht.h, lower(s.value)) > 0
     AND (strpos(ht.h, lower(s.value)) = 1
-         OR regexp_matches(substr(ht.h, strpos(ht.h, lower(s.value)) - 1, 1), '^\\s$'))
+         OR regexp_matches(substr(ht.h, strpos(ht.h, lower(s.value)) - 1, 1), '^[{WHITESPACE}]$'))
     AND (strpos(ht.h, lower(s.value)) + length(lower(s.value)) > length(ht.h)
-         OR regexp_matches(substr(ht.h, strpos(ht.h, lower(s.value)) + length(lower(s.value)), 1), '^\\s$'))
+         OR regexp_matches(substr(ht.h, strpos(ht.h, lower(s.value)) + length(lower(s.value)), 1), '^[{WHITESPACE}]$'))
 ),
 resolved AS (
   SELECT g.hs4, g.product, g.goods_shipped, a.attr, a.attr_ord,

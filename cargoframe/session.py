@@ -44,8 +44,9 @@ def get_spark(app: str = "cargoframe", master: str | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The cluster's ``spark.checkpoint.dir`` wins; only when it is unset (local
-    tests) do we pick a fresh folder under /tmp.
+    The cluster's ``spark.checkpoint.dir`` wins. Where it is unset, a local
+    master (tests) gets a fresh temporary folder; any other master is an
+    error, since its executors share no local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="cargoframe-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -1,15 +1,16 @@
 """File and table sources and sinks.
 
-CSV input is read with an explicit schema (no inference pass over 100 TB);
-``hs_code`` is always text so leading zeros survive.  Multi-file inputs keep
-the file name as a column (``_metadata.file_name``) instead of a Python loop
-over files, and files whose header lacks a column are aligned with
-``unionByName(allowMissingColumns=True)`` by the reader's schema.
+CSV input is read by header name, all columns as text (no inference pass over
+100 TB), so ``hs_code`` keeps leading zeros.  Multi-file inputs keep the file
+name and order as columns; files of one layout are one scan, and layouts are
+aligned with ``unionByName(allowMissingColumns=True)``.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,33 +28,59 @@ def text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, glob: str | None = None) -> DataFrame:
-    """Header CSV with quoted multi-line fields; every column read as text
-    unless a schema is given.  ``file_name`` carries the source file (S12)."""
-    r = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None, glob: str | None = None,
+             multi_line: bool = False) -> DataFrame:
+    """Header CSV; every column is text under its header's name (no inference
+    pass), whatever the order, unless a schema is given for files whose
+    columns stand in that order.  ``multi_line`` allows line breaks in quoted
+    fields, at the price of one split per file.  ``file_name`` carries the
+    source file (S12)."""
+    r = (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
               .option("mode", "PERMISSIVE"))
     if glob:
         r = r.option("pathGlobFilter", glob)
     if schema is not None:
         r = r.schema(schema)
-    df = r.csv(path)
+    df = r.csv(path if isinstance(path, str) else list(path))
     return df.withColumn("file_name", F.col("_metadata.file_name"))
 
 
-def load_shipments_csv(spark: SparkSession, path: str, columns: Sequence[str] = SHIPMENT_TEXT_COLUMNS) -> DataFrame:
-    """Read, check required columns, trim, drop empty descriptions."""
-    df = read_csv(spark, path, text_schema(columns))
-    return load_clean(require_columns(df, ["hs_code", "goods_shipped", "shipment_id"]))
+def load_shipments_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Read by header name, check the required columns on the real header,
+    trim, drop empty descriptions; other columns are kept."""
+    return load_clean(require_columns(read_csv(spark, path, multi_line=multi_line), ["hs_code", "goods_shipped", "shipment_id"]))
 
 
-def read_csv_files_aligned(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Files with different header sets (e.g. per-product attribute
-    columns) unioned by name; absent columns are NULL."""
-    out = None
-    for p in paths:  # one plan per file shape; data never passes through the driver
-        df = read_csv(spark, p)
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out
+def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> list[str]:
+    """Paths below ``path``, sorted (a listing: no content is read)."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+    return sorted(r[0] for r in found.select("path").collect())
+
+
+def read_csv_directory(spark: SparkSession, path: str, id_col: str = "shipment_id", glob: str = "*.csv",
+                       multi_line: bool = False) -> DataFrame:
+    """All files below a directory in path order, aligned by column
+    name (absent columns are NULL), with ``file_name`` and ``file_ord``; files
+    without the id column are skipped.
+
+    Headers are read one by one (a line each); files with the same header are
+    one scan, so the plan grows with the number of layouts, not of files."""
+    layouts: dict[tuple, list[str]] = {}
+    for f in list_files(spark, path, glob):
+        names = tuple(spark.read.option("header", True).option("escape", '"').csv(f).columns)
+        if id_col in names:
+            layouts.setdefault(names, []).append(f)
+    if not layouts:
+        raise ValueError(f"no file below {path} has the column {id_col}")
+    order = sorted(f for fs in layouts.values() for f in fs)
+    scans = [read_csv(spark, fs, multi_line=multi_line).withColumn("_path", F.col("_metadata.file_path")) for fs in layouts.values()]
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    place = spark.createDataFrame([(_bare(f), i) for i, f in enumerate(order)], "_bare string, file_ord int")
+    return out.withColumn("_bare", F.regexp_replace("_path", "^[a-z]+:/+", "/")).join(place, "_bare").drop("_path", "_bare")
+
+
+def _bare(path: str) -> str:
+    return re.sub("^[a-z]+:/+", "/", path)
 
 
 def load_table(spark: SparkSession, table: str | None = None, query: str | None = None,

@@ -36,7 +36,7 @@ def _pad(col: str, n: int) -> F.Column:
 
 def shipments(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataFrame:
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-              "l_extendedprice", "l_quantity", spread_key="l_orderkey")
+              "l_extendedprice", "l_quantity")
     part = read(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
     pk = F.col("p_partkey")
     hs = _hs_code(pk)
@@ -47,7 +47,8 @@ def shipments(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataF
     # Part-only columns are derived on the part side, once per part rather
     # than once per lineitem row.
     pd_ = part.select("p_partkey", hs.alias("hs_code"), goods.alias("goods_shipped"), F.col("p_type").alias("category"))
-    df = li.join(pd_, li.l_partkey == pd_.p_partkey)
+    # both sides grow with the data: shuffled at every size, skew left to AQE
+    df = li.join(pd_.hint("shuffle_hash"), li.l_partkey == pd_.p_partkey)
     sid = F.concat(_pad("l_orderkey", 10), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"),
                    _pad("l_partkey", 8), F.lit("-"), _pad("l_suppkey", 6))
     cents = F.lpad(F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"), 12, "0")

@@ -30,10 +30,10 @@ from ..session import ensure_checkpoint_dir
 
 
 def _existing_labels(spark: SparkSession, labels_path: str, epoch_id: int, keys: Sequence[str]) -> DataFrame | None:
-    try:
-        done = spark.read.parquet(labels_path)
-    except Exception:  # no epoch written yet
+    path = spark._jvm.org.apache.hadoop.fs.Path(labels_path)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):  # no epoch written yet
         return None
+    done = spark.read.parquet(labels_path)
     return done.filter(F.col("epoch") != epoch_id).select(*keys).distinct()
 
 

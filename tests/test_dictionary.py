@@ -34,6 +34,16 @@ def test_density_values(spark):
     assert got == {("coffee 500gr/l grade", "Density"): "500 G/L", ("500 grams / liter", "Density"): "500 G/L"}
 
 
+def test_density_matches_any_number(spark):
+    got = _match(spark, [("Density", ["500-550 G/L"])], ["black pepper 550 g/l", "pepper 500\xa0gr/l", "pepper 525 g/l"])
+    assert got == {("black pepper 550 g/l", "Density"): "500-550 G/L", ("pepper 500\xa0gr/l", "Density"): "500-550 G/L"}
+
+
+def test_unicode_spaces_separate_words(spark):
+    got = _match(spark, [("Item", ["Red Widget"])], ["RED\xa0WIDGET", "red\u3000\u2009widget box"])
+    assert set(got.values()) == {"Red Widget"} and len(got) == 2
+
+
 def test_short_values_and_percent(spark):
     got = _match(spark, [("Broken", ["5%", "15%", "50%"])], ["rice (15% broken)", "5% broken"])
     assert got == {("rice (15% broken)", "Broken"): "15%"}

@@ -13,7 +13,7 @@ def test_csv_roundtrip_keeps_text_codes(spark):
     base = tempfile.mkdtemp(prefix="cf-csv-")
     ship = FX.shipments(spark, SF).withColumn("goods_shipped", F.concat(F.col("goods_shipped"), F.lit('\n"quoted"')))
     FS.write_csv(ship.select("shipment_id", "hs_code", "goods_shipped", "category"), os.path.join(base, "in"))
-    back = FS.load_shipments_csv(spark, os.path.join(base, "in"), ["shipment_id", "hs_code", "goods_shipped", "category"])
+    back = FS.load_shipments_csv(spark, os.path.join(base, "in"), multi_line=True)
     assert back.filter(F.col("hs_code") == "0901").count() > 0  # leading zero kept
     expected = ship.filter(F.trim("goods_shipped") != "").count()
     assert back.count() == expected
@@ -26,13 +26,27 @@ def test_partitioned_files_and_aligned_union(spark):
     b = spark.createDataFrame([("2", "y", "Big")], "shipment_id string, product string, attr_Size string")
     FS.write_csv(a, os.path.join(base, "a"))
     FS.write_csv(b, os.path.join(base, "b"))
-    u = FS.read_csv_files_aligned(spark, [os.path.join(base, "a"), os.path.join(base, "b")])
-    got = sorted((r.shipment_id, r.attr_Color, r.attr_Size) for r in u.collect())
+    FS.write_csv(a.drop("shipment_id"), os.path.join(base, "c"))  # no id column: skipped
+    u = FS.read_csv_directory(spark, base)
+    got = [(r.shipment_id, r.attr_Color, r.attr_Size) for r in sorted(u.collect(), key=lambda r: r.file_ord)]
     assert got == [("1", "Red", None), ("2", None, "Big")]
     FS.write_csv(a.withColumn("hs4", F.lit("0901")), os.path.join(base, "p"), partition_by=["hs4", "product"])
     assert os.path.isdir(os.path.join(base, "p", "hs4=0901", "product=x"))
 
 
+def test_csv_columns_bind_by_name(spark):
+    import pytest
+    base = tempfile.mkdtemp(prefix="cf-hdr-")
+    with open(os.path.join(base, "x.csv"), "w") as f:
+        f.write('goods_shipped,extra_col,hs_code,shipment_id\n"COFFEE, BEANS",zz,0901, s1 \n')
+    r = FS.load_shipments_csv(spark, os.path.join(base, "x.csv")).first()
+    assert (r.shipment_id, r.hs_code, r.goods_shipped, r.extra_col) == ("s1", "0901", "COFFEE, BEANS", "zz")
+    with open(os.path.join(base, "y.csv"), "w") as f:
+        f.write("goods,code\na,b\n")
+    with pytest.raises(ValueError, match="missing required columns"):
+        FS.load_shipments_csv(spark, os.path.join(base, "y.csv"))
+
+
 def test_load_table_filters(spark):
     spark.createDataFrame([("090111", "a"), ("100630", "b")], "hs_code string, k string").createOrReplaceTempView("t_ship")
     got = [tuple(r) for r in FS.load_table(spark, "t_ship", filters={"k": "a"}).collect()]

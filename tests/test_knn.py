@@ -40,3 +40,22 @@ def test_embed_with_user_model(spark):
         return [[t.count(c) for c in "abz"] for t in texts]
     out = {r.t: r.embedding for r in K.embed_with(df, "t", model).collect()}
     assert out == {"ab": [1.0, 1.0, 0.0], "ba": [1.0, 1.0, 0.0], "zz": [0.0, 0.0, 2.0]}
+
+
+def test_write_back_uses_the_mean(spark):
+    rows = [(1, "A", "x", 0.9, "vector"), (1, "B", "y", 0.5, "vector_low_similarity"), (2, "A", "x", 0.4, "vector"), (2, "B", "None", 0.2, "vector"),
+            (3, "A", "z", 0.0, "llm"), (4, None, None, 0.0, "no_schema")]
+    df = spark.createDataFrame(rows, "q_id long, attr string, value string, score double, method string")
+    assert sorted((r.q_id, r.attr) for r in K.write_back(df, 0.6).collect()) == [(1, "A"), (1, "B"), (3, "A")]
+
+
+def test_kb_ties_are_settled(spark):
+    rows = [("a", v, 1) for v in "pqr"]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "id string, v string, version long")
+        assert [tuple(r) for r in K.kb_upsert(df.limit(0), df).collect()] == [("a", "r", 1)]
+
+
+def test_token_jaccard(spark):
+    df = spark.createDataFrame([("Red widget, red", "RED bolt"), ("", "")], "a string, b string")
+    assert [round(r[0], 6) for r in df.select(K.token_jaccard("a", "b")).collect()] == [round(1 / 3, 6), 0.0]

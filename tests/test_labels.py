@@ -26,12 +26,12 @@ def test_running_total(spark):
     assert got == exp
 
 
-def test_goods_to_shipments_chunks(spark):
+def test_id_lines_are_bounded(spark):
     rows = [("h", "p", "hot", f"id{i:05d}") for i in range(2500)] + [("h", "p", "cold", "x1"), ("h", "p", "cold", "x0")]
     df = spark.createDataFrame(rows, "hs4 string, product string, goods_shipped string, shipment_id string")
-    out = L.goods_to_shipments(df, max_ids_per_row=1000).collect()
+    out = L.id_lines(L.goods_to_shipments(df), 1000).collect()
     hot = [r for r in out if r.goods_shipped == "hot"]
-    assert len(hot) == 3 and all(r.n_chunks == 3 and r.n_ids == 2500 for r in hot)
+    assert len(hot) == 3 and all(r.n_lines == 3 and r.n_ids == 2500 for r in hot)
     ids = sorted(i for r in hot for i in r.shipment_ids.split("|"))
     assert ids == sorted(f"id{i:05d}" for i in range(2500))
     cold = [r for r in out if r.goods_shipped == "cold"]
@@ -59,3 +59,12 @@ def test_token_budget(spark):
 def test_union_ids_keeps_first_appearance(spark):
     df = spark.createDataFrame([(["a", "b"], ["b", "c"]), (None, ["x"])], "a array<string>, b array<string>")
     assert [r[0] for r in df.select(L.union_ids(F.col("a"), F.col("b"))).collect()] == [["a", "b", "c"], ["x"]]
+
+
+def test_seeded_rounds_draw_distinct_texts(spark):
+    import hashlib
+    texts = [f"t{i % 40}" for i in range(400)] + ["hot"] * 300
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(6)
+    got = sorted((r["round"], r["sample_key"]) for r in L.seeded_rounds(df, "text", 5, [7, 8]).collect())
+    exp = sorted((k, h) for k, s in enumerate([7, 8]) for h in sorted(hashlib.sha256(f"{s}{t}".encode()).hexdigest() for t in set(texts))[:5])
+    assert got == exp
