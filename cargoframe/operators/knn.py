@@ -8,8 +8,8 @@ Exact top-k within a namespace, computed blockwise:
   ``block_size`` (the bucket count comes from a per-namespace count, so no
   block grows with the data);
 * query blocks meet KB blocks of the same namespace through an equi-join on
-  the namespace (Catalyst broadcasts the KB side when its size check
-  allows, shuffles otherwise);
+  (namespace, query block): a namespace is spread over its query blocks
+  (Catalyst broadcasts the KB side when its size check allows);
 * a ``mapInPandas`` numpy matmul scores each block pair and emits only its
   top-k per query — never the full pair set;
 * a per-query ``row_number() <= k`` merges the block winners (Spark inserts a
@@ -79,10 +79,13 @@ def knn(queries: DataFrame, kb: DataFrame, ns_cols: Sequence[str], q_id: str, k_
     ``spark.sql.execution.arrow.maxBytesPerBatch`` (set by ``get_spark``), so
     choose ``block_size`` near 1024 for 64-d vectors and ~256 for 1024-d."""
     qb = block_vectors(queries, ns_cols, q_id, vec_col, block_size) \
-        .select(*ns_cols, F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"))
-    kbb = block_vectors(kb, ns_cols, k_id, vec_col, block_size) \
-        .select(*ns_cols, F.col("ids").alias("k_ids"), F.col("vecs").alias("k_vecs"))
-    pairs = qb.join(kbb, list(ns_cols)).select("q_ids", "q_vecs", "k_ids", "k_vecs")
+        .select(*ns_cols, "_block", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"))
+    # every KB block goes to each query block of its namespace: a namespace is
+    # spread over as many tasks as it has query blocks
+    nq = queries.groupBy(*ns_cols).agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_size)), F.lit(1)).cast("long").alias("_nq"))
+    kbb = block_vectors(kb, ns_cols, k_id, vec_col, block_size).join(nq, list(ns_cols)) \
+        .select(*ns_cols, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nq") - 1)).alias("_block"), F.col("ids").alias("k_ids"), F.col("vecs").alias("k_vecs"))
+    pairs = qb.join(kbb, [*ns_cols, "_block"]).select("q_ids", "q_vecs", "k_ids", "k_vecs")
     cand = pairs.mapInPandas(_topk_pairs(k), "q_id long, k_id long, score double")
     w = Window.partitionBy("q_id").orderBy(F.col("score").desc(), F.col("k_id"))
     top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
