@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from cargoframe.llm.common import Memo, arrow_map
+from cargoframe.llm.common import Memo, arrow_map, held
 
 _TO_CHARS = {b: chr(256 + b) for b in range(256)}
 _MEMO = 300_000  # pre-tokens in each half of a worker's memo
@@ -93,14 +93,8 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_codec: list = [None, None]  # of this worker: key, codec
-
-
 def _worker_codec(model: bytes, rank_of: np.ndarray, pattern: str) -> Codec:
-    key = (hashlib.blake2b(model).digest(), pattern)
-    if _codec[0] != key:
-        _codec[:] = [key, Codec(model, rank_of, pattern)]
-    return _codec[1]
+    return held(("byte_bpe", hash(model), pattern), lambda: Codec(model, rank_of, pattern))
 
 
 def model_parts(ranks_path: str) -> tuple[bytes, np.ndarray]:

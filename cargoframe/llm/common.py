@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -50,11 +51,12 @@ def arrow_map(df: DataFrame, fn: Callable[[dict[str, pa.Array]], dict], schema:
                 yield pa.RecordBatch.from_arrays(
                     [v if isinstance(v, pa.Array) else pa.array(v, f.type) for f, v in ((f, got[f.name]) for f in out)],
                     schema=out)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
-def slices(b: pa.RecordBatch, max_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def slices(b: pa.RecordBatch, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that one Python step holds a bounded number of bytes."""
     step = max(1, int(b.num_rows * max_bytes / max(b.nbytes, 1)))
     for at in range(0, b.num_rows, step):
@@ -68,6 +70,27 @@ def matrix(col: pa.Array, dim: int, dtype=np.float64) -> np.ndarray:
     return np.asarray(col.flatten().to_numpy(zero_copy_only=False), dtype).reshape(len(col), dim)
 
 
+def give_back() -> None:
+    """Return freed memory to the system, so that a Python worker that waits
+    for its next task holds little (without glibc: Arrow's pool only)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+_held: list = [None, None]
+
+
+def held(key, make: Callable):
+    """The one large object (a codec, a memo) that a Python worker keeps
+    between tasks: asking for another key lets the last one go."""
+    if _held[0] != key:
+        _held[:] = [None, None]
+        _held[:] = [key, make()]
+    return _held[1]
+
+
 class Memo(dict):
     """A bounded memo of ``compute(key)``. When the young half is full it
     becomes the old half; entries used again move back to the young half.
@@ -90,9 +113,13 @@ class Memo(dict):
         return value
 
 
+_CONTRACT = 500_000  # nodes that a partition's union-find holds at once
+
+
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over the links of one partition: each node with the smallest
-    node it reaches here."""
+    node it reaches here. Holds a bounded number of nodes: a full table is
+    given out and started anew, which later rounds make good."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -103,6 +130,10 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             root[x], x = top, root[x]
         return top
 
+    def stars() -> pa.RecordBatch:
+        pairs = [(x, r) for x in root if (r := find(x)) != x]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
     for b in batches:
         for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             root.setdefault(u, u)
@@ -110,9 +141,12 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             u, v = find(u), find(v)
             if u != v:
                 root[max(u, v)] = min(u, v)
-    pairs = [(x, r) for x in root if (r := find(x)) != x]
-    yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()),
-                                      pa.array([p[1] for p in pairs], pa.int64())], names=["u", "v"])
+        if len(root) >= _CONTRACT:
+            yield stars()
+            root = {}
+    yield stars()
+    root = {}
+    give_back()
 
 
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:

@@ -162,22 +162,22 @@ def range_search(x: np.ndarray, adj: list[np.ndarray], q: np.ndarray, start: lis
     return [np.flatnonzero(r[:n] <= reach) for r in dist]
 
 
-def _forest(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    root: dict[int, int] = {}
-
-    def find(a: int) -> int:
-        while root.setdefault(a, a) != a:
-            root[a] = root[root[a]]
-            a = root[a]
-        return a
-
-    out = []
-    for a, b in links:
-        u, v = find(a), find(b)
-        if u != v:
-            root[max(u, v)] = min(u, v)
-            out.append((a, b))
-    return out
+class Forest:
+    """Components of a block's nodes; ``add`` returns the new links that join
+    them, so a dense group gives as many links as it has nodes."""
+
+    def __init__(self, n: int):
+        self.of = np.arange(n)  # smallest node of each node's component
+
+    def add(self, own: int | None, near: np.ndarray) -> np.ndarray:
+        """Join node ``own`` (None: it stands outside the block) with ``near``;
+        the components' smallest nodes that it is to be linked with."""
+        met = np.unique(self.of[near])
+        mine = -1 if own is None else self.of[own]
+        every = met if own is None else np.union1d(met, mine)
+        if len(every) > 1:
+            self.of[np.isin(self.of, every)] = every[0]
+        return met[met != mine]
 
 
 def _nodes(vectors: DataFrame) -> DataFrame:
@@ -266,17 +266,16 @@ def _search(members: DataFrame, cosine: float, beam: int) -> tuple[DataFrame, Da
             at = {int(i): k for k, i in enumerate(ids)}
             adj = [np.array([at[j] for j in to or [] if j in at], int) for to in p.column("to").to_pylist()]
             medoid = int((x @ x.mean(0)).argmax())
-            links: list[tuple[int, int]] = []
+            forest = Forest(len(ids))
             for a in range(0, len(y), 1024):
                 start = [sorted({medoid, at.get(int(i), medoid)}) for i in q_ids[a:a + 1024]]
                 got = range_search(x, adj, y[a:a + 1024], start, 2 - 2 * cosine + 1e-5, beam)
                 for i, near in enumerate(got, a):
                     near = near[(x[near] @ y[i] >= cosine) & (ids[near] != q_ids[i])]
                     if len(near):
-                        out.append((int(q_ids[i]), None, int(copies[near].sum())))
-                        links += [(int(q_ids[i]), int(j)) for j in ids[near]]
-                links = _forest(links)
-            out += [(a, b, None) for a, b in links]
+                        me = int(q_ids[i])
+                        out.append((me, None, int(copies[near].sum())))
+                        out += [(me, int(j), None) for j in ids[forest.add(at.get(me), near)]]
         cols = list(zip(*out)) or [(), (), ()]
         return pa.table([pa.array(c, pa.int64()) for c in cols], names=["id", "to", "n_links"])
 

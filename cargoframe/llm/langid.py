@@ -11,7 +11,8 @@ taken by a hash of their id at a rate that gives about ``per_lang`` rows of
 each language (all rows where there are fewer). Words and n-grams are counted
 where the sample is read and summed by Spark; the ``keep_words`` and
 ``keep_grams`` most frequent of each language make the model, which is
-therefore bounded whatever the corpus. Scoring reads every whole text.
+therefore bounded whatever the corpus; languages beyond the 1000 most frequent
+are not learned. Scoring reads every whole text.
 
 Defined cases: NULL text or text without a letter is ``und`` with score 0, as
 is everything if no labelled row exists; ties go to the smaller language name;
@@ -22,6 +23,7 @@ ignored; empty tables give no rows.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cargoframe.llm.common import arrow_map, materialise
+from cargoframe.llm.common import arrow_map, held, materialise
 
 LONGEST = 4
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -48,12 +50,13 @@ def grams_of(word: str, n: int) -> list[str]:
     return [w[i:i + n] for i in range(len(w) - n + 1)] if n > 1 else list(word)
 
 
-def sample_rows(rows: DataFrame, group: str, per_group: int, seed: str) -> DataFrame:
+def sample_rows(rows: DataFrame, group: str, per_group: int, seed: str, groups: int = 1000) -> DataFrame:
     """About ``per_group`` rows of each value of ``group`` (all, if fewer), by
-    a hash of doc_id; ``rows`` is read without its texts to count the groups."""
-    n = rows.groupBy(group).agg(F.count("*").alias("_n"))
+    a hash of doc_id; of the ``groups`` most frequent values. The counts read
+    no texts, and the rows stay where they are: the few counts are broadcast."""
+    n = rows.groupBy(group).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), group).limit(groups)
     share = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.join(n, group).filter(share * F.col("_n") < per_group).drop("_n")
+    return rows.join(F.broadcast(n), group).filter(share * F.col("_n") < per_group).drop("_n")
 
 
 def learn(docs: DataFrame, per_lang: int = 1500, keep_words: int = 30_000, keep_grams: int = 15_000) -> dict:
@@ -146,17 +149,14 @@ class Scorer:
         return self.langs[best], float(1 / p.sum())
 
 
-_scorer: list = [None, None]
-
-
 def predict(docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, lang_pred, score) of every row of ``docs``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by keep_words and keep_grams
+    key = uuid.uuid4().hex
 
     def run(cols: dict[str, pa.Array]) -> dict:
-        if _scorer[0] is not sent.value:
-            _scorer[:] = [sent.value, Scorer(sent.value)]
-        got = [_scorer[1].score(t.as_py()) for t in cols["text"]]
+        scorer = held(("langid", key), lambda: Scorer(sent.value))
+        got = [scorer.score(t.as_py()) for t in cols["text"]]
         return {"doc_id": cols["doc_id"], "lang_pred": [g[0] for g in got], "score": [g[1] for g in got]}
 
     return arrow_map(docs.selectExpr("cast(doc_id as long) as doc_id", "text"), run, "doc_id long, lang_pred string, score double")

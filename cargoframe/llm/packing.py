@@ -29,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cargoframe.llm.common import Memo, materialise, slices
+from cargoframe.llm.common import Memo, give_back, held, materialise, slices
 
-_MEMO = 400_000  # chunks in each half of a worker's memo
+_MEMO = 250_000  # chunks in each half of a worker's memo
 
 
 class WordEncoder:
@@ -47,7 +47,6 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.path = path
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings are ordinary text
         self.model = self.tok.model
@@ -68,15 +67,6 @@ class WordEncoder:
         return b"".join(map(self.memo.__getitem__, text.encode().split()))
 
 
-_encoder: list = [None]
-
-
-def _worker_encoder(path: str) -> WordEncoder:
-    if _encoder[0] is None or _encoder[0].path != path:
-        _encoder[0] = WordEncoder(path)
-    return _encoder[0]
-
-
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Piece rows: doc_id, piece, start, length, ids_crc32, and (task, nth):
@@ -86,7 +76,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, task = _worker_encoder(tokenizer_path), TaskContext.get().partitionId()
+        enc, task = held(("packing", tokenizer_path), lambda: WordEncoder(tokenizer_path)), TaskContext.get().partitionId()
         seen: dict[int, int] = {}
         end = np.uint32(end_id).tobytes()
         for whole in batches:
@@ -104,6 +94,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end
                 types = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                                  names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"])
+        give_back()
 
     return docs.selectExpr(f"cast({id_col} as long) as i", f"{text_col} as t").mapInArrow(run, schema)
 

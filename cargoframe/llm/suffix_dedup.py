@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargoframe.llm.common import arrow_map, materialise
+from cargoframe.llm.common import arrow_map, give_back, materialise
 
 GRAM = 32
 CHUNK = 1 << 16      # windows that one step over a text handles
@@ -208,6 +208,7 @@ def _compare(kinds: DataFrame, length: int) -> DataFrame:
                 family.add(data)
             yield batch(rows)
         yield batch(results())
+        give_back()
 
     return kinds.mapInArrow(run, _RUNS)
 

@@ -40,14 +40,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargoframe.llm.common import Memo, arrow_map, connected_components, materialise
+from cargoframe.llm.common import Memo, arrow_map, connected_components, give_back, held, materialise
 
 BANDS, ROWS = 24, 4
 SIZE = BANDS * ROWS
 BATCH = 256
 BLOCK = 2048  # elements that a signature step handles at once
 _GOLD, _M1, _M2 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-_word_hash = Memo(xxhash.xxh64_intdigest, 300_000)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -61,7 +60,8 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     words = (text or "").encode().lower().split()  # bytes: ASCII case and white space
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_word_hash.__getitem__, words), np.uint64, len(words))
+    known = held("superminhash", lambda: Memo(xxhash.xxh64_intdigest, 50_000))
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     n = max(1, len(h) - k + 1)
     out = np.full(n, min(k, len(h)), np.uint64)
     for i in range(min(k, len(h))):
@@ -128,6 +128,7 @@ def band_rows(classes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(sig))), pa.array(keys),
                      pa.array(np.repeat(b.column("id").to_numpy(), BANDS))], names=["band", "bucket", "id"])
+        give_back()
 
     return classes.select("id", "sig").mapInArrow(run, "band int, bucket long, id long")
 

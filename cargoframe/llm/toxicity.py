@@ -3,8 +3,8 @@
 1. Voters. Words and word beginnings that stand out in toxic labelled texts
    become lexicon and pattern voters; more voters look at how many of them a
    text holds, at a short fixed list of insults, at shouting and at exclamation
-   marks. A voter says toxic, clean or nothing.
-   The mark in the labels table is one more voter, the first.
+   marks. The mark in the labels table is one more voter. A voter says toxic,
+   clean or nothing.
 2. Label model. A generative model with a hidden label estimates, by EM on the
    votes alone, how often each voter says what under either label, and the
    correlations that remain between voters given the label; correlated voters
@@ -27,6 +27,7 @@ ignored; empty tables give no rows.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargoframe.llm.common import Memo, arrow_map, materialise
+from cargoframe.llm.common import Memo, arrow_map, give_back, held, materialise, slices
 from cargoframe.llm.langid import sample_rows
 
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -46,7 +47,7 @@ STEMS = (4, 5, 6)  # lengths of word beginnings
 LEAST = (2, 3, 5)
 MARK = 0.995       # prior accuracy of the labels table's marks, as strong as the sample is large
 ODDS = 4.0         # how many times as frequent in one class a mined feature is at least
-_MEMO = 200_000
+_MEMO = 100_000
 
 
 def parts_of(word: str) -> list[str]:
@@ -54,14 +55,17 @@ def parts_of(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in STEMS if len(word) > n)]
 
 
+_NOTHING = ((), False)
+
+
 class Features:
     """Feature ids of a text: the mined parts it holds, and how many of its
     words hold a toxic one (``LEAST``, after the parts)."""
 
     def __init__(self, index: dict[str, int], toxic: set[str]):
         def parts(word: str) -> tuple:
-            ps = parts_of(word)
-            return tuple(index[p] for p in ps if p in index), any(p in toxic for p in ps)
+            ids = tuple(index[p] for p in parts_of(word) if p in index)
+            return (ids, any(p in toxic for p in parts_of(word))) if ids else _NOTHING
 
         self.memo, self.first = Memo(parts, _MEMO), len(index)
 
@@ -81,13 +85,14 @@ def mine(sample: DataFrame, keep: int) -> list[tuple[str, int, bool]]:
     three words that lean the same way, beside those that stand out alone."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 1 << 20)):
             rows = set()
             for toxic, text in zip(b.column(0).to_pylist(), b.column(1)):
                 w = ["", *_WORDS.findall((text.as_py() or "").lower()), ""]
                 rows.update((w[i], xxhash.xxh64_intdigest(f"{w[i - 1]} {w[i + 1]}") - (1 << 63), toxic) for i in range(1, len(w) - 1))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int32()))],
                                              names=["word", "near", "toxic"])
+        give_back()
 
     rows = sample.select("toxic", "text").mapInArrow(count, "word string, near long, toxic int").distinct()
     words = materialise(rows.groupBy("word").agg(F.sum("toxic").alias("pos"), F.sum(1 - F.col("toxic")).alias("neg")), "words")
@@ -199,7 +204,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 4000, keep: int =
         return {"votes": [[y, *votes_of(t, lex, lex_set)] for y, t in zip(marks, texts)], "ids": [features.of(t) for t in texts]}
 
     got = arrow_map(sample.select("toxic", "text"), vote, "votes array<int>, ids array<int>").toArrow()
-    votes = np.array(got.column("votes").to_pylist(), np.int64).reshape(got.num_rows, -1)
+    votes = np.array(got.column("votes").to_pylist(), np.int64).reshape(got.num_rows, -1 if got.num_rows else 1)
     prior = np.clip(1 / (1 + np.exp(-_logit(took.get(1, 0), took.get(0, 0)))), 0.02, 0.98)
     post, estimates = label_model(votes, prior)
     size = len(names) + len(LEAST)
@@ -214,18 +219,15 @@ def _logit(a: int, b: int) -> float:
     return float(np.log((a + 0.5) / (b + 0.5)))
 
 
-_worker: list = [None, None]
-
-
 def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ()) -> DataFrame:
     """Columns ``keep`` and score of every row of ``docs`` (column text)."""
     sent = docs.sparkSession.sparkContext.broadcast((model["index"], model["toxic"], model["weights"]))  # at most keep features
+    key = uuid.uuid4().hex
 
     def run(cols: dict[str, pa.Array]) -> dict:
         index, toxic, w = sent.value
-        if _worker[0] is not index:
-            _worker[:] = [index, Features(index, toxic)]
-        z = np.array([w[_worker[1].of(t.as_py() or "")].sum() for t in cols["text"]]) + w[-1]
+        features = held(("toxicity", key), lambda: Features(index, toxic))
+        z = np.array([w[features.of(t.as_py() or "")].sum() for t in cols["text"]]) + w[-1]
         return {c: cols[c] for c in keep} | {"score": 1 / (1 + np.exp(-np.clip(z, -30, 30)))}
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
