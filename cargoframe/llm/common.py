@@ -154,7 +154,7 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     node reached.
 
     Each partition first contracts its own links with union-find, then
-    large-star / small-star rounds run until nothing moves. No component is
+    large-star / small-star rounds run until only stars are left. No component is
     ever gathered in one task: a round keeps one row per link and reduces
     with ``min``.
     """
@@ -162,8 +162,7 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     big = F.greatest(F.col(a), F.col(b)).alias("u")
     edges = links.filter(F.col(a) != F.col(b)).select(big, small).mapInArrow(_contract, "u long, v long")
     edges = materialise(edges.distinct(), "links")
-    mark = _mark(edges)
-    while mark[0]:
+    while not _all_stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = (both.join(low, "u").filter(F.col("v") > F.col("u"))
@@ -171,17 +170,15 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         star = large.join(low, "u")
         star = (star.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-                .union(low.select("u", F.col("m").alias("v"))).filter("u != v").distinct())
-        edges = materialise(star, "links")
-        now = _mark(edges)
-        if now == mark:
-            break
-        mark = now
+                .union(low.select("u", F.col("m").alias("v"))).filter("u != v"))
+        edges = materialise(star.distinct(), "links")
     return (edges.groupBy("u").agg(F.min("v").alias("component"))
             .select(F.col("u").alias("node"), "component")
             .union(edges.select("v", F.col("v").alias("component")).distinct()))
 
 
-def _mark(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return r[0], r[1]
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, itself without one."""
+    ends = edges.select(F.col("u").alias("x"), F.col("v").alias("p")).union(edges.select("v", F.lit(None).cast("long")))
+    n = ends.groupBy("x").agg(F.min("p").alias("a"), F.max("p").alias("b"), F.max(F.col("p").isNull()).alias("root"))
+    return n.filter(F.col("a").isNotNull() & (F.col("root") | (F.col("a") != F.col("b")))).limit(1).count() == 0

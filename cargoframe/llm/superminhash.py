@@ -189,7 +189,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     family = connected_components(stars, "id", "hub").select(F.col("node").alias("id"), F.col("component").alias("family"))
     placed = family.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
     more = _compare_apart(materialise(placed, "families"), texts, k, percent)
-    comp = connected_components(good.union(more).union(_same_id(sets, classes)), "a", "b")
+    stars = first.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    comp = connected_components(stars.union(more).union(_same_id(sets, classes)), "a", "b")
 
     classed = sets.join(classes.select("digest", "id"), "digest", "left")
     out = classed.join(comp.withColumnRenamed("node", "id"), "id", "left")
