@@ -172,8 +172,7 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         star = (star.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
                 .union(low.select("u", F.col("m").alias("v"))).filter("u != v"))
         edges = materialise(star.distinct(), "links")
-    return (edges.groupBy("u").agg(F.min("v").alias("component"))
-            .select(F.col("u").alias("node"), "component")
+    return (edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .union(edges.select("v", F.col("v").alias("component")).distinct()))
 
 

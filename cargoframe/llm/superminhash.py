@@ -207,13 +207,14 @@ def _same_id(sets: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _one_text(found: DataFrame, k: int) -> DataFrame:
-    """(id, text): of the rows with a class's id, those with its set."""
+    """(id, text): of the rows with a class's id, those with its set (rows
+    that repeat a document stay; they only confirm its links again)."""
     def run(cols: dict[str, pa.Array]) -> dict:
         keep = [hashlib.blake2b(shingles(t.as_py(), k).tobytes(), digest_size=16).digest() == d.as_py() for t, d in zip(cols["text"], cols["digest"])]
         mask = pa.array(keep, pa.bool_())
         return {"id": cols["id"].filter(mask), "text": cols["text"].filter(mask)}
 
-    return arrow_map(found.select("id", "text", "digest"), run, "id long, text string").dropDuplicates(["id"])
+    return arrow_map(found.select("id", "text", "digest"), run, "id long, text string")
 
 
 def _compare_apart(placed: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
