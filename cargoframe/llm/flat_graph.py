@@ -13,9 +13,10 @@ Vectors are compared by cosine within their label only.
    times closer to it than the node is).
 4. The adjacency lists that a node got in several blocks are united.
 5. Every node is searched for in the blocks of its home shard: greedy search
-   from the block's medoid (and from the node itself where the block holds
-   it) keeps a beam of the best; while nodes within the link distance turn up
-   it goes on expanding, however many there are.
+   from the block's entry points (the medoid, and one for each piece of the
+   graph that the others do not reach; also the node itself where the block
+   holds it) keeps a beam of the best; while nodes within the link distance
+   turn up it goes on expanding, however many there are.
 6. Found nodes are verified in double precision. A block returns a node's
    link count and a spanning forest of its links, never the pairs of a dense
    group; union-find over the forests gives components.
@@ -116,6 +117,23 @@ def with_reverse(adj: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.append(row, back[keep]), np.append(to, row[order][keep])
 
 
+def entry_points(x: np.ndarray, adj: list[np.ndarray]) -> list[int]:
+    """Nodes from which every node can be reached: the medoid, and again the
+    medoid of the nodes that are still out of reach (a tight group with more
+    members than NEAREST has no edge in or out)."""
+    seen, out = np.zeros(len(x), bool), []
+    while not seen.all():
+        rest = np.flatnonzero(~seen)
+        front = rest[[(x[rest] @ x[rest].mean(0)).argmax()]]
+        out.append(int(front[0]))
+        seen[front] = True
+        while len(front):
+            to = np.unique(np.concatenate([adj[i] for i in front]))
+            front = to[~seen[to]]
+            seen[front] = True
+    return out
+
+
 def range_search(x: np.ndarray, adj: list[np.ndarray], q: np.ndarray, start: list[list[int]], reach: float, beam: int) -> list[np.ndarray]:
     """Per query the nodes found within squared distance ``reach``: greedy
     search with a beam that widens to all nodes within reach."""
@@ -265,10 +283,10 @@ def _search(members: DataFrame, cosine: float, beam: int) -> tuple[DataFrame, Da
             copies = p.column("copies").to_numpy()
             at = {int(i): k for k, i in enumerate(ids)}
             adj = [np.array([at[j] for j in to or [] if j in at], int) for to in p.column("to").to_pylist()]
-            medoid = int((x @ x.mean(0)).argmax())
+            entries = entry_points(x, adj)
             forest = Forest(len(ids))
             for a in range(0, len(y), 1024):
-                start = [sorted({medoid, at.get(int(i), medoid)}) for i in q_ids[a:a + 1024]]
+                start = [sorted({*entries, at.get(int(i), entries[0])}) for i in q_ids[a:a + 1024]]
                 got = range_search(x, adj, y[a:a + 1024], start, 2 - 2 * cosine + 1e-5, beam)
                 for i, near in enumerate(got, a):
                     near = near[(x[near] @ y[i] >= cosine) & (ids[near] != q_ids[i])]

@@ -68,6 +68,40 @@ def test_graph_search_finds_dense_groups_and_shards(spark, monkeypatch):
     assert sum(want[r["vec_id"]][1] == r["component_id"] for r in got) >= 0.98 * len(got)
 
 
+def all_links(x, cosine=0.98):
+    """{row: number of other rows linked with it} by one matrix product."""
+    x = flat_graph.unit(np.asarray(x, float))
+    return dict(enumerate(((x @ x.T >= cosine).sum(1) - 1).tolist()))
+
+
+def as_vectors(spark, x, label=0):
+    return spark.createDataFrame([(i, v.tolist(), label) for i, v in enumerate(np.asarray(x, float))], "vec_id long, embedding array<double>, label int")
+
+
+def test_tight_groups_are_found_in_other_blocks(spark, monkeypatch):
+    """Six groups of 150 distinct vectors in two blocks: groups with more
+    members in a block than NEAREST have no edge to one another."""
+    monkeypatch.setattr(flat_graph, "BLOCK", 450)
+    rng = np.random.default_rng(5)
+    x = (rng.normal(size=(6, 16))[:, None] + rng.normal(size=(6, 150, 16)) * 0.02).reshape(-1, 16)
+    nodes = flat_graph._nodes(as_vectors(spark, x))
+    counts, forest = flat_graph._search(flat_graph._assign(nodes, {}, 0.1), 0.98, 32)
+    assert {r["id"]: r["n_links"] for r in counts.collect()} == all_links(x)
+    assert len({r["component"] for r in flat_graph.connected_components(forest, "id", "to").collect()}) == 6
+
+
+def test_entry_points_reach_every_node():
+    adj = [np.array(a, int) for a in ([1], [0], [3], [2], [2], [])]
+    got = flat_graph.entry_points(flat_graph.unit(np.random.default_rng(6).normal(size=(6, 4))), adj)
+    reached, todo = set(), list(got)
+    while todo:
+        i = todo.pop()
+        if i not in reached:
+            reached.add(i)
+            todo += adj[i].tolist()
+    assert reached == set(range(6))
+
+
 def test_robust_pruning_keeps_the_nearest():
     x = flat_graph.unit(np.random.default_rng(2).normal(size=(50, 6)))
     adj = flat_graph.build_graph(x)
