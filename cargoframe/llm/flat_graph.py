@@ -21,8 +21,13 @@ Vectors are compared by cosine within their label only.
    link count and a spanning forest of its links, never the pairs of a dense
    group; union-find over the forests gives components.
 7. An audit searches a bounded sample of nodes by brute force against all
-   rows; if recall is below ``target``, the search runs again with twice the
-   beam and overlap.
+   rows; the sample grows until ``LINKED`` of its nodes have links. Recall is
+   the mean over those nodes of the share of their linked nodes that was
+   found. If it is below ``target``, the search runs again with twice the
+   beam and overlap. After the last try, or if the largest sample holds too
+   few linked nodes to tell, the blocks of a home shard are compared exactly,
+   pair by pair, by matrix products. Recall is NULL where no audited node has
+   a link (1.0 if every node was audited: there is nothing to find).
 
 Defined cases: vectors that are NULL, zero or hold NULL or non-finite
 components, and rows with NULL label or vec_id, link with nothing; vectors of
@@ -46,7 +51,10 @@ SHARD, BLOCK, SAMPLE = 1024, 4096, 2048
 CENTROIDS = 256      # of one label
 CLUSTERED = 4096     # labels that are clustered; the rest are only dealt into blocks
 DEGREE, NEAREST, ALPHA = 24, 48, 1.2
-AUDIT = 200          # nodes that the audit searches by brute force
+AUDIT = 200          # nodes that the audit searches by brute force at first
+LINKED = 50          # of them with links; fewer, and the audit takes four times the nodes
+AUDITS = 4           # samples it takes at most
+CELLS = 2_000_000    # inner products that an audit step holds at once
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -254,8 +262,9 @@ def _assign(nodes: DataFrame, centroids: dict, overlap: float) -> DataFrame:
         run, f"group string, shard int, id long, embedding {kind}, copies long, home boolean")
 
 
-def _search(members: DataFrame, cosine: float, beam: int) -> tuple[DataFrame, DataFrame]:
-    """(id, n_links) and the forest (a, b) of all blocks."""
+def _search(members: DataFrame, cosine: float, beam: int, exact: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(id, n_links, n_near) and the forest (a, b) of all blocks; ``exact``
+    compares all pairs of a block of points and a block of a home shard."""
     sizes = members.groupBy("group", "shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = members.join(sizes, ["group", "shard"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
 
@@ -268,9 +277,13 @@ def _search(members: DataFrame, cosine: float, beam: int) -> tuple[DataFrame, Da
     edges = members.select("group", "shard", "block", "id", "embedding").groupBy("group", "shard", "block").applyInArrow(
         build, "group string, id long, to long")
     lists = edges.groupBy("group", "id").agg(F.collect_set("to").alias("to"))  # less than BLOCK a block
-    points = members.join(lists, ["group", "id"], "left").select("group", "shard", "block", "id", "embedding", "copies", "to")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    if exact:  # a part is a block of queries
+        points = members.select("group", "shard", "block", every.alias("part"), "id", "embedding", "copies")
+    else:
+        points = members.join(lists, ["group", "id"], "left").select("group", "shard", "block", F.lit(0).alias("part"), "id", "embedding", "copies", "to")
     queries = members.filter("home").select(
-        *(F.col(c).alias(c) for c in ("group", "shard")), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        *(F.col(c).alias(c) for c in ("group", "shard")), every.alias("block"), (F.col("block") if exact else F.lit(0)).alias("part"),
         *(F.col(c).alias(c) for c in ("id", "embedding")))
 
     def find(key: tuple, p: pa.Table, q: pa.Table) -> pa.Table:
@@ -282,53 +295,79 @@ def _search(members: DataFrame, cosine: float, beam: int) -> tuple[DataFrame, Da
             x, y = unit(matrix(p.column("embedding"), dim)), unit(matrix(q.column("embedding"), dim))
             copies = p.column("copies").to_numpy()
             at = {int(i): k for k, i in enumerate(ids)}
-            adj = [np.array([at[j] for j in to or [] if j in at], int) for to in p.column("to").to_pylist()]
-            entries = entry_points(x, adj)
+            if not exact:
+                adj = [np.array([at[j] for j in to or [] if j in at], int) for to in p.column("to").to_pylist()]
+                entries = entry_points(x, adj)
             forest = Forest(len(ids))
             for a in range(0, len(y), 1024):
-                start = [sorted({*entries, at.get(int(i), entries[0])}) for i in q_ids[a:a + 1024]]
-                got = range_search(x, adj, y[a:a + 1024], start, 2 - 2 * cosine + 1e-5, beam)
+                if exact:
+                    got = [np.flatnonzero(r) for r in y[a:a + 1024] @ x.T >= cosine - 1e-9]
+                else:
+                    start = [sorted({*entries, at.get(int(i), entries[0])}) for i in q_ids[a:a + 1024]]
+                    got = range_search(x, adj, y[a:a + 1024], start, 2 - 2 * cosine + 1e-5, beam)
                 for i, near in enumerate(got, a):
                     near = near[(x[near] @ y[i] >= cosine) & (ids[near] != q_ids[i])]
                     if len(near):
                         me = int(q_ids[i])
-                        out.append((me, None, int(copies[near].sum())))
-                        out += [(me, int(j), None) for j in ids[forest.add(at.get(me), near)]]
-        cols = list(zip(*out)) or [(), (), ()]
-        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["id", "to", "n_links"])
+                        out.append((me, None, int(copies[near].sum()), len(near)))
+                        out += [(me, int(j), None, None) for j in ids[forest.add(at.get(me), near)]]
+        cols = list(zip(*out)) or [()] * 4
+        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["id", "to", "n_links", "n_near"])
 
-    keys = ["group", "shard", "block"]
-    found = points.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(find, "id long, to long, n_links long")
+    keys = ["group", "shard", "block", "part"]
+    found = points.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(find, "id long, to long, n_links long, n_near long")
     found = materialise(found, "found")
-    counts = found.filter("to is null").groupBy("id").agg(F.sum("n_links").alias("n_links"))
+    counts = found.filter("to is null").groupBy("id").agg(F.sum("n_links").alias("n_links"), F.sum("n_near").alias("n_near"))
     return counts, found.filter("to is not null").select("id", "to")
 
 
-def brute_force_counts(nodes: DataFrame, cosine: float, sample: int = AUDIT) -> DataFrame:
-    """(id, n_true) of about ``sample`` nodes: linked vectors among all rows."""
-    n = nodes.count()
+def brute_force_counts(nodes: DataFrame, cosine: float, sample: int, n: int) -> DataFrame:
+    """(id, n_true) of about ``sample`` of ``n`` nodes: linked nodes among all."""
     share = F.pmod(F.xxhash64("id", F.lit("audit")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = nodes.filter(share * n < sample).select("group", "id", "embedding").collect()
+    rows = nodes.filter(share * n < sample).select("group", "id", "dim", "embedding").toArrow()
+    names = np.array(rows.column("group").to_pylist(), object)
     by: dict[str, tuple] = {}
-    for g in {r["group"] for r in rows}:
-        own = [r for r in rows if r["group"] == g]
-        by[g] = [r["id"] for r in own], unit(np.array([r["embedding"] for r in own], np.float64))
+    for g in set(names):
+        own = rows.take(pa.array(np.flatnonzero(names == g)))
+        by[g] = own.column("id").to_numpy(), unit(matrix(own.column("embedding"), own.column("dim")[0].as_py()))
     sent = nodes.sparkSession.sparkContext.broadcast(by)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {i: 0 for ids, _ in sent.value.values() for i in ids}
+        total: dict[str, np.ndarray] = {}
         for b in batches:
-            groups = np.array(b.column("group").to_pylist(), object)
-            for g, (ids, q) in sent.value.items():
-                at = np.flatnonzero(groups == g)
-                if len(at):
-                    x = unit(matrix(b.column("embedding").take(pa.array(at)), q.shape[1]))
-                    same = b.column("id").to_numpy()[at] == np.array(ids)[:, None]
-                    for i, c in zip(ids, (((q @ x.T >= cosine) & ~same) * b.column("copies").to_numpy()[at]).sum(1)):
-                        total[i] += int(c)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["id", "n_true"])
+            groups, of = np.unique(np.array(b.column("group").to_pylist(), object), return_inverse=True)
+            order, ends = np.argsort(of, kind="stable"), np.cumsum(np.bincount(of, minlength=len(groups)))
+            for g, at in zip(groups, np.split(order, ends[:-1]) if len(groups) else []):
+                ids, q = sent.value.get(g, ((), None))
+                step = max(1, CELLS // max(len(ids), 1))
+                for a in range(0, len(at) if len(ids) else 0, step):
+                    part = at[a:a + step]
+                    x = unit(matrix(b.column("embedding").take(pa.array(part)), q.shape[1]))
+                    other = b.column("id").to_numpy()[part] != ids[:, None]
+                    total[g] = total.get(g, 0) + ((q @ x.T >= cosine) & other).sum(1)
+        for g, c in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array(sent.value[g][0], pa.int64()), pa.array(c, pa.int64())], names=["id", "n_true"])
+
+    return nodes.select("group", "id", "embedding").mapInArrow(run, "id long, n_true long").groupBy("id").agg(F.sum("n_true").alias("n_true"))
+
+
+def _audit(nodes: DataFrame, cosine: float) -> tuple[DataFrame, bool, bool]:
+    """(id, n_true) of the audited nodes that have links, whether these are
+    enough to tell recall, and whether all nodes were audited."""
+    n = nodes.count()
+    for k in range(AUDITS):
+        sample = AUDIT * 4**k
+        true = materialise(brute_force_counts(nodes, cosine, sample, n).filter("n_true > 0"), "audit")
+        enough = sample >= n or true.count() >= LINKED
+        if enough:
+            break
+    return true, enough, sample >= n
+
 
-    return nodes.select("group", "id", "embedding", "copies").mapInArrow(run, "id long, n_true long").groupBy("id").agg(F.sum("n_true").alias("n_true"))
+def _recall(true: DataFrame, counts: DataFrame) -> float | None:
+    """Mean share of their linked nodes that audited nodes found."""
+    share = F.least(F.coalesce("n_near", F.lit(0)), F.col("n_true")) / F.col("n_true")
+    return true.join(counts, "id", "left").agg(F.avg(share)).first()[0]
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.98, beam: int = 32, overlap: float | None = None, target: float = 0.98,
@@ -338,19 +377,21 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, beam: int = 32, ov
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label")
     nodes = _nodes(v)
     centroids = _centroids(nodes)
-    true = materialise(brute_force_counts(nodes, cosine), "audit")
+    true, enough, all_ = _audit(nodes, cosine)
     overlap = (2 - 2 * cosine) ** 0.5 / 2 if overlap is None else overlap  # half the link distance
-    for k in range(tries):
-        members = materialise(_assign(nodes, centroids, overlap * 2**k), "members")
-        counts, forest = _search(members, cosine, beam * 2**k)
-        hit, all_ = true.join(counts, "id", "left").agg(
-            F.sum(F.least(F.coalesce("n_links", F.lit(0)), F.col("n_true"))), F.sum("n_true")).first()
-        recall = 1.0 if not all_ else hit / all_
-        if recall >= target:
+    whole = (2 - 2 * cosine) ** 0.5 + 1e-6
+    for k in range(tries + 1):
+        exact = k == tries or not enough
+        members = materialise(_assign(nodes, centroids, max(whole, overlap) if exact else overlap * 2**k), "members")
+        counts, forest = _search(members, cosine, beam * 2**k, exact)
+        recall = _recall(true, counts)
+        if recall is None and all_:
+            recall = 1.0  # no node has a link
+        if exact or recall >= target:
             break
     comp = connected_components(forest, "id", "to").withColumnRenamed("node", "id")
     full = (nodes.join(counts, "id", "left").join(comp, "id", "left")
             .select("label", "embedding", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component")))
     out = v.withColumn("_ok", F.col("vec_id").isNotNull()).join(full.withColumn("_ok", F.lit(True)), ["label", "embedding", "_ok"], "left")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"),
-                      F.coalesce(F.col("vec_id") == F.coalesce("component", "vec_id"), F.lit(True)).alias("kept"), F.lit(float(recall)).alias("audit_recall"))
+                      F.coalesce(F.col("vec_id") == F.coalesce("component", "vec_id"), F.lit(True)).alias("kept"), F.lit(recall).cast("double").alias("audit_recall"))

@@ -102,6 +102,44 @@ def test_entry_points_reach_every_node():
     assert reached == set(range(6))
 
 
+@pytest.fixture
+def finds_nothing(monkeypatch):
+    monkeypatch.setattr(flat_graph, "range_search", lambda x, adj, q, *_: [np.zeros(0, int)] * len(q))
+
+
+def test_a_failed_search_ends_exactly(spark, monkeypatch, finds_nothing):
+    """Links stay whole if the greedy search finds nothing; in shards and blocks."""
+    for name, v in (("SHARD", 60), ("BLOCK", 50), ("SAMPLE", 300)):
+        monkeypatch.setattr(flat_graph, name, v)
+    rng = np.random.default_rng(7)
+    centre = rng.normal(size=(30, 8))
+    x = [centre[i % 30] + rng.normal(size=8) * 0.06 * (i % 3) for i in range(300)]
+    want = linked([(i, v.tolist(), 0) for i, v in enumerate(x)])
+    got = flat_graph.near_duplicates(as_vectors(spark, x), tries=1).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == want
+    assert {r["audit_recall"] for r in got} == {1.0}
+
+
+def test_rare_links_are_no_evidence(spark, monkeypatch, finds_nothing):
+    """Three links among 1500 nodes: an audit without linked nodes passes nothing."""
+    monkeypatch.setattr(flat_graph, "AUDIT", 1)
+    x = np.random.default_rng(8).normal(size=(1500, 24))
+    x[:3] = x[100:103] + 0.001
+    got = flat_graph.near_duplicates(as_vectors(spark, x)).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == all_links(x) and sum(r["n_links"] for r in got) == 6
+    assert got[0]["audit_recall"] in (None, 1.0)
+    monkeypatch.setattr(flat_graph, "AUDIT", 200)
+    few = flat_graph.near_duplicates(as_vectors(spark, x[200:300])).collect()  # all audited, no links
+    assert {(r["n_links"], r["audit_recall"]) for r in few} == {(0, 1.0)}
+
+
+def test_recall_weighs_nodes_equally(spark):
+    true = spark.createDataFrame([(1, 1000), (2, 1), (3, 2), (4, 4)], "id long, n_true long")
+    counts = spark.createDataFrame([(1, 10**6, 1000), (3, 900, 1)], "id long, n_links long, n_near long")
+    assert flat_graph._recall(true, counts) == (1 + 0 + 0.5 + 0) / 4
+    assert flat_graph._recall(true.limit(0), counts) is None
+
+
 def test_robust_pruning_keeps_the_nearest():
     x = flat_graph.unit(np.random.default_rng(2).normal(size=(50, 6)))
     adj = flat_graph.build_graph(x)
