@@ -6,7 +6,8 @@ Vectors are compared by cosine within their label only.
 2. Labels larger than ``SHARD`` rows are clustered: centroids are fitted on
    about ``SAMPLE`` of a label's rows. A node is a member of its nearest
    centroid's shard (its home) and of every shard whose border is closer than
-   ``overlap``, so shards overlap. Shards larger than ``BLOCK`` are dealt into
+   ``overlap``, so shards overlap: by the whole link distance, so that a
+   node's home shard holds every node it may link with. Shards larger than ``BLOCK`` are dealt into
    blocks by a hash.
 3. Every block builds a flat graph over its members: a node's nearest
    neighbours, robust-pruned (a neighbour goes if one that stays is ``ALPHA``
@@ -24,7 +25,7 @@ Vectors are compared by cosine within their label only.
    rows; the sample grows until ``LINKED`` of its nodes have links. Recall is
    the mean over those nodes of the share of their linked nodes that was
    found. If it is below ``target``, the search runs again with twice the
-   beam and overlap. After the last try, or if the largest sample holds too
+   beam (and overlap, if it is set below the link distance). After the last try, or if the largest sample holds too
    few linked nodes to tell, the blocks of a home shard are compared exactly,
    pair by pair, by matrix products. Recall is NULL where no audited node has
    a link (1.0 if every node was audited: there is nothing to find).
@@ -378,11 +379,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, beam: int = 32, ov
     nodes = _nodes(v)
     centroids = _centroids(nodes)
     true, enough, all_ = _audit(nodes, cosine)
-    overlap = (2 - 2 * cosine) ** 0.5 / 2 if overlap is None else overlap  # half the link distance
-    whole = (2 - 2 * cosine) ** 0.5 + 1e-6
+    whole = (2 - 2 * cosine) ** 0.5 + 1e-6  # link distance: both ends of a link find each other
+    members = width = None
     for k in range(tries + 1):
         exact = k == tries or not enough
-        members = materialise(_assign(nodes, centroids, max(whole, overlap) if exact else overlap * 2**k), "members")
+        wide = whole if exact or overlap is None else min(whole, overlap * 2**k)
+        if wide != width:
+            members, width = materialise(_assign(nodes, centroids, wide), "members"), wide
         counts, forest = _search(members, cosine, beam * 2**k, exact)
         recall = _recall(true, counts)
         if recall is None and all_:

@@ -140,6 +140,16 @@ def test_recall_weighs_nodes_equally(spark):
     assert flat_graph._recall(true.limit(0), counts) is None
 
 
+def test_links_across_shard_borders_count_on_both_sides(spark, monkeypatch):
+    """A cloud in many shards, searched whole in each: all counts are right
+    though the target would accept half of them."""
+    for name, v in (("SHARD", 60), ("SAMPLE", 300)):
+        monkeypatch.setattr(flat_graph, name, v)
+    x = np.random.default_rng(9).normal(size=(500, 4))
+    got = flat_graph.near_duplicates(as_vectors(spark, x), beam=500, target=0.5).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == all_links(x)
+
+
 def test_robust_pruning_keeps_the_nearest():
     x = flat_graph.unit(np.random.default_rng(2).normal(size=(50, 6)))
     adj = flat_graph.build_graph(x)
