@@ -19,8 +19,9 @@ else (any document, or another place of the same one) is removed.
    dealt out by a 128-bit hash and counted instead.
 4. The repeated intervals go back to their documents, which are cut.
 
-Texts are shuffled once, by document. No group is collected beyond the
-intervals of one document.
+Texts are shuffled once, by a 128-bit digest of doc_id and text, which stands
+for the document in all steps. No group is collected beyond the distinct
+intervals of one text, however many rows repeat it.
 
 Defined cases: NULL text is empty; texts shorter than ``length`` lose nothing;
 rows that repeat a doc_id are told apart by their texts, and equal rows are
@@ -46,7 +47,6 @@ CHUNK = 1 << 16      # windows that one step over a text handles
 BATCH = 4096         # windows of a suffix array batch
 KINDS = 2048         # kinds of one representative that a family takes
 _POS = np.uint64((1 << 17) - 1)
-_NONE = -(1 << 63)   # stands for a NULL doc_id
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -151,29 +151,33 @@ class Family:
 
 def _stretch_rows(keyed: DataFrame, length: int) -> DataFrame:
     def run(cols: dict[str, pa.Array]) -> dict:
-        out: tuple[list, ...] = ([], [], [], [], [], [], [])
-        for doc, tkey, t in zip(cols["doc_id"].to_pylist(), cols["tkey"].to_pylist(), cols["text"]):
+        out: tuple[list, ...] = ([], [], [], [], [], [])
+        for key, t in zip(cols["key"].to_pylist(), cols["text"]):
             text = t.as_py().encode()
             for rep, start, n, twice in stretches(text, length):
                 digest = xxhash.xxh3_64_intdigest(text[start:start + n + length - 1]) - (1 << 63)
-                for o, v in zip(out, (rep, digest, doc, tkey, start, n, twice)):
+                for o, v in zip(out, (rep, digest, key, start, n, twice)):
                     o.append(v)
-        return dict(zip(("rep", "digest", "doc_id", "tkey", "start", "n", "twice"), out))
+        return dict(zip(("rep", "digest", "key", "start", "n", "twice"), out))
 
-    return arrow_map(keyed, run, "rep long, digest long, doc_id long, tkey int, start int, n int, twice boolean")
+    return arrow_map(keyed, run, "rep long, digest long, key binary, start int, n int, twice boolean")
 
 
 def _kind_bytes(kinds: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     """(rep, digest, bytes) of kinds, cut from the texts where they stand."""
-    by_doc = kinds.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("rep", "digest", "start", "n")).alias("want"))
+    by_key = kinds.groupBy("key").agg(F.collect_list(F.struct("rep", "digest", "start", "n")).alias("want"))
     # all columns of texts go along: its shuffle is then the one that the last join reads as well
-    cut = by_doc.join(texts, (F.col("doc_id") == F.col("_doc")) & (F.col("tkey") == F.col("_tkey"))).select("want", *(c for c in texts.columns if c not in ("_doc", "_tkey")))
+    cut = by_key.join(texts, F.col("key") == F.col("_key")).select("want", *texts.columns)
+    given: set[bytes] = set()  # keys of a task: rows that repeat one give its kinds once
 
     def run(cols: dict[str, pa.Array]) -> dict:
         out: tuple[list, ...] = ([], [], [])
-        for want, t in zip(cols["want"].to_pylist(), cols["_text"]):
+        for key, want, t in zip(cols["_key"].to_pylist(), cols["want"], cols["_text"]):
+            if key in given:
+                continue
+            given.add(key)
             text = t.as_py().encode()
-            for w in want:
+            for w in want.as_py():
                 for o, v in zip(out, (w["rep"], w["digest"], text[w["start"]:w["start"] + w["n"] + length - 1])):
                     o.append(v)
         return dict(zip(("rep", "digest", "bytes"), out))
@@ -233,15 +237,15 @@ def repeated_spans(docs: DataFrame, length: int, fn: Callable[[bytes, list[tuple
                    keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep`` and ``fn(text bytes, removed runs)`` of every row of
     ``docs``; runs are maximal, disjoint and in reading order."""
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("_doc"),
-                        (F.crc32(F.coalesce("text", F.lit("")).cast("binary")) - F.lit(1 << 31)).cast("int").alias("_tkey"),
+    named = F.concat(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.lit("/"), F.coalesce("text", F.lit("")))
+    texts = docs.select(F.unhex(F.md5(named.cast("binary"))).alias("_key"),
                         *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)), F.coalesce("text", F.lit("")).alias("_text"))
-    spans = materialise(_stretch_rows(texts.select(F.col("_doc").alias("doc_id"), F.col("_tkey").alias("tkey"), F.col("_text").alias("text"))
+    spans = materialise(_stretch_rows(texts.select(F.col("_key").alias("key"), F.col("_text").alias("text"))
                                       .filter(F.octet_length("text") >= length), length), "stretches")
     again = spans.groupBy("rep").agg(F.count("*").alias("c"), F.max("twice").alias("t")).filter("c > 1 or t").select("rep")
     marked = materialise(spans.join(again, "rep"), "marked")
     kinds = marked.groupBy("rep", "digest").agg(
-        F.count("*").alias("copies"), F.min(F.struct("doc_id", "tkey", "start", "n")).alias("at"), F.max("twice").alias("twice"))
+        F.count("*").alias("copies"), F.min(F.struct("key", "start", "n")).alias("at"), F.max("twice").alias("twice"))
     kinds = kinds.join(kinds.groupBy("rep").agg(F.count("*").alias("kinds")), "rep")
     kinds = materialise(kinds.select("rep", "digest", "copies", "at.*", "twice", "kinds"), "kinds")
 
@@ -251,9 +255,9 @@ def repeated_spans(docs: DataFrame, length: int, fn: Callable[[bytes, list[tuple
     part = _compare(few, length).union(_count_windows(many, length)).join(kinds.filter("copies = 1").select("rep", "digest"), ["rep", "digest"])
     whole = kinds.filter("copies > 1").select("rep", "digest", F.lit(0).alias("first"), (F.col("n") - 1).alias("last"))
     hits = marked.join(whole.union(part), ["rep", "digest"]).select(
-        "doc_id", "tkey", F.struct((F.col("start") + F.col("first")).alias("a"), (F.col("start") + F.col("last") + length).alias("z")).alias("run"))
-    runs = hits.groupBy("doc_id", "tkey").agg(F.collect_list("run").alias("runs"))
-    done = texts.join(runs, (F.col("doc_id") == F.col("_doc")) & (F.col("tkey") == F.col("_tkey")), "left")
+        "key", F.struct((F.col("start") + F.col("first")).alias("a"), (F.col("start") + F.col("last") + length).alias("z")).alias("run"))
+    runs = hits.groupBy("key").agg(F.collect_set("run").alias("runs"))  # distinct before the shuffle
+    done = texts.join(runs, F.col("key") == F.col("_key"), "left")
 
     def finish(cols: dict[str, pa.Array]) -> dict:
         got = [fn(t.as_py().encode(), merge(r)) for t, r in zip(cols["_text"], cols["runs"].to_pylist())]

@@ -2,6 +2,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -177,6 +178,42 @@ def test_removal_repeated_and_null_ids(spark):
     assert got == sorted([("1", len(a), len(a)), ("1", len(b), len(b)), ("None", len(b), len(b)), ("2", len(a) + 2, len(a))])
 
 
+def crc_twins(make, n=400_000):
+    """Two of ``make(i)`` with one crc32."""
+    seen = {}
+    for i in range(n):
+        t = make(i)
+        j = seen.setdefault(zlib.crc32(t.encode()), i)
+        if j != i:
+            return make(j), t
+
+
+@pytest.mark.parametrize("doc", [None, 7])
+def test_removal_tells_texts_of_one_id_apart(spark, doc):
+    """Texts of one id and one crc32: one with repeated passages, one without, and a short one."""
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(260))
+    a, b = crc_twins(lambda i: f"{i:09d} {passage if i % 2 else passage[::-1]} {i * 7919:012d}")
+    texts = [a, b, "x" + passage + "y", "short", a[:100]]
+    df = spark.createDataFrame([(doc, t) for t in texts] + [(1, passage[30:])], "doc_id long, text string")
+    got = sorted(tuple(r)[1:] for r in suffix_dedup.removal_digests(df, 200).collect())
+    assert zlib.crc32(a.encode()) == zlib.crc32(b.encode()) and a != b
+    assert got == sorted(brute_removal([*texts, passage[30:]], 200))
+
+
+def test_rows_that_repeat_a_text_collect_its_runs_once(spark, monkeypatch):
+    """3000 rows equal in id and text: the list of runs stays that of one text."""
+    rng = random.Random(10)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(900))
+    monkeypatch.setattr(suffix_dedup, "merge", lambda runs, merge=suffix_dedup.merge: [(len(runs or []), 0), *merge(runs)])
+    rows = [(None, text)] * 3000 + [(3, text[100:500] + "z" * 90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_dedup.repeated_spans(docs, 200, lambda t, runs: {"held": runs[0][0], "removed": sum(z - a for a, z in runs[1:])}, "held long, removed long").collect()
+    most = max(r["held"] for r in got)
+    assert 0 < most < 50
+    assert {(r["doc_id"], r["removed"]) for r in got} == {(None, 900), (3, 400)}
+
+
 def test_family_levels_are_geometric():
     rng = random.Random(6)
     f = suffix_dedup.Family(20)
