@@ -42,13 +42,14 @@ class WordEncoder:
     A chunk of letters (and one final stop or comma), all below U+0130, is one
     word for the file's normaliser and pre-tokeniser, so its lower-case form
     goes straight to the file's BPE model; any other chunk takes the whole way.
+    The file's special strings hold no white space, so a chunk holds them whole
+    and they get their own ids, as in the whole text.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings are ordinary text
         self.model = self.tok.model
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # fixed rule: bytes that stand for themselves
         hidden = [b for b in range(256) if b not in set(shown)]

@@ -150,3 +150,22 @@ def test_word_encoder_equals_library():
     for _ in range(500):
         t = "".join(rng.choice("abcABC  \n\x1cé'sñΣσİſ漢🙂12.,!\x85\xa0̸=<|endoftext|>") for _ in range(40))
         assert np.frombuffer(enc.encode(t), "<u4").tolist() == enc.tok.encode(t, add_special_tokens=False).ids
+
+
+def test_special_strings_get_their_ids(spark):
+    """Against a tokenizer fresh from the file, texts with whole special strings."""
+    from tokenizers import Tokenizer
+    path = P.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    assert tok.encode("a <|endoftext|> b", add_special_tokens=False).ids == [320, 49407, 321]
+    rng = random.Random(8)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|endoftext", "|>", " ", "\n", "\x85", "\u3000", "\x1c", "A", "b", "word.", "é", "漢", "'s", "12"]
+    texts = ["a <|endoftext|> b", "<|startoftext|>", "x<|endoftext|>y. <|ENDOFTEXT|>"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(500)]
+    enc = packing.WordEncoder(path)
+    for t in texts:
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+    rows = packing.pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path).collect()
+    for r in rows:
+        ids = np.array([*tok.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 1], "<u4")
+        assert r["length"] == len(ids) and r["ids_crc32"] == zlib.crc32(ids.tobytes())
