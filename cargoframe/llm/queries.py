@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargoframe.llm import byte_bpe, chat_format, flat_graph, langid, packing, pii_crf, suffix_dedup, superminhash, topk_search, toxicity
+from cargoframe.llm import (
+    byte_bpe,
+    chat_format,
+    flat_graph,
+    langid,
+    packing,
+    pii_crf,
+    projected_search,
+    spelling,
+    suffix_dedup,
+    superminhash,
+    topk_search,
+    toxicity,
+    turn_repair,
+)
 from cargoframe.llm.common import crc_mod, read
 
 QUERIES: dict = {}
@@ -116,6 +130,39 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(v, F.col("vec_id") % 20 == 0, 20)
 
 
+@query
+def op11_projected_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest of the embeddings by inner product, through stable projections."""
+    v = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return projected_search.nearest(v, F.col("vec_id") % 20 == 0, 20)
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, planted mistakes included, and their common forms."""
+    words = spelling.word_counts(read(spark, sf_dir, "documents", "doc_id", "text"), damage=199)
+    return spelling.variants(words)
+
+
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """``conversations`` with planted faults; ``present`` is false for dropped rows."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn")).cast("binary")) % 20
+    t = turns.select("conv_id", "turn", space("role").alias("role"), space("text").alias("text"), fault.alias("fault"))
+    return t.select(
+        "conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        (F.col("fault") != 0).alias("present"),
+        F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("again")).drop("again")
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged as the contract says, audited and repaired."""
+    turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return turn_repair.audit_conversations(damaged_turns(turns), F.col("present"))
+
+
 ORACLE["op4_topk_search"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
