@@ -1,11 +1,21 @@
 """Dictionary matching of attribute values.
 
-Plan shape: the attribute schema is compiled once into one array of entries
-per product key (a table whose size is bounded by the configuration, not by
-the data).  Each distinct goods row joins its product's array on the product
-keys (broadcast by Catalyst's size check when small, shuffle otherwise) and the
-hit selection runs inside the row with higher-order functions: no row
-explosion before filtering and no shuffle for the longest-value pick.
+A value occurs in a text if it stands there between token boundaries. Text and
+values are marked at their gaps once (``token_marked``), so that the test is a
+plain substring search; only density values, which match by any of their
+numbers, keep a regular expression.
+
+Two plans share that test:
+
+* ``compile_dictionary`` / ``match_hits``: a schema whose size is bounded by the
+  configuration is compiled into one array of entries per product. Each distinct
+  goods row joins its product's array (Catalyst's size check decides about
+  broadcasting) and the hits are selected inside the row.
+* ``value_index`` / ``match_by_token``: a dictionary that grows with the data is
+  an inverted index, each value under its rarest token. Descriptions are
+  exploded to their distinct tokens and joined on (product, token), so a
+  description meets only the values whose rarest token it holds, and no task
+  holds a product's values together.
 """
 
 from __future__ import annotations
@@ -16,34 +26,38 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import (HEURISTIC_SEPARATORS, NEGATION_WINDOW_CHARS, NEGATION_WORDS, WHITESPACE,
-                              bounded_pattern, collapse_ws, is_density_value, match_text, strip_ws,
-                              value_pattern)
+from ..functions.text import (DENSITY_UNIT, HEURISTIC_SEPARATORS, NEGATION_WINDOW_CHARS, NEGATION_WORDS, WHITESPACE,
+                              bounded_pattern, collapse_ws, is_density_value, marked_value, match_text, strip_ws,
+                              token_marked, tokens, unmarked_length, value_pattern)
 
 MIN_VALUE_CHARS = 3
 _WS = list(WHITESPACE)
 
 
-def compile_dictionary(schema: DataFrame, keys: Sequence[str], min_chars: int = MIN_VALUE_CHARS) -> DataFrame:
-    """Per product key: ``dict`` = array of
-    ``struct(attr_ord, neg_len, value, attr, probe, pattern)`` sorted in the
-    order the matcher tries values (attribute, longest first, then alphabetical).
-
-    ``schema`` has ``keys + [attr, attr_ord, value, value_ord]``.  Values shorter
-    than ``min_chars`` after trimming are dropped; values equal after
-    lower-casing and whitespace collapsing keep the first in list order."""
+def dictionary_values(schema: DataFrame, keys: Sequence[str], min_chars: int = MIN_VALUE_CHARS) -> DataFrame:
+    """``keys + [attr, norm, value, attr_ord, probe, pattern]``: the values to
+    match. Values shorter than ``min_chars`` after trimming are dropped; values
+    equal after lower-casing and whitespace collapsing keep the first in list
+    order. ``pattern`` is NULL but for density values."""
     v = (schema.withColumn("_vv", strip_ws("value"))
                .filter(F.length("_vv") >= min_chars)
                .withColumn("norm", F.lower(collapse_ws("value"))))
     first = (v.groupBy(*keys, "attr", "norm")
               .agg(F.min(F.struct("value_ord", "value", "attr_ord")).alias("f"))
               .select(*keys, "attr", "norm", "f.value", "f.attr_ord"))
-    entries = first.select(
-        *keys,
-        F.struct(F.col("attr_ord"), (-F.length("value")).alias("neg_len"), F.col("value"), F.col("attr"),
-                 # a density value may occur with any of its numbers: no probe
-                 F.when(is_density_value("norm"), F.lit("")).otherwise(F.col("norm")).alias("probe"),
-                 bounded_pattern(value_pattern("norm")).alias("pattern")).alias("e"))
+    return first.select(*keys, "attr", "norm", "value", "attr_ord", marked_value("norm").alias("probe"),
+                        F.when(is_density_value("norm"), bounded_pattern(value_pattern("norm"))).alias("pattern"))
+
+
+def compile_dictionary(schema: DataFrame, keys: Sequence[str], min_chars: int = MIN_VALUE_CHARS) -> DataFrame:
+    """Per product key: ``dict`` = array of
+    ``struct(attr_ord, neg_len, value, attr, probe, pattern)`` sorted in the
+    order the matcher tries values (attribute, longest first, then alphabetical).
+
+    ``schema`` has ``keys + [attr, attr_ord, value, value_ord]``; see
+    ``dictionary_values``."""
+    entries = dictionary_values(schema, keys, min_chars).select(
+        *keys, F.struct("attr_ord", (-F.length("value")).alias("neg_len"), "value", "attr", "probe", "pattern").alias("e"))
     compiled = entries.groupBy(*keys).agg(F.array_sort(F.collect_list("e")).alias("dict"))
     # Heuristic candidates keep every value (no length minimum, no dedupe);
     # ``attrs`` is the product's attribute list in schema order.
@@ -79,21 +93,37 @@ def _negated(text: Column, start0: Column) -> Column:
     return lb.rlike(_NEG_RE)
 
 
-def _with_start(hits: Column, text: Column) -> Column:
-    """Bind each hit's match position once: ``struct(e, s)``; regexp_instr
-    gives the boundary char's 1-based position = the value's 0-based start."""
-    return F.transform(hits, lambda d: F.struct(d.alias("e"), F.regexp_instr(text, d["pattern"]).alias("s")))
+def _occurs(x: Column, d: Column) -> Column:
+    """Whether entry ``d`` stands in ``x`` = struct(text, marked)."""
+    return F.when(d["pattern"].isNull(), F.instr(x["marked"], d["probe"]) > 0).otherwise(F.regexp(x["text"], d["pattern"]))
+
+
+def _start(x: Column, d: Column) -> Column:
+    """0-based start of the first occurrence (a pattern's match begins with the
+    boundary character before it)."""
+    before = F.substring(x["marked"], F.lit(1), F.instr(x["marked"], d["probe"]) - 1)
+    return F.when(d["pattern"].isNull(), unmarked_length(before)).otherwise(F.regexp_instr(x["text"], d["pattern"]))
+
 
+def match_form(x) -> Column:
+    """struct(text, marked): a description as the matcher reads it."""
+    t = match_text(x)
+    return F.struct(t.alias("text"), token_marked(t).alias("marked"))
 
-def match_hits(text: Column, dictionary: Column, negation_guard: bool = False) -> Column:
-    """Array of dictionary entries whose value occurs in ``text`` at a token
-    boundary (optionally not in a negated context), in try order."""
-    # cheap containment probe first; the regex only runs on real candidates
-    found = F.filter(dictionary, lambda d: ((d["probe"] == "") | (F.instr(text, d["probe"]) > 0)) & F.regexp(text, d["pattern"]))
+
+def _with_start(hits: Column, x: Column) -> Column:
+    """Bind each hit's match position once: ``struct(e, s)``."""
+    return F.transform(hits, lambda d: F.struct(d.alias("e"), _start(x, d).alias("s")))
+
+
+def match_hits(x: Column, dictionary: Column, negation_guard: bool = False) -> Column:
+    """Array of dictionary entries whose value occurs in ``x`` (a ``match_form``)
+    at a token boundary (optionally not in a negated context), in try order."""
+    found = F.filter(dictionary, lambda d: _occurs(x, d))
     if not negation_guard:
         return found
-    kept = F.filter(_with_start(found, text), lambda x: ~_negated(text, x["s"]))
-    return F.transform(kept, lambda x: x["e"])
+    kept = F.filter(_with_start(found, x), lambda h: ~_negated(x["text"], h["s"]))
+    return F.transform(kept, lambda h: h["e"])
 
 
 def first_per_attr(hits: Column) -> Column:
@@ -105,23 +135,72 @@ def dictionary_match(goods: DataFrame, dictionaries: DataFrame, keys: Sequence[s
                      text_col: str = "goods_shipped", negation_guard: bool = False) -> DataFrame:
     """One row per (goods row, attribute) that the dictionary resolves:
     ``goods columns + attr, value``."""
-    joined = goods.join(dictionaries.select(*keys, "dict"), list(keys), "inner").withColumn("_t", match_text(text_col))
+    joined = goods.join(dictionaries.select(*keys, "dict"), list(keys), "inner").withColumn("_t", match_form(text_col))
     picked = joined.withColumn("_m", first_per_attr(match_hits(F.col("_t"), F.col("dict"), negation_guard)))
     return (picked.select(*goods.columns, F.explode("_m").alias("_h"))
                   .select(*goods.columns, F.col("_h.attr").alias("attr"), F.col("_h.value").alias("value")))
 
 
+# --- J3 for dictionaries that grow with the data --------------------------------
+
+_ANY, _DENSITY = "*", "#"  # index keys of values without a token, and of density values
+
+
+def value_index(schema: DataFrame, keys: Sequence[str], min_chars: int = MIN_VALUE_CHARS) -> DataFrame:
+    """``dictionary_values`` and ``token``: of the value's tokens the one that
+    the fewest values of its product hold (ties: the longest, then the first).
+
+    Every token of a value that stands in a text is a token of the text, so any
+    one of them finds it. Values without a token stand under ``*``, density
+    values under ``#``."""
+    v = dictionary_values(schema, keys, min_chars)
+    names = F.when(F.col("pattern").isNotNull(), F.array(F.lit(_DENSITY))).otherwise(F.array_distinct(tokens("norm")))
+    v = v.withColumn("token", F.explode(F.when(F.size(names) == 0, F.array(F.lit(_ANY))).otherwise(names)))
+    held = v.groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("n"))
+    rarest = F.min(F.struct("n", (-F.length("token")).alias("neg_len"), "token")).alias("r")
+    by_value = [*keys, "attr", "norm", "value", "attr_ord", "probe", "pattern"]
+    return v.join(held, [*keys, "token"]).groupBy(*by_value).agg(rarest).select(*by_value, F.col("r.token").alias("token"))
+
+
+def match_by_token(goods: DataFrame, index: DataFrame, keys: Sequence[str],
+                   text_col: str = "goods_shipped", negation_guard: bool = False) -> DataFrame:
+    """C1/C2 by an equi-join with a ``value_index``: one row per (goods row,
+    attribute) resolved, ``goods columns + attr, value``; the same rows as
+    ``dictionary_match``.
+
+    ``goods`` rows are told apart by ``keys`` and text: equal ones get the same
+    matches. The token rows are narrow (a 128-bit key and the token); texts are
+    shuffled once to meet their candidates. A hot token is split by AQE's
+    skew join, and the pick of the longest value is an aggregation that starts
+    before the shuffle."""
+    # an escaped separator keeps ("a", "bc") and ("ab", "c") apart
+    part = [F.coalesce(F.replace(F.col(c).cast("string"), F.lit("|"), F.lit("||")), F.lit("|n")) for c in (*keys, text_col)]
+    g = goods.withColumn("_id", F.unhex(F.md5(F.concat_ws("|.", *part))))
+    texts = g.select("_id", *keys, match_form(text_col).alias("_t")).dropDuplicates(["_id"])
+    own = F.concat(F.array_distinct(tokens(F.col("_t.text"))), F.array(F.lit(_ANY)),
+                   F.when(F.col("_t.text").rlike(DENSITY_UNIT), F.array(F.lit(_DENSITY))).otherwise(F.array().cast("array<string>")))
+    candidates = texts.select("_id", *keys, F.explode(own).alias("token")).join(index, [*keys, "token"]).select(
+        "_id", F.struct("attr", (-F.length("value")).alias("neg_len"), "value", "probe", "pattern").alias("d"))
+    x, d = F.col("_t"), F.col("d")
+    hit = _occurs(x, d)
+    if negation_guard:
+        hit = hit & ~_negated(x["text"], _start(x, d))
+    best = (texts.select("_id", "_t").join(candidates, "_id").filter(hit).groupBy("_id", F.col("d.attr").alias("attr"))
+            .agg(F.min(F.struct("d.neg_len", "d.value")).alias("b")).select("_id", "attr", F.col("b.value").alias("value")))
+    return g.join(best, "_id").select(*goods.columns, "attr", "value")
+
+
 def match_summary(goods: DataFrame, dictionaries: DataFrame, keys: Sequence[str],
                   text_col: str = "goods_shipped", negation_guard: bool = False) -> DataFrame:
     """Per goods row: attributes tried, matched, and matches rejected by the
     negation guard before the accepted value (the matcher stops at the first
     accepted value of each attribute)."""
-    j = goods.join(dictionaries, list(keys), "inner").withColumn("_t", match_text(text_col))
+    j = goods.join(dictionaries, list(keys), "inner").withColumn("_t", match_form(text_col))
     t = F.col("_t")
     found = match_hits(t, F.col("dict"), False)
     raw = F.transform(_with_start(found, t),
                       lambda x: F.struct(x["e"]["attr"].alias("attr"),
-                                         (_negated(t, x["s"]) if negation_guard else F.lit(False)).alias("neg")))
+                                         (_negated(t["text"], x["s"]) if negation_guard else F.lit(False)).alias("neg")))
     accepted = F.filter(raw, lambda x: ~x["neg"])
     n_matched = F.size(F.array_distinct(F.transform(accepted, lambda x: x["attr"])))
     blocked = F.size(F.filter(raw, lambda x, i: x["neg"] & ~F.exists(
@@ -182,7 +261,7 @@ def resolve_attributes(goods: DataFrame, dictionaries: DataFrame, keys: Sequence
     ``wide`` one ``attr_<Name>`` column per listed attribute (K1 layout built
     in the row, no pivot shuffle)."""
     j = (goods.join(dictionaries, list(keys), "inner")
-              .withColumn("_t", match_text(text_col)).withColumn("_ht", heuristic_text(text_col)))
+              .withColumn("_t", match_form(text_col)).withColumn("_ht", heuristic_text(text_col)))
     j = j.withColumn("_m", first_per_attr(match_hits(F.col("_t"), F.col("dict"), negation_guard)))
 
     def resolve(a):
@@ -211,7 +290,7 @@ def resolve_maps(goods: DataFrame, dictionaries: DataFrame, keys: Sequence[str],
     with the negation guard), ``heur`` (heuristic values for attributes the
     dictionary left open) as maps, and ``n_open``."""
     j = (goods.join(dictionaries, list(keys), "inner")
-              .withColumn("_t", match_text(text_col)).withColumn("_ht", heuristic_text(text_col)))
+              .withColumn("_t", match_form(text_col)).withColumn("_ht", heuristic_text(text_col)))
     j = (j.withColumn("_p", first_per_attr(match_hits(F.col("_t"), F.col("dict"), False)))
           .withColumn("_g", first_per_attr(match_hits(F.col("_t"), F.col("dict"), True))))
 
