@@ -1,19 +1,28 @@
 """Nearest-neighbour label transfer and the knowledge base (J2, J4, J5, W4,
 F17, C7–C11, P10, P11, K10, K11, A3, A20–A22).
 
-Exact top-k within a namespace, computed blockwise:
-
-* vectors are L2-normalised once, so cosine = dot product;
-* each namespace's vectors are hash-bucketed into blocks of about
-  ``block_size`` (the bucket count comes from a per-namespace count, so no
-  block grows with the data);
-* query blocks meet KB blocks of the same namespace through an equi-join on
-  (namespace, query block): a namespace is spread over its query blocks
-  (Catalyst broadcasts the KB side when its size check allows);
-* a ``mapInPandas`` numpy matmul scores each block pair and emits only its
-  top-k per query — never the full pair set;
-* a per-query ``row_number() <= k`` merges the block winners (Spark inserts a
-  per-task group limit before that shuffle).
+Exact top-k by cosine within a namespace, with clusters that are pruned:
+
+* vectors are brought to unit length once, so cosine = dot product and the
+  distance of two vectors is ``sqrt(2 - 2 cosine)``;
+* a namespace of more than ``cluster_size`` KB vectors is cut into clusters
+  around some of its own vectors; a cluster is known by the smallest and the
+  largest distance of its vectors to its centre;
+* a first pass searches each query's own cluster, which gives its k-th best
+  so far;
+* by the triangle inequality no vector of a cluster is nearer to a query than
+  the gap between the query's distance to the centre and those two bounds. A
+  second pass takes a query only to the clusters that this leaves open, before
+  any vector is shuffled for it. Nothing is approximate: what is dropped can't
+  be among the k best;
+* a cluster of any size is dealt by a hash to blocks, its queries to chunks, and
+  every (block, chunk) is one bounded matrix product that returns its top-k per
+  query; a per-query ``row_number() <= k`` merges them (Spark inserts a per-task
+  group limit before that shuffle).
+
+A vector is usable if it is there, not empty, holds finite numbers only and isn't
+zero; others take no part (``usable_vector``; C8 reports them as ``vector_error``).
+Queries meet KB vectors of the same length only.
 """
 
 from __future__ import annotations
@@ -22,75 +31,212 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_vector, short_id
+from ..session import cut_lineage
 
 UNCLASSIFIED = "Unclassified"
+MAX_CENTRES = 256  # of a namespace; larger clusters have more blocks
+CHUNK = 2048       # queries of one step
 
 
-def block_vectors(df: DataFrame, ns_cols: Sequence[str], id_col: str, vec_col: str,
-                  block_size: int) -> DataFrame:
-    """One row per (namespace, block): ``ids`` and unit ``vecs`` arrays of
-    about ``block_size`` entries."""
-    counts = df.groupBy(*ns_cols).agg(F.count(F.lit(1)).alias("_n"))
-    nb = F.greatest(F.ceil(F.col("_n") / F.lit(block_size)), F.lit(1)).cast("long")
-    b = (df.join(counts, list(ns_cols)).withColumn("_block", F.pmod(F.xxhash64(id_col), nb))
-           .select(*ns_cols, "_block", F.col(id_col).cast("long").alias("_id"),
-                   normalize_vector(vec_col).alias("_v")))
-    return b.groupBy(*ns_cols, "_block").agg(F.collect_list("_id").alias("ids"), F.collect_list("_v").alias("vecs"))
-
-
-def _topk_pairs(k: int):
-    """Per block pair: scores by one matmul, then a row-wise lexsort (score
-    descending, KB id ascending) keeps the exact top-k per query."""
-    def run(batches):
-        for pdf in batches:
-            out_q, out_k, out_s = [], [], []
-            for qi, qv, ki, kv in zip(pdf["q_ids"], pdf["q_vecs"], pdf["k_ids"], pdf["k_vecs"]):
-                if len(qi) == 0 or len(ki) == 0:
-                    continue
-                qm = np.stack(qv).astype(np.float64)
-                km = np.stack(kv).astype(np.float64)
-                kid = np.asarray(ki, dtype=np.int64)
-                scores = qm @ km.T
-                kk = min(k, km.shape[0])
-                order = np.lexsort((np.broadcast_to(kid, scores.shape), -scores), axis=-1)[:, :kk]
-                out_q.append(np.repeat(np.asarray(qi, dtype=np.int64), kk))
-                out_k.append(kid[order].ravel())
-                out_s.append(np.take_along_axis(scores, order, axis=1).ravel())
-            if out_q:
-                yield pd.DataFrame({"q_id": np.concatenate(out_q), "k_id": np.concatenate(out_k),
-                                    "score": np.concatenate(out_s)})
+def usable_vector(vec: str) -> Column:
+    """Whether a vector can be compared: finite components, not all zero."""
+    c = F.col(vec)
+    ok = F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(c, lambda x: x != 0)
+    return F.coalesce(c.isNotNull() & ok, F.lit(False))
+
+
+def _units(df: DataFrame, ns_cols: Sequence[str], id_col: str, vec_col: str) -> DataFrame:
+    """``ns…, dim, id, v``: usable vectors at unit length; rows without a
+    namespace or id meet nothing."""
+    known = F.col(id_col).isNotNull() & usable_vector(vec_col)
+    for c in ns_cols:
+        known = known & F.col(c).isNotNull()
+    return df.filter(known).select(*ns_cols, F.size(vec_col).alias("dim"), F.col(id_col).cast("long").alias("id"),
+                                   normalize_vector(vec_col).alias("v"))
+
+
+def _matrix(t: pa.Table, dim: int) -> np.ndarray:
+    v = t.column("v").combine_chunks()
+    return np.asarray(v.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(t.num_rows, dim)
+
+
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(0.0, 2 - 2 * (a @ b.T)))
+
+
+def _step_key(left: pa.Table, right: pa.Table, names: Sequence[str]) -> list[pa.Array]:
+    """The key columns of a step, as many rows as asked for later."""
+    t = left if left.num_rows else right
+    return [t.column(c).combine_chunks().slice(0, 1) for c in names]
+
+
+def _repeat(one: pa.Array, n: int) -> pa.Array:
+    return one.take(pa.array(np.zeros(n, np.int64)))
+
+
+def _assign(keys: Sequence[str], whole: bool):
+    """Step: the nearest centre of every vector of a block and its distance;
+    ``whole`` adds the distances to all centres, in their order."""
+
+    def run(key: tuple, x: pa.Table, centres: pa.Table) -> pa.Table:
+        dim, n = key[len(keys) - 1].as_py(), x.num_rows if centres.num_rows else 0
+        cols, x = [x.column(c).combine_chunks().slice(0, n) for c in (*keys, "id", "v")], x.slice(0, n)
+        if n:
+            order = np.argsort(centres.column("centre").to_numpy(), kind="stable")
+            d = _distance(_matrix(x, dim), _matrix(centres, dim)[order])
+        else:
+            d = np.zeros((0, 1))
+        home = d.argmin(1) if n else np.zeros(0, np.int64)
+        cols += [pa.array(home.astype(np.int32)), pa.array(d[np.arange(n), home])]
+        names = [*keys, "id", "v", "cluster", "dist"]
+        if whole:
+            cols, names = [*cols, pa.array(list(d), pa.list_(pa.float64()))], [*names, "dists"]
+        return pa.table(cols, names=names)
+
+    return run
+
+
+def _best_of_block(keys: Sequence[str], k: int):
+    """Step: the top-k of a KB block for each query of a chunk. One matrix
+    product sorts out; what can be among the best is scored row by row, so that
+    equal vectors score equal wherever they lie."""
+
+    def run(key: tuple, x: pa.Table, q: pa.Table) -> pa.Table:
+        dim = key[len(keys) - 1].as_py()
+        one = _step_key(x, q, keys)
+        out = [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
+        if x.num_rows and q.num_rows:
+            xm, qm, ids = _matrix(x, dim), _matrix(q, dim), x.column("id").to_numpy()
+            s = qm @ xm.T
+            if s.shape[1] > k:
+                least = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
             else:
-                yield pd.DataFrame({"q_id": pd.Series([], dtype="int64"), "k_id": pd.Series([], dtype="int64"),
-                                    "score": pd.Series([], dtype="float64")})
+                least = np.full(len(s), -np.inf)
+            row, col = np.nonzero(s >= (np.maximum(least, q.column("floor").to_numpy()) - 1e-12)[:, None])
+            s = (qm[row] * xm[col]).sum(1)
+            order = np.lexsort((ids[col], -s, row))
+            row, col, s = row[order], col[order], s[order]
+            top = np.arange(len(row)) - np.searchsorted(row, row) < k
+            out = [q.column("id").to_numpy()[row[top]], ids[col[top]], s[top]]
+        return pa.table([*(_repeat(c, len(out[0])) for c in one), *map(pa.array, out)], names=[*keys, "q_id", "k_id", "score"])
+
     return run
 
 
+def _ddl(df: DataFrame, names: Sequence[str]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*names).schema)
+
+
+def _apart(df: DataFrame, *names: str) -> DataFrame:
+    """The columns under identities of their own: both sides of a cogroup may
+    come from one table."""
+    return df.select(*(F.col(c).alias(c) for c in names))
+
+
+def _search(kb: DataFrame, asked: DataFrame, keys: Sequence[str], k: int, block_size: int) -> DataFrame:
+    """Top-k of each asked (query, cluster): ``keys, q_id, k_id, score``.
+    ``kb``: keys, cluster, id, v; ``asked``: the same and floor."""
+    where = [*keys, "cluster"]
+    blocks = kb.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / block_size).cast("int").alias("_blocks"))
+    chunks = asked.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("_chunks"))
+    plan = blocks.join(chunks, where)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    left = kb.join(plan, where).withColumn("_block", own("_blocks")).withColumn("_chunk", every("_chunks"))
+    right = asked.join(plan, where).withColumn("_chunk", own("_chunks")).withColumn("_block", every("_blocks"))
+    step = [*keys, "cluster", "_block", "_chunk"]
+    left, right = left.select(*step, "id", "v"), _apart(right, *step, "id", "v", "floor")
+    run = _best_of_block(keys, k)
+    by_keys = lambda key, x, q: run(key[:len(keys)], x, q)
+    return left.groupBy(*step).cogroup(right.groupBy(*step)).applyInArrow(by_keys, f"{_ddl(kb, keys)}, q_id long, k_id long, score double")
+
+
+def _top(found: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    w = Window.partitionBy(*keys, "q_id").orderBy(F.col("score").desc(), F.col("k_id"))
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def _clustered(b: DataFrame, q: DataFrame, keys: Sequence[str], block_size: int, cluster_size: int) -> tuple[DataFrame, DataFrame]:
+    """KB vectors with their cluster and distance, and queries with theirs and
+    the distances to all centres of their namespace (both written once)."""
+    size = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # centres: the first vectors in the order of a hash; the group limit of row_number cuts every task's rows first
+    w = Window.partitionBy(*keys).orderBy(F.xxhash64("id", F.lit("centre")), "id", "v")
+    centres = b.withColumn("centre", F.row_number().over(w)).filter(F.col("centre") <= MAX_CENTRES).join(size, list(keys))
+    centres = centres.filter(F.col("centre") <= F.ceil(F.col("_n") / cluster_size)).select(*keys, "centre", "v")
+
+    def placed(rows: DataFrame, whole: bool) -> DataFrame:
+        n = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block_size).cast("int").alias("_blocks"))
+        left = rows.join(n, list(keys)).withColumn("_block", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")).select(*keys, "_block", "id", "v")
+        right = centres.join(n, list(keys)).withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        right = _apart(right, *keys, "_block", "centre", "v")
+        out = f"{_ddl(rows, [*keys, 'id', 'v'])}, cluster int, dist double" + (", dists array<double>" if whole else "")
+        run = _assign(keys, whole)
+        step = lambda key, x, c: run(key[:len(keys)], x, c)
+        return cut_lineage(left.groupBy(*keys, "_block").cogroup(right.groupBy(*keys, "_block")).applyInArrow(step, out))
+
+    return placed(b, False), placed(q, True)
+
+
+def _passes(queries: DataFrame, kb: DataFrame, ns_cols: Sequence[str], q_id: str, k_id: str, vec_col: str, k: int,
+            block_size: int, cluster_size: int) -> tuple[DataFrame, list[DataFrame], list[str], DataFrame]:
+    """Found rows, the (query, cluster) rows of each pass, the key columns, and
+    the clusters' KB rows."""
+    b, q = _units(kb, ns_cols, k_id, vec_col), _units(queries, ns_cols, q_id, vec_col)
+    keys, nothing = [*ns_cols, "dim"], F.lit(float("-inf")).alias("floor")
+    most = b.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if most <= cluster_size:  # every namespace is one cluster: there is nothing to prune
+        b, q = (x.withColumn("cluster", F.lit(0)) for x in (b, q))
+        asked = q.select(*keys, "cluster", "id", "v", nothing)
+        return _search(b, asked, keys, k, block_size), [asked], keys, b
+    b, q = _clustered(b, q, keys, block_size, cluster_size)
+    first = q.select(*keys, "cluster", "id", "v", nothing)
+    found = cut_lineage(_search(b, first, keys, k, block_size))
+    floor = _top(found, keys, k).filter(F.col("rank") == k).select(*keys, F.col("q_id").alias("id"), F.col("score").alias("floor"))
+    rings = b.groupBy(*keys, "cluster").agg(F.min("dist").alias("low"), F.max("dist").alias("high"))
+    rings = rings.groupBy(*keys).agg(F.collect_list(F.struct("cluster", "low", "high")).alias("rings"))  # MAX_CENTRES at most
+    open_ = q.join(floor, [*keys, "id"], "left").join(rings, keys)
+    # no vector of the ring is nearer than the gap between the query's distance to its centre and the ring
+    reach = F.coalesce(F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("floor"))), F.lit(3.0)) + 1e-7
+    at = lambda r: F.element_at("dists", r["cluster"] + 1)
+    left_open = F.filter("rings", lambda r: (r["cluster"] != F.col("cluster")) & (at(r) - r["high"] <= reach) & (r["low"] - at(r) <= reach))
+    second = open_.select(*keys, F.explode(F.transform(left_open, lambda r: r["cluster"])).alias("cluster"), "id", "v",
+                          F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    second = cut_lineage(second)
+    return found.unionByName(_search(b, second, keys, k, block_size)), [first, second], keys, b
+
+
 def knn(queries: DataFrame, kb: DataFrame, ns_cols: Sequence[str], q_id: str, k_id: str,
-        vec_col: str = "embedding", k: int = 10, block_size: int = 1024) -> DataFrame:
-    """Exact top-k KB neighbours by cosine per query within its namespace:
+        vec_col: str = "embedding", k: int = 10, block_size: int = 1024, cluster_size: int = 4096) -> DataFrame:
+    """Exact top-k KB neighbours by cosine per (namespace, query):
     ``ns_cols…, q_id, k_id, score, rank`` (rank 1 = best; ties by KB id).
 
-    A block-pair row holds about ``2 * block_size * dim * 8`` bytes; Arrow
-    batches into the Python worker are capped by
-    ``spark.sql.execution.arrow.maxBytesPerBatch`` (set by ``get_spark``), so
-    choose ``block_size`` near 1024 for 64-d vectors and ~256 for 1024-d."""
-    qb = block_vectors(queries, ns_cols, q_id, vec_col, block_size) \
-        .select(*ns_cols, "_block", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"))
-    # every KB block goes to each query block of its namespace: a namespace is
-    # spread over as many tasks as it has query blocks
-    nq = queries.groupBy(*ns_cols).agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_size)), F.lit(1)).cast("long").alias("_nq"))
-    kbb = block_vectors(kb, ns_cols, k_id, vec_col, block_size).join(nq, list(ns_cols)) \
-        .select(*ns_cols, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nq") - 1)).alias("_block"), F.col("ids").alias("k_ids"), F.col("vecs").alias("k_vecs"))
-    pairs = qb.join(kbb, [*ns_cols, "_block"]).select("q_ids", "q_vecs", "k_ids", "k_vecs")
-    cand = pairs.mapInPandas(_topk_pairs(k), "q_id long, k_id long, score double")
-    w = Window.partitionBy("q_id").orderBy(F.col("score").desc(), F.col("k_id"))
-    top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    qns = queries.select(F.col(q_id).cast("long").alias("q_id"), *ns_cols)
-    return top.join(qns, "q_id")
+    Query ids are unique within a namespace; a query that stands in two
+    namespaces gets a list in each. A step holds about
+    ``(block_size + CHUNK) * dim * 8`` bytes."""
+    found, _, keys, _ = _passes(queries, kb, ns_cols, q_id, k_id, vec_col, k, block_size, cluster_size)
+    return _top(found, keys, k).select("q_id", "k_id", "score", "rank", *ns_cols)
+
+
+def knn_work(queries: DataFrame, kb: DataFrame, ns_cols: Sequence[str], q_id: str, k_id: str,
+             vec_col: str = "embedding", k: int = 10, block_size: int = 1024, cluster_size: int = 4096) -> DataFrame:
+    """What pruning saves, per namespace: ``ns_cols…, pairs_all`` ((query, KB
+    vector) pairs), ``pairs_kept`` (those that a search scores) and ``share_kept``."""
+    _, passes, keys, b = _passes(queries, kb, ns_cols, q_id, k_id, vec_col, k, block_size, cluster_size)
+    size = b.groupBy(*keys, "cluster").agg(F.count(F.lit(1)).alias("n"))
+    asked = None
+    for i, p in enumerate(passes):
+        n = p.groupBy(*keys, "cluster").agg(F.count(F.lit(1)).alias("asked")).withColumn("first", F.lit(i == 0))
+        asked = n if asked is None else asked.unionByName(n)
+    kept = asked.join(size, [*keys, "cluster"]).groupBy(*ns_cols).agg(F.sum(F.col("asked") * F.col("n")).alias("pairs_kept"))
+    n_q = asked.filter("first").groupBy(*keys).agg(F.sum("asked").alias("q"))
+    total = size.groupBy(*keys).agg(F.sum("n").alias("x")).join(n_q, keys).groupBy(*ns_cols).agg(F.sum(F.col("x") * F.col("q")).alias("pairs_all"))
+    return total.join(kept, list(ns_cols)).withColumn("share_kept", F.col("pairs_kept") / F.col("pairs_all"))
 
 
 def pearson(a, b) -> Column:
@@ -134,7 +280,8 @@ def attribute_transfer(best: DataFrame, allowed: DataFrame, thresholds: DataFram
                        default_threshold: float) -> DataFrame:
     """C8 + P10 + P11 per (query, attribute): ``best`` holds the top hit
     (``score``, ``hit_value``; NULL when the namespace had no KB rows; a NULL
-    ``attr`` marks a category without a schema: one row, ``no_schema``).
+    ``attr`` marks a category without a schema: one row, ``no_schema``; a false
+    ``usable`` a query whose vector can't be compared: ``vector_error``).
     ``allowed(ns…, attr, value)`` is the schema; ``thresholds(attr, threshold)``
     overrides the default per attribute."""
     t = best
@@ -148,7 +295,8 @@ def attribute_transfer(best: DataFrame, allowed: DataFrame, thresholds: DataFram
     t = t.join(ok_vals, (F.col("category") == F.col("_c")) & (F.col("attr") == F.col("_a"))
                & (F.col("hit_value") == F.col("_ok")), "left").drop("_c", "_a")
     valid = F.col("_ok").isNotNull() | (F.col("hit_value") == "None")
-    method = (F.when(F.col("attr").isNull(), "no_schema").when(F.col("score").isNull(), "vector_no_match")
+    usable = F.col("usable") if "usable" in best.columns else F.lit(True)
+    method = (F.when(F.col("attr").isNull(), "no_schema").when(~usable, "vector_error").when(F.col("score").isNull(), "vector_no_match")
               .when(F.col("score") < thr, "vector_low_similarity")
               .when(valid, "vector").otherwise("vector_invalid"))
     value = F.when(F.col("attr").isNull(), F.lit(None).cast("string")).when(method == "vector", F.col("hit_value")).otherwise(F.lit("None"))

@@ -59,3 +59,56 @@ def test_kb_ties_are_settled(spark):
 def test_token_jaccard(spark):
     df = spark.createDataFrame([("Red widget, red", "RED bolt"), ("", "")], "a string, b string")
     assert [round(r[0], 6) for r in df.select(K.token_jaccard("a", "b")).collect()] == [round(1 / 3, 6), 0.0]
+
+
+def _brute(q, kb, k):
+    """{(ns, q_id): [k_id]} over rows (id, ns, vector)."""
+    out = {}
+    for i, ns, v in q:
+        rows = [(-float((np.array(v) / np.linalg.norm(v)) @ (np.array(x) / np.linalg.norm(x))), j) for j, m, x in kb if m == ns and len(x) == len(v)]
+        if rows:
+            out[ns, i] = [j for _, j in sorted((round(s, 12), j) for s, j in rows)[:k]]
+    return out
+
+
+def _frames(spark, q, kb):
+    t = "long, ns int, embedding array<double>"
+    return spark.createDataFrame(q, f"qid {t}"), spark.createDataFrame(kb, f"kid {t}")
+
+
+def _lists(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: r["rank"]):
+        out.setdefault((r.ns, r.q_id), []).append(r.k_id)
+    return out
+
+
+def test_clusters_are_pruned_and_the_answer_stays_exact(spark):
+    rng = np.random.default_rng(11)
+    centre = rng.normal(size=(40, 16)) * 3
+    near = lambda n: (centre[rng.integers(0, 40, n)] + rng.normal(size=(n, 16)) * 0.1).tolist()
+    kb = [(1000 + i, i % 3 // 2, v) for i, v in enumerate(near(3000))]   # one namespace holds two thirds
+    kb += [(9000 + i, 0, kb[0][2]) for i in range(300)]                  # copies: ties by id
+    q = [(i, i % 3 // 2, v) for i, v in enumerate(near(150))] + [(500, 0, kb[0][2]), (0, 1, kb[5][2])]  # id 0 in two namespaces
+    qdf, kdf = _frames(spark, q, kb)
+    args = dict(k=5, block_size=100, cluster_size=60)
+    assert _lists(K.knn(qdf, kdf, ["ns"], "qid", "kid", **args)) == _brute(q, kb, 5)
+    work = {r.ns: r.share_kept for r in K.knn_work(qdf, kdf, ["ns"], "qid", "kid", **args).collect()}
+    assert set(work) == {0, 1} and all(share < 0.25 for share in work.values()), work
+
+
+def test_random_vectors_stay_exact_with_clusters(spark):
+    rng = np.random.default_rng(12)
+    q = [(i, 0, rng.normal(size=6).tolist()) for i in range(60)]
+    kb = [(i, 0, rng.normal(size=6).tolist()) for i in range(800)]
+    assert _lists(K.knn(*_frames(spark, q, kb), ["ns"], "qid", "kid", k=7, block_size=64, cluster_size=50)) == _brute(q, kb, 7)
+
+
+def test_vectors_that_cannot_be_compared(spark):
+    nan, inf = float("nan"), float("inf")
+    q = [(1, 0, [1.0, 0.0]), (2, 0, None), (3, 0, [nan, 1.0]), (4, 0, [0.0, 0.0]), (5, 0, [1.0, 0.0, 0.0]), (6, None, [1.0, 0.0]), (None, 0, [1.0, 0.0])]
+    kb = [(1, 0, [0.5, 0.1]), (2, 0, None), (3, 0, [None, 1.0]), (4, 0, []), (5, 0, [inf, 1.0]), (6, 0, [0.0, 0.0]), (7, 0, [1.0, 1.0, 1.0]), (8, 0, [0.0, 2.0])]
+    assert _lists(K.knn(*_frames(spark, q, kb), ["ns"], "qid", "kid", k=3)) == {(0, 1): [1, 8], (0, 5): [7]}
+    qdf, kdf = _frames(spark, q, kb)
+    assert K.knn(qdf, kdf.limit(0), ["ns"], "qid", "kid").count() == 0
+    assert K.knn(qdf.limit(0), kdf, ["ns"], "qid", "kid").count() == 0
