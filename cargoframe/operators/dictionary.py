@@ -93,6 +93,13 @@ def _negated(text: Column, start0: Column) -> Column:
     return lb.rlike(_NEG_RE)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once a row. A named column is no
+    such promise: Catalyst may put its expression back into a lambda, where it
+    runs once per dictionary entry."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _occurs(x: Column, d: Column) -> Column:
     """Whether entry ``d`` stands in ``x`` = struct(text, marked)."""
     return F.when(d["pattern"].isNull(), F.instr(x["marked"], d["probe"]) > 0).otherwise(F.regexp(x["text"], d["pattern"]))
@@ -111,23 +118,18 @@ def match_form(x) -> Column:
     return F.struct(t.alias("text"), token_marked(t).alias("marked"))
 
 
-def _with_start(hits: Column, x: Column) -> Column:
-    """Bind each hit's match position once: ``struct(e, s)``."""
-    return F.transform(hits, lambda d: F.struct(d.alias("e"), _start(x, d).alias("s")))
-
-
 def match_hits(x: Column, dictionary: Column, negation_guard: bool = False) -> Column:
     """Array of dictionary entries whose value occurs in ``x`` (a ``match_form``)
     at a token boundary (optionally not in a negated context), in try order."""
     found = F.filter(dictionary, lambda d: _occurs(x, d))
     if not negation_guard:
         return found
-    kept = F.filter(_with_start(found, x), lambda h: ~_negated(x["text"], h["s"]))
-    return F.transform(kept, lambda h: h["e"])
+    return F.filter(found, lambda d: ~_negated(x["text"], _start(x, d)))
 
 
 def first_per_attr(hits: Column) -> Column:
-    """Hits are sorted (attr, longest, alphabetical): keep the first per attribute."""
+    """Hits are sorted (attr, longest, alphabetical): keep the first per
+    attribute. ``hits`` is bound already (``_let``)."""
     return F.filter(hits, lambda x, i: (i == 0) | (x["attr"] != F.element_at(hits, i)["attr"]))
 
 
@@ -135,12 +137,16 @@ def dictionary_match(goods: DataFrame, dictionaries: DataFrame, keys: Sequence[s
                      text_col: str = "goods_shipped", negation_guard: bool = False) -> DataFrame:
     """One row per (goods row, attribute) that the dictionary resolves:
     ``goods columns + attr, value``."""
-    joined = goods.join(dictionaries.select(*keys, "dict"), list(keys), "inner").withColumn("_t", match_form(text_col))
-    picked = joined.withColumn("_m", first_per_attr(match_hits(F.col("_t"), F.col("dict"), negation_guard)))
-    return (picked.select(*goods.columns, F.explode("_m").alias("_h"))
+    joined = goods.join(dictionaries.select(*keys, "dict"), list(keys), "inner")
+    return (joined.select(*goods.columns, F.explode(_picked(text_col, negation_guard)).alias("_h"))
                   .select(*goods.columns, F.col("_h.attr").alias("attr"), F.col("_h.value").alias("value")))
 
 
+def _picked(text_col: str, negation_guard: bool) -> Column:
+    """The first hit per attribute of the joined ``dict``."""
+    return _let(match_form(text_col), lambda x: _let(match_hits(x, F.col("dict"), negation_guard), first_per_attr))
+
+
 # --- J3 for dictionaries that grow with the data --------------------------------
 
 _ANY, _DENSITY = "*", "#"  # index keys of values without a token, and of density values
@@ -195,18 +201,17 @@ def match_summary(goods: DataFrame, dictionaries: DataFrame, keys: Sequence[str]
     """Per goods row: attributes tried, matched, and matches rejected by the
     negation guard before the accepted value (the matcher stops at the first
     accepted value of each attribute)."""
-    j = goods.join(dictionaries, list(keys), "inner").withColumn("_t", match_form(text_col))
-    t = F.col("_t")
-    found = match_hits(t, F.col("dict"), False)
-    raw = F.transform(_with_start(found, t),
-                      lambda x: F.struct(x["e"]["attr"].alias("attr"),
-                                         (_negated(t["text"], x["s"]) if negation_guard else F.lit(False)).alias("neg")))
-    accepted = F.filter(raw, lambda x: ~x["neg"])
-    n_matched = F.size(F.array_distinct(F.transform(accepted, lambda x: x["attr"])))
-    blocked = F.size(F.filter(raw, lambda x, i: x["neg"] & ~F.exists(
-        F.slice(raw, 1, i), lambda y: (y["attr"] == x["attr"]) & ~y["neg"])))
-    return j.select(*goods.columns, F.size("attrs").alias("attrs_tried"),
-                    n_matched.alias("attrs_matched"), blocked.alias("blocked"))
+    def summed(raw):
+        accepted = F.filter(raw, lambda h: ~h["neg"])
+        blocked = F.filter(raw, lambda h, i: h["neg"] & ~F.exists(F.slice(raw, 1, i), lambda y: (y["attr"] == h["attr"]) & ~y["neg"]))
+        return F.struct(F.size(F.array_distinct(F.transform(accepted, lambda h: h["attr"]))).alias("matched"), F.size(blocked).alias("blocked"))
+
+    def read(x):
+        return F.transform(match_hits(x, F.col("dict")), lambda d: F.struct(
+            d["attr"].alias("attr"), (_negated(x["text"], _start(x, d)) if negation_guard else F.lit(False)).alias("neg")))
+    j = goods.join(dictionaries, list(keys), "inner")
+    j = j.select(*goods.columns, F.size("attrs").alias("attrs_tried"), _let(match_form(text_col), lambda x: _let(read(x), summed)).alias("_s"))
+    return j.select(*goods.columns, "attrs_tried", F.col("_s.matched").alias("attrs_matched"), F.col("_s.blocked").alias("blocked"))
 
 
 def match_coverage(summary: DataFrame) -> DataFrame:
@@ -260,26 +265,27 @@ def resolve_attributes(goods: DataFrame, dictionaries: DataFrame, keys: Sequence
     heuristic > 'None', with a ``source`` column.  Long form output, or with
     ``wide`` one ``attr_<Name>`` column per listed attribute (K1 layout built
     in the row, no pivot shuffle)."""
-    j = (goods.join(dictionaries, list(keys), "inner")
-              .withColumn("_t", match_form(text_col)).withColumn("_ht", heuristic_text(text_col)))
-    j = j.withColumn("_m", first_per_attr(match_hits(F.col("_t"), F.col("dict"), negation_guard)))
+    j = goods.join(dictionaries, list(keys), "inner")
 
-    def resolve(a):
-        det = F.try_element_at(F.filter("_m", lambda h: h["attr"] == a["attr"]), F.lit(1))["value"]
+    def resolve(a, picked, htext):
+        det = F.try_element_at(F.filter(picked, lambda h: h["attr"] == a["attr"]), F.lit(1))["value"]
         resp = F.lit(None).cast("string") if response is None else F.try_element_at(response, a["attr"])
         resp = F.when(resp != "None", resp)
-        heur = heuristic_pick(F.col("_ht"), F.col("hvals"), a["attr"]) if heuristic else F.lit(None).cast("string")
+        heur = heuristic_pick(htext, F.col("hvals"), a["attr"]) if heuristic else F.lit(None).cast("string")
         # the first of the candidates that is there, evaluated once each
         found = F.filter(F.array(*[F.struct(a["attr"].alias("attr"), v.alias("value"), F.lit(n).alias("source")) for v, n in (
             (det, "dictionary"), (resp, "response"), (heur, "heuristic"), (F.lit("None"), "none"))]), lambda x: x["value"].isNotNull())
         return F.element_at(found, 1)
+    every = _let(_picked(text_col, negation_guard), lambda picked: _let(heuristic_text(text_col), lambda htext: F.transform(
+        "attrs", lambda a: resolve(a, picked, htext))))
     if wide is not None:
-        r = j.withColumn("_all", F.transform("attrs", resolve))
         def is_attr(name):
             return lambda x: x["attr"] == name
-        return r.select(*goods.columns, *[
-            F.try_element_at(F.filter("_all", is_attr(a)), F.lit(1))["value"].alias("attr_" + a) for a in wide])
-    out = j.withColumn("_r", F.explode(F.transform("attrs", resolve)))
+
+        def row(found):
+            return F.struct(*[F.try_element_at(F.filter(found, is_attr(a)), F.lit(1))["value"].alias("attr_" + a) for a in wide])
+        return j.select(*goods.columns, _let(every, row).alias("_w")).select(*goods.columns, "_w.*")
+    out = j.select(*goods.columns, F.explode(every).alias("_r"))
     return out.select(*goods.columns, "_r.attr", "_r.value", "_r.source")
 
 
@@ -289,16 +295,18 @@ def resolve_maps(goods: DataFrame, dictionaries: DataFrame, keys: Sequence[str],
     attributes), ``det`` (dictionary values), ``guard`` (dictionary values
     with the negation guard), ``heur`` (heuristic values for attributes the
     dictionary left open) as maps, and ``n_open``."""
-    j = (goods.join(dictionaries, list(keys), "inner")
-              .withColumn("_t", match_form(text_col)).withColumn("_ht", heuristic_text(text_col)))
-    j = (j.withColumn("_p", first_per_attr(match_hits(F.col("_t"), F.col("dict"), False)))
-          .withColumn("_g", first_per_attr(match_hits(F.col("_t"), F.col("dict"), True))))
+    j = goods.join(dictionaries, list(keys), "inner")
 
     def as_map(hits):
         return F.map_from_entries(F.transform(hits, lambda h: F.struct(h["attr"], h["value"])))
-    j = j.withColumn("det", as_map(F.col("_p"))).withColumn("guard", as_map(F.col("_g")))
-    open_attrs = F.filter("attrs", lambda a: ~F.array_contains(F.map_keys("det"), a["attr"]))
-    heur = F.map_from_entries(F.transform(open_attrs, lambda a: F.struct(
-        a["attr"], heuristic_pick(F.col("_ht"), F.col("hvals"), a["attr"]))))
-    return j.select(*goods.columns, F.transform("attrs", lambda a: a["attr"]).alias("attr_names"),
-                    "det", "guard", heur.alias("heur"), (F.size("attrs") - F.size("_p")).alias("n_open"))
+
+    def maps(plain, guarded):
+        held = F.transform(plain, lambda h: h["attr"])
+        open_attrs = F.filter("attrs", lambda a: ~F.array_contains(held, a["attr"]))
+        heur = _let(heuristic_text(text_col), lambda htext: F.map_from_entries(F.transform(open_attrs, lambda a: F.struct(
+            a["attr"], heuristic_pick(htext, F.col("hvals"), a["attr"])))))
+        return F.struct(F.transform("attrs", lambda a: a["attr"]).alias("attr_names"), as_map(plain).alias("det"), as_map(guarded).alias("guard"),
+                        heur.alias("heur"), (F.size("attrs") - F.size(plain)).alias("n_open"))
+    hits = lambda x, guard: _let(match_hits(x, F.col("dict"), guard), first_per_attr)
+    both = _let(match_form(text_col), lambda x: _let(hits(x, False), lambda p: _let(hits(x, True), lambda g: maps(p, g))))
+    return j.select(*goods.columns, both.alias("_m")).select(*goods.columns, "_m.*")

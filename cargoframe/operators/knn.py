@@ -400,11 +400,22 @@ def product_write_back(labels: DataFrame, hs_col: str = "hs4", cat_col: str = "c
                       F.lit("llm_fallback").alias("classification_method"), F.lit(1).alias("shipment_count"), F.lit(1).cast("long").alias("version"))
 
 
+def word_set(x) -> Column:
+    """Distinct lower-case words of a text."""
+    c = F.col(x) if isinstance(x, str) else x
+    return F.array_distinct(F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+
+
+def set_jaccard(a, b) -> Column:
+    """Rerank scorer over word sets made before the join (``word_set``), so that
+    a text is split once and not for each candidate."""
+    both, all_ = F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))
+    return F.when(all_ > 0, both / all_).otherwise(F.lit(0.0))
+
+
 def token_jaccard(a, b) -> Column:
     """Rerank scorer over texts: shared distinct lower-case words over all of them."""
-    words = lambda x: F.array_distinct(F.filter(F.split(F.lower(F.col(x) if isinstance(x, str) else x), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
-    both, all_ = F.size(F.array_intersect(words(a), words(b))), F.size(F.array_union(words(a), words(b)))
-    return F.when(all_ > 0, both / all_).otherwise(F.lit(0.0))
+    return set_jaccard(word_set(a), word_set(b))
 
 
 def embed_with(df: DataFrame, text_col: str, fn, out_col: str = "embedding") -> DataFrame:
