@@ -1,16 +1,13 @@
 """File and table sources and sinks.
 
 CSV input is read by header name, all columns as text (no inference pass over
-100 TB), so ``hs_code`` keeps leading zeros.  Multi-file inputs keep the file
-name and order as columns; files of one layout are one scan, and layouts are
-aligned with ``unionByName(allowMissingColumns=True)``.
+100 TB), so ``hs_code`` keeps leading zeros.  Directories of files with
+differing columns are in ``layouts``, sorted sinks in ``ordered``.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,38 +48,6 @@ def load_shipments_csv(spark: SparkSession, path: str, multi_line: bool = False)
     return load_clean(require_columns(read_csv(spark, path, multi_line=multi_line), ["hs_code", "goods_shipped", "shipment_id"]))
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> list[str]:
-    """Paths below ``path``, sorted (a listing: no content is read)."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
-    return sorted(r[0] for r in found.select("path").collect())
-
-
-def read_csv_directory(spark: SparkSession, path: str, id_col: str = "shipment_id", glob: str = "*.csv",
-                       multi_line: bool = False) -> DataFrame:
-    """All files below a directory in path order, aligned by column
-    name (absent columns are NULL), with ``file_name`` and ``file_ord``; files
-    without the id column are skipped.
-
-    Headers are read one by one (a line each); files with the same header are
-    one scan, so the plan grows with the number of layouts, not of files."""
-    layouts: dict[tuple, list[str]] = {}
-    for f in list_files(spark, path, glob):
-        names = tuple(spark.read.option("header", True).option("escape", '"').csv(f).columns)
-        if id_col in names:
-            layouts.setdefault(names, []).append(f)
-    if not layouts:
-        raise ValueError(f"no file below {path} has the column {id_col}")
-    order = sorted(f for fs in layouts.values() for f in fs)
-    scans = [read_csv(spark, fs, multi_line=multi_line).withColumn("_path", F.col("_metadata.file_path")) for fs in layouts.values()]
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-    place = spark.createDataFrame([(_bare(f), i) for i, f in enumerate(order)], "_bare string, file_ord int")
-    return out.withColumn("_bare", F.regexp_replace("_path", "^[a-z]+:/+", "/")).join(place, "_bare").drop("_path", "_bare")
-
-
-def _bare(path: str) -> str:
-    return re.sub("^[a-z]+:/+", "/", path)
-
-
 def load_table(spark: SparkSession, table: str | None = None, query: str | None = None,
                filters: dict | None = None) -> DataFrame:
     """A catalog table (or a SQL query) with ``column = value`` filters

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from cargoframe.sources import files as FS
 from cargoframe.sources import fixtures as FX
+from cargoframe.sources import layouts as LY
+from cargoframe.sources import ordered as OR
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,7 +29,7 @@ def test_partitioned_files_and_aligned_union(spark):
     FS.write_csv(a, os.path.join(base, "a"))
     FS.write_csv(b, os.path.join(base, "b"))
     FS.write_csv(a.drop("shipment_id"), os.path.join(base, "c"))  # no id column: skipped
-    u = FS.read_csv_directory(spark, base)
+    u = LY.read_csv_directory(spark, base)
     got = [(r.shipment_id, r.attr_Color, r.attr_Size) for r in sorted(u.collect(), key=lambda r: r.file_ord)]
     assert got == [("1", "Red", None), ("2", None, "Big")]
     FS.write_csv(a.withColumn("hs4", F.lit("0901")), os.path.join(base, "p"), partition_by=["hs4", "product"])
@@ -53,3 +55,55 @@ def test_load_table_filters(spark):
     assert got == [("0901", "a")]
     schema, rows = FS.peek(spark.table("t_ship"))
     assert len(rows) == 1 and schema.names == ["hs_code", "k"]
+
+
+def test_many_files_of_several_layouts_are_one_scan(spark):
+    """500 files in 5 layouts: no job per file, every cell under its own header."""
+    base = tempfile.mkdtemp(prefix="cf-many-")
+    layouts = [["shipment_id", "attr_A"], ["attr_B", "shipment_id", "attr_A"], ["shipment_id"], ['attr_"q", x', "shipment_id"], ["attr_A", "attr_B"]]
+    want = {}
+    for i in range(500):
+        names = layouts[i % 5]
+        os.makedirs(os.path.join(base, f"d{i % 7}"), exist_ok=True)
+        with open(os.path.join(base, f"d{i % 7}", f"f{i:03}.csv"), "w") as f:
+            quoted = ['"' + n.replace('"', '""') + '"' if '"' in n else n for n in names]
+            f.write(",".join(quoted) + "\n")
+            for j in range(i % 3):
+                cells = {n: f"{n[-1]}{i}-{j}" for n in names}
+                f.write(",".join(cells[n] for n in names) + "\n")
+                if "shipment_id" in names:
+                    want[cells["shipment_id"]] = cells
+    open(os.path.join(base, "empty.csv"), "w").close()
+    files = LY.header_registry(spark, base)
+    got = files.groupBy("layout").count().collect()
+    assert len(got) == 5 and {r["count"] for r in got} == {100}
+    spark.sparkContext.setJobGroup("many", "files")
+    rows = LY.read_csv_directory(spark, base).collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("many")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) < 30
+    assert {r["shipment_id"]: {k: v for k, v in r.asDict().items() if v is not None and not k.startswith("file_")} for r in rows} == want
+    by_path = sorted({(r["file_ord"], r["file_name"]) for r in rows})
+    assert len(by_path) == len({o for o, _ in by_path}) and max(o for o, _ in by_path) < 400
+
+
+def test_ordered_sinks_are_sorted_and_one_object(spark):
+    import glob
+    import json
+    base = tempfile.mkdtemp(prefix="cf-ord-")
+    rows = [(f"id {i * 7919 % 5000:05}", json.dumps({"k": i, 'q"': None})) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id string, j string").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        OR.write_sorted_csv(df, base + "/csv", ["id"])
+        OR.write_json_object(df, base + "/json", "id", "j")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = sorted(glob.glob(base + "/json/part-*"))
+    assert len(files) > 3
+    text = "".join(open(f).read() for f in files)
+    assert json.loads(text) == {k: json.loads(v) for k, v in rows} and list(json.loads(text)) == sorted(k for k, _ in rows)
+    back = OR.read_sorted_csv(spark, base + "/csv").collect()
+    assert [r["id"] for r in sorted(back, key=lambda r: tuple(r[c] for c in OR.PLACE))] == sorted(k for k, _ in rows)
+    OR.write_json_object(df.limit(0), base + "/none", "id", "j")
+    assert json.loads("".join(open(f).read() for f in glob.glob(base + "/none/part-*"))) == {}
