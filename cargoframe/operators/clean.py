@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -108,10 +108,38 @@ def with_default(df: DataFrame, col: str, value: str) -> DataFrame:
     return df if col in df.columns else df.withColumn(col, F.lit(value))
 
 
-def profile_shipments(df: DataFrame) -> DataFrame:
+SKETCH_LG_K = 14  # 2^14 registers: a standard error of about 0.8 %
+
+
+def distinct_sketches(df: DataFrame, slices: Sequence[str], columns: Sequence[str], lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """A5 approximately, mergeable: per slice one HLL sketch of every column
+    (``sk_<column>``, binary) and ``n_rows``. NULLs aren't counted."""
+    return df.groupBy(*slices).agg(F.count(F.lit(1)).alias("n_rows"), *[F.hll_sketch_agg(c, F.lit(lg_k)).alias(f"sk_{c}") for c in columns])
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str], cube: bool = False) -> DataFrame:
+    """Coarser slices from finer ones without reading the rows again: sketches
+    united and read as ``n_<column>``; ``cube`` gives every combination of
+    ``by`` (NULL: all)."""
+    cols = [c for c in sketches.columns if c.startswith("sk_")]
+    g = sketches.cube(*by) if cube else sketches.groupBy(*by)
+    # a column of NULLs only has no sketch in a slice
+    return g.agg(F.sum("n_rows").cast("long").alias("n_rows"), *[
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(c)), F.lit(0)).cast("long").alias("n_" + c.removeprefix("sk_")) for c in cols])
+
+
+def profile_shipments(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Rows, distinct HS/goods/shipments, all-empty flags, dedup ratio.
     Every distinct count is its own two-step aggregate over one pruned column
-    (several in one aggregate would multiply the rows before the shuffle)."""
+    (several in one aggregate would multiply the rows before the shuffle).
+    ``approximate`` counts with sketches instead, all in one pass."""
+    if approximate:
+        flags = [(F.count_if(F.col(c).isNotNull() & (F.col(c) != "")) == 0).alias(n) for c, n in
+                 (("goods_shipped", "goods_all_empty"), ("shipment_id", "ids_all_empty"), ("hs_code", "hs_all_empty"))]
+        count = lambda c: F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(c, F.lit(SKETCH_LG_K))), F.lit(0))
+        one = df.agg(F.count(F.lit(1)).alias("n_rows"), count("hs_code").alias("n_hs_codes"), count("goods_shipped").alias("n_goods"),
+                     count("shipment_id").alias("n_shipments"), *flags)
+        return one.withColumn("dedup_ratio", F.round(F.col("n_goods") / F.greatest(F.col("n_rows"), F.lit(1)), 6))
     def all_empty(c):
         return F.count_if(F.col(c).isNotNull() & (F.col(c) != "")) == 0
 

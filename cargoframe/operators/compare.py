@@ -52,7 +52,7 @@ def label_agreement(pairs: DataFrame, label_col: str = "category") -> DataFrame:
 def disagreement_samples(pairs: DataFrame, key: str, k: int = 10) -> DataFrame:
     """A7's sample: the first k disagreements in key order (a top-k report)."""
     top = pairs.filter(F.col("label_a") != F.col("label_b")).orderBy(key).limit(k)
-    return top.select(key, "label_a", "label_b", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("col").orderBy(key).limit(k)
+    return top.select(key, "label_a", "label_b", F.explode(F.sequence(F.lit(1).cast("long"), F.least("n", F.lit(k).cast("long"))))).drop("col").orderBy(key).limit(k)
 
 
 def attribute_agreement(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -265,6 +265,45 @@ def rerank(cands: DataFrame, queries: DataFrame, kb: DataFrame, q_id: str, k_id:
     return j.withColumn("rerank", F.row_number().over(w)).filter(F.col("rerank") <= top_n).drop("_qv", "_kv")
 
 
+def rerank_with_model(cands: DataFrame, queries: DataFrame, kb: DataFrame, q_id: str, k_id: str, text_col: str,
+                      model, top_n: int = 5, batch: int = 64) -> DataFrame:
+    """J5 + U2: the candidates of a query (``q_id, k_id, score, rank``) scored
+    together by a user's model, ``model(list[(query text, KB text)]) ->
+    list[float]``, in the executors: ``q_id, k_id, score, rank, rerank_score,
+    rerank``, the best ``top_n``.
+
+    A call gets all candidates of ``batch`` queries at most. If it raises, or
+    returns anything but one finite number per pair, its queries keep the order
+    of the first stage and their ``rerank_score`` is NULL; so do pairs without a
+    text. Ties go to the better first rank."""
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("array<double>")
+    def _score(query: pd.Series, docs: pd.Series) -> pd.Series:
+        out: list = []
+        for at in range(0, len(query), batch):
+            rows = list(zip(query[at:at + batch], docs[at:at + batch]))
+            pairs = [(q, t) for q, own in rows for t in own if q is not None and t is not None]
+            try:
+                got = [float(x) for x in model(pairs)] if pairs else []
+                fine = len(got) == len(pairs) and bool(np.isfinite(got).all())
+            except Exception:  # whatever a user's model raises: the first stage's order stands
+                fine = False
+            it = iter(got if fine else ())
+            out += [[next(it) if fine and q is not None and t is not None else None for t in own] for q, own in rows]
+        return pd.Series(out)
+
+    qv = queries.select(F.col(q_id).cast("long").alias("q_id"), F.col(text_col).alias("_q"))
+    kv = kb.select(F.col(k_id).cast("long").alias("k_id"), F.col(text_col).alias("_k"))
+    own = cands.select("q_id", "k_id", "score", "rank").join(kv, "k_id", "left")
+    own = own.groupBy("q_id").agg(F.array_sort(F.collect_list(F.struct("rank", "k_id", "score", "_k"))).alias("_own")).join(qv, "q_id", "left")
+    own = own.select("q_id", "_own", _score("_q", F.transform("_own", lambda x: x["_k"])).alias("_s"))
+    rows = own.select("q_id", F.explode(F.arrays_zip("_own", "_s")).alias("x")).select(
+        "q_id", "x._own.k_id", "x._own.score", "x._own.rank", F.col("x._s").alias("rerank_score"))
+    w = Window.partitionBy("q_id").orderBy(F.desc_nulls_last("rerank_score"), "rank")
+    return rows.withColumn("rerank", F.row_number().over(w)).filter(F.col("rerank") <= top_n)
+
+
 def label_transfer(best: DataFrame, kb_labels: DataFrame, k_id: str, label_col: str, score_col: str,
                    threshold: float, default: str = UNCLASSIFIED) -> DataFrame:
     """Best neighbour's label when its score reaches the threshold

@@ -2,7 +2,8 @@
 
 Wide ``attr_*`` layouts exist only at the edges: internally everything is the
 long form ``(keys…, attr, value, ord)`` so rules are one groupBy each, and a
-pivot happens only when a file-shaped output is asked for.
+wide row is built in place (``dictionary.resolve_attributes``) only when a
+file-shaped output is asked for.
 """
 
 from __future__ import annotations
@@ -23,17 +24,6 @@ def attr_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith(ATTR_PREFIX)]
 
 
-def pivot_attributes(long_df: DataFrame, keys: Sequence[str], attrs: Sequence[str],
-                     attr_col: str = "attr", value_col: str = "value") -> DataFrame:
-    """K1: long -> wide with one ``attr_<Name>`` column per attribute.  The
-    attribute list is given (from the schema), so Spark skips the distinct
-    job a free pivot needs and the output columns are fixed."""
-    # One value per cell; max() is used because any_value() inside pivot fills
-    # only the first pivot column on Spark 4.1.2.
-    wide = long_df.groupBy(*keys).pivot(attr_col, list(attrs)).agg(F.max(value_col))
-    return wide.select(*keys, *[F.col(f"`{a}`").alias(ATTR_PREFIX + a) for a in attrs])
-
-
 def unpivot_attributes(wide: DataFrame, ids: Sequence[str], drop_prefix: bool = True,
                        skip_none: bool = True) -> DataFrame:
     """Wide ``attr_*`` columns -> ``(ids…, attr, attr_ord, value)``;

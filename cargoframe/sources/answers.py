@@ -130,3 +130,21 @@ def fallback_labels(vectors: DataFrame) -> DataFrame:
     """(q_id, category): the fallback labeller's product labels."""
     return vectors.select(F.col("vec_id").alias("q_id"), F.when(F.col("vec_id") % 10 == 0, F.lit("Unclassified")).otherwise(
         F.concat(F.lit("cat_"), (F.col("vec_id") % 3).cast("string"))).alias("category"))
+
+
+def round_proposals(prompts: DataFrame) -> DataFrame:
+    """Answers to the prompts of a schema round (category, call, prop_ord, name,
+    definition, val_ord, value), read from the prompt's text alone: the words
+    of its descriptions, makers over 12 only, and how many attributes the
+    prompt says are known."""
+    lines = F.filter(F.split("prompt", "\n"), lambda x: x.rlike(r"^\d+\. "))
+    known = F.size(F.regexp_extract_all("prompt", F.lit(r"(?m)^(- )"), 1))
+    rows = prompts.select("category", "call", known.alias("known"), F.posexplode(lines).alias("val_ord", "line"))
+    part = lambda i: F.get(F.split("line", " "), i)
+    maker = F.regexp_extract("line", r"#(\d+)$", 1).cast("int")
+    found = F.array(F.struct(F.lit(0).alias("prop_ord"), F.lit("finish type").alias("name"), part(1).alias("value")),
+                    F.struct(F.lit(1).alias("prop_ord"), F.lit("item").alias("name"), part(2).alias("value")),
+                    F.struct(F.lit(2).alias("prop_ord"), F.lit("maker").alias("name"), F.when(maker > 12, part(3)).alias("value")))
+    rows = rows.select("category", "call", "known", "val_ord", F.explode(found).alias("x")).filter(F.col("x.value").isNotNull())
+    return rows.select("category", "call", "x.prop_ord", "x.name", F.concat(F.lit("Seen with "), F.col("known").cast("string"), F.lit(" known")).alias("definition"),
+                       "val_ord", "x.value")

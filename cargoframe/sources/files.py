@@ -49,11 +49,11 @@ def load_shipments_csv(spark: SparkSession, path: str, multi_line: bool = False)
 
 
 def load_table(spark: SparkSession, table: str | None = None, query: str | None = None,
-               filters: dict | None = None) -> DataFrame:
-    """A catalog table (or a SQL query) with ``column = value`` filters
-    pushed down; ``hs_code`` trimmed and cut to four characters like the
-    reference's warehouse loader."""
-    df = spark.sql(query) if query else spark.table(table)
+               filters: dict | None = None, args: dict | None = None) -> DataFrame:
+    """A catalog table (or a SQL query with named parameters ``args``) with
+    ``column = value`` filters pushed down; ``hs_code`` trimmed and cut to four
+    characters like the reference's warehouse loader."""
+    df = spark.sql(query, args=args or {}) if query else spark.table(table)
     for k, v in (filters or {}).items():
         df = df.filter(F.col(k) == F.lit(v))
     if "hs_code" in df.columns:
