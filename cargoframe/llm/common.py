@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargoframe.session import ensure_checkpoint_dir, table_path
@@ -70,6 +70,51 @@ def matrix(col: pa.Array, dim: int, dtype=np.float64) -> np.ndarray:
     return np.asarray(col.flatten().to_numpy(zero_copy_only=False), dtype).reshape(len(col), dim)
 
 
+def is_finite(vec: str) -> Column:
+    """Whether a vector is there and holds finite components only."""
+    ok = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(F.col(vec).isNotNull() & ok, F.lit(False))
+
+
+class Tree:
+    """Median cuts over projected points: leaves of at most ``leaf`` points."""
+
+    def __init__(self, points: np.ndarray, leaf: int):
+        self.cuts: list[tuple] = []  # (axis, value, left, right) or the leaf's number, by node
+        self.leaves: list[np.ndarray] = []
+        self._grow(points, np.arange(len(points)), leaf)
+
+    def _grow(self, points: np.ndarray, rows: np.ndarray, leaf: int) -> int:
+        at = len(self.cuts)
+        self.cuts.append(())
+        own = points[rows]
+        spread = own.max(0) - own.min(0) if len(rows) else np.zeros(1)
+        axis = int(spread.argmax())
+        right = own[:, axis] >= np.median(own[:, axis]) if len(rows) > leaf and spread[axis] > 0 else np.zeros(0, bool)
+        if right.all() and len(right):  # the median is the least value
+            right = own[:, axis] > own[:, axis].min()
+        if right.any():
+            value = own[right, axis].min()
+            self.cuts[at] = (axis, float(value), self._grow(points, rows[~right], leaf), self._grow(points, rows[right], leaf))
+        else:  # few points, or all equal
+            self.cuts[at] = (len(self.leaves),)
+            self.leaves.append(rows)
+        return at
+
+    def leaf_of(self, points: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(points), np.int64)
+        todo = [(0, np.arange(len(points)))]
+        while todo:
+            node, rows = todo.pop()
+            cut = self.cuts[node]
+            if len(cut) == 1:
+                out[rows] = cut[0]
+            else:
+                right = points[rows, cut[0]] >= cut[1]
+                todo += [(cut[2], rows[~right]), (cut[3], rows[right])]
+        return out
+
+
 def give_back() -> None:
     """Return freed memory to the system, so that a Python worker that waits
     for its next task holds little (without glibc: Arrow's pool only)."""

@@ -45,8 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargoframe.llm.common import connected_components, materialise, matrix
-from cargoframe.llm.topk_search import is_finite
+from cargoframe.llm.common import connected_components, is_finite, materialise, matrix
 
 SHARD, BLOCK, SAMPLE = 1024, 4096, 2048
 CENTROIDS = 256      # of one label

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cargoframe.llm import (
     byte_bpe,
     chat_format,
+    common,
     flat_graph,
     langid,
     packing,
@@ -125,7 +126,7 @@ def op2_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact 20 best inner products of the embeddings in 64ths."""
-    v = read(spark, sf_dir, "embeddings", "vec_id", "embedding").filter(topk_search.is_finite("embedding"))
+    v = read(spark, sf_dir, "embeddings", "vec_id", "embedding").filter(common.is_finite("embedding"))
     v = v.select("vec_id", F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("long")).alias("vec"))
     return topk_search.top_k(v, F.col("vec_id") % 20 == 0, 20)
 

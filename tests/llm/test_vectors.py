@@ -4,7 +4,7 @@ import math
 import numpy as np
 import pytest
 
-from cargoframe.llm import flat_graph, topk_search
+from cargoframe.llm import common, flat_graph, topk_search
 from cargoframe.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -169,7 +169,7 @@ def brute_top(rows, k):
 
 
 def run_top(spark, rows, k=20):
-    df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, dim int").filter(topk_search.is_finite("embedding"))
+    df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, dim int").filter(common.is_finite("embedding"))
     from pyspark.sql import functions as F
     v = df.select("vec_id", "dim", F.transform("embedding", lambda x: F.floor(64 * x).cast("long")).alias("vec"))
     out = {}
@@ -189,13 +189,44 @@ def test_top_k_odd_rows(spark):
 
 
 def test_top_k_blocks(spark, monkeypatch):
-    for name, v in (("CANDIDATES", 40), ("QUERIES", 3), ("SAMPLE", 60)):
+    for name, v in (("CANDIDATES", 40), ("QUERIES", 3), ("SAMPLE", 60), ("CELLS", 8)):
         monkeypatch.setattr(topk_search, name, v)
     rng = np.random.default_rng(4)
     rows = [(i, (rng.normal(size=32) + (i % 5) * 2).tolist()) for i in range(300)]
     assert run_top(spark, rows, 7) == brute_top(rows, 7)
 
 
+def test_bounds_prune_clusters_and_scores_stay_exact():
+    """At least nine tenths of the pairs drop out before an exact score."""
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=(50, 64)) * 60
+    make = lambda n: np.floor(centre[rng.integers(0, 50, n)] + rng.normal(size=(n, 64)) * 6).astype(np.int64)
+    x, q = make(4000), make(200)
+    ids, q_id = np.arange(4000), 10_000 + np.arange(200)
+    got, left = topk_search.search_block(q, q_id, np.full(200, np.iinfo(np.int64).min), x, ids, 20)
+    floor = np.array([s[-1] for _, s in got])
+    got, left = topk_search.search_block(q, q_id, floor, x, ids, 20)
+    assert left["scored"] <= 0.1 * left["pairs"] and left[4] >= left[16] >= left[32] >= left["scored"]
+    exact = q @ x.T
+    for i, (found, s) in enumerate(got):
+        best = np.lexsort((ids, -exact[i]))[:20]
+        assert found.tolist() == ids[best].tolist() and s.tolist() == exact[i][best].tolist()
+
+
+def test_random_vectors_are_pruned_on_the_last_level():
+    rng = np.random.default_rng(6)
+    unit = lambda n: (lambda z: np.floor(64 * z / np.linalg.norm(z, axis=1, keepdims=True)).astype(np.int64))(rng.normal(size=(n, 64)))
+    x, q = unit(4000), unit(100)
+    floor = np.sort(q @ x.T, axis=1)[:, -20]
+    _, left = topk_search.search_block(q, 10_000 + np.arange(100), floor, x, np.arange(4000), 20)
+    assert left["scored"] < 0.6 * left["pairs"] and left[16] > 0.95 * left["pairs"]
+
+
+def test_scores_beyond_doubles_are_whole_numbers():
+    q, x = np.array([[2**40 + 1, 3]]), np.array([[2**20 + 1, 5], [2**62, 2**62]])
+    assert topk_search.exact_scores(np.repeat(q, 2, axis=0), x).tolist() == [(2**40 + 1) * (2**20 + 1) + 15, 2**63 - 1]
+
+
 @pytest.mark.parametrize("segments", [1, 4, 16])
 def test_segment_bounds_hold(segments):
     rng = np.random.default_rng(segments)
