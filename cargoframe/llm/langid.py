@@ -8,11 +8,13 @@ over words, sharpened by the word count up to ``sure_after`` words.
 
 The counts are learned from a bounded sample of the labelled rows: rows are
 taken by a hash of their id at a rate that gives about ``per_lang`` rows of
-each language (all rows where there are fewer). Words and n-grams are counted
-where the sample is read and summed by Spark; the ``keep_words`` and
-``keep_grams`` most frequent of each language make the model, which is
-therefore bounded whatever the corpus; languages beyond the 1000 most frequent
-are not learned. Scoring reads every whole text.
+each language (all rows where there are fewer), ``sample_docs`` rows over all
+languages, so that with many languages each gives fewer. Every language with a
+labelled row is learned (at least its first row in the hash's order), and
+every word and n-gram of the sample is in the model. It holds one entry per (word or n-gram,
+language) that the sample has, never one per pair that it could have: its
+size follows the sample, not the number of languages. Scoring reads every
+whole text.
 
 Defined cases: NULL text or text without a letter is ``und`` with score 0, as
 is everything if no labelled row exists; ties go to the smaller language name;
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cargoframe.llm.common import arrow_map, held, materialise
@@ -50,16 +52,22 @@ def grams_of(word: str, n: int) -> list[str]:
     return [w[i:i + n] for i in range(len(w) - n + 1)] if n > 1 else list(word)
 
 
-def sample_rows(rows: DataFrame, group: str, per_group: int, seed: str, groups: int = 1000) -> DataFrame:
+def sample_rows(rows: DataFrame, group: str, per_group: int, seed: str, total: int | None = None) -> DataFrame:
     """About ``per_group`` rows of each value of ``group`` (all, if fewer), by
-    a hash of doc_id; of the ``groups`` most frequent values. The counts read
-    no texts, and the rows stay where they are: the few counts are broadcast."""
-    n = rows.groupBy(group).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), group).limit(groups)
-    share = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.join(F.broadcast(n), group).filter(share * F.col("_n") < per_group).drop("_n")
-
-
-def learn(docs: DataFrame, per_lang: int = 1500, keep_words: int = 30_000, keep_grams: int = 15_000) -> dict:
+    a hash of doc_id, and about ``total`` rows over all values: beyond that every
+    value gives an equal part, its row of the least hash at least. The counts
+    read no texts, and are joined as a table: there is one row per value."""
+    share = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30))
+    n = rows.groupBy(group).agg(F.count("*").alias("_n"), F.min(share).alias("_least"))
+    if total is not None:
+        n = n.withColumn("_part", F.least(F.lit(float(per_group)), F.lit(float(total)) / n.agg(F.greatest(F.count("*"), F.lit(1))).scalar()))
+    else:
+        n = n.withColumn("_part", F.lit(float(per_group)))
+    taken = (share / F.lit(float(1 << 30)) * F.col("_n") < F.col("_part")) | (share == F.col("_least"))
+    return rows.join(n, group).filter(taken).drop("_n", "_least", "_part")
+
+
+def learn(docs: DataFrame, per_lang: int = 1500, sample_docs: int = 20_000) -> dict:
     """Model from rows (doc_id, text, lang); rows without text or lang are left out."""
     texts = docs.filter("lang is not null and text is not null and doc_id is not null").select("doc_id", "lang", "text")
 
@@ -79,70 +87,89 @@ def learn(docs: DataFrame, per_lang: int = 1500, keep_words: int = 30_000, keep_
                     [pa.array([lang] * len(grams)), pa.array([n] * len(grams), pa.int32()), pa.array(list(grams), pa.string()),
                      pa.array(list(grams.values()), pa.int64())], names=["lang", "n", "gram", "c"])
 
-    counts = (sample_rows(texts, "lang", per_lang, "langid").select("lang", "text")
+    counts = (sample_rows(texts, "lang", per_lang, "langid", sample_docs).select("lang", "text")
               .mapInArrow(count, "lang string, n int, gram string, c long").groupBy("lang", "n", "gram").agg(F.sum("c").alias("c")))
     counts = materialise(counts, "grams")
     totals = counts.groupBy("lang", "n").agg(F.sum("c").alias("c"), F.count("*").alias("kinds")).collect()
-    best = Window.partitionBy("lang", "n").orderBy(F.desc("c"), "gram")
-    kept = (counts.withColumn("rk", F.row_number().over(best))
-            .filter(F.col("rk") <= F.when(F.col("n") == 0, keep_words).otherwise(keep_grams)).select("n", "gram").distinct())
-    rows = counts.join(kept, ["n", "gram"]).select("lang", "n", "gram", "c").toArrow()
     langs = sorted({r["lang"] for r in totals})
     at = {x: i for i, x in enumerate(langs)}
-    base = np.zeros((LONGEST + 1, len(langs)))
+    base = np.full((LONGEST + 1, len(langs)), np.log(0.5))
     for r in totals:  # log frequency of a kind that a language lacks: half a count
-        base[r["n"], at[r["lang"]]] = np.log(r["c"] + 0.5 * r["kinds"])
-    keys: list[dict] = [{} for _ in range(LONGEST + 1)]
-    n_col, gram_col = rows.column("n").to_pylist(), rows.column("gram").to_pylist()
-    for n, g in zip(n_col, gram_col):
-        keys[n].setdefault(g, len(keys[n]))
-    tables = [np.full((len(k), len(langs)), 0.5) for k in keys]
-    for lang, n, g, c in zip(rows.column("lang").to_pylist(), n_col, gram_col, rows.column("c").to_pylist()):
-        tables[n][keys[n][g], at[lang]] += c
-    return {"langs": langs, "keys": keys, "tables": [np.log(t) - b for t, b in zip(tables, base)]}
+        base[r["n"], at[r["lang"]]] = np.log(0.5) - np.log(r["c"] + 0.5 * r["kinds"])
+    rows = counts.select("lang", "n", "gram", "c").toArrow()  # as large as the sample
+    names, n_col = rows.column("gram").to_pylist(), rows.column("n").to_numpy()
+    lang_at = np.array([at[x] for x in rows.column("lang").to_pylist()], np.int32)
+    gain = np.log(rows.column("c").to_numpy() + 0.5) - np.log(0.5)  # over what a language gets that lacks the kind
+    keys: list[dict] = []
+    tables = []
+    for n in range(LONGEST + 1):
+        own = np.flatnonzero(n_col == n)
+        key: dict = {}
+        kind = np.array([key.setdefault(names[i], len(key)) for i in own], np.int64)
+        order = np.argsort(kind, kind="stable")
+        tables.append((np.searchsorted(kind[order], np.arange(len(key) + 1)), lang_at[own][order], gain[own][order]))
+        keys.append(key)
+    return {"langs": langs, "keys": keys, "tables": tables, "base": base}
 
 
 class Scorer:
-    """Scores texts with a learned model; unseen words are remembered."""
+    """Scores texts with a learned model; unseen words are remembered. A table
+    is (start of each kind's entries, their languages, their gains)."""
 
     def __init__(self, model: dict):
-        self.langs, self.keys, self.tables = model["langs"], model["keys"], model["tables"]
-        self.known = len(self.keys[0])
-        self.rows = np.zeros((self.known + _MEMO, max(1, len(self.langs))))
-        self.rows[:self.known, :len(self.langs)] = self.tables[0]
-        outer = self
-
-        class Ids(dict):
-            def __missing__(self, word: str) -> int:
-                got = outer.keys[0].get(word)
-                if got is None:
-                    got = outer.next
-                    outer.next += 1
-                    outer.rows[got] = outer.backoff(word)
-                self[word] = got
-                return got
-
-        self.ids, self.next = Ids(), self.known
-
-    def backoff(self, word: str) -> np.ndarray:
-        for n in range(LONGEST, 0, -1):
-            keys = self.keys[n]
-            hits = [keys[g] for g in grams_of(word, n) if g in keys]
-            if hits:
-                return self.tables[n][hits].mean(0)
-        return np.zeros(len(self.langs))
+        self.langs, self.keys, self.tables, self.base = model["langs"], model["keys"], model["tables"], model["base"]
+        self.memo: dict[str, tuple] = {}
+
+    def entries(self, n: int, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All entries of the kinds of level ``n``: which kind, language, gain."""
+        start, lang, gain = self.tables[n]
+        size = start[kinds + 1] - start[kinds]
+        which = np.repeat(np.arange(len(kinds)), size)
+        flat = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start[kinds], size)
+        return which, lang[flat], gain[flat]
+
+    def backoff(self, word: str) -> tuple:
+        """(level, languages, gains) of the longest n-grams that are known; level
+        0: none is, and no language gains."""
+        got = self.memo.get(word)
+        if got is None:
+            got = (0, np.zeros(0, np.int32), np.zeros(0))
+            for n in range(LONGEST, 0, -1):
+                hits = [self.keys[n][g] for g in grams_of(word, n) if g in self.keys[n]]
+                if hits:
+                    _, lang, gain = self.entries(n, np.array(hits))
+                    own, back = np.unique(lang, return_inverse=True)
+                    got = (n, own, np.bincount(back, gain, len(own)) / len(hits))
+                    break
+            if len(self.memo) >= _MEMO:
+                self.memo.clear()
+            self.memo[word] = got
+        return got
 
     def score(self, text: str | None, sure_after: int = 10) -> tuple[str, float]:
         words = words_of(text or "")
         if not words or not self.langs:
             return "und", 0.0
-        total = np.zeros(len(self.langs))
-        for a in range(0, len(words), 20_000):
-            part = words[a:a + 20_000]
-            if self.next + len(part) > len(self.rows):
-                self.ids.clear()
-                self.next = self.known
-            total += self.rows[np.fromiter(map(self.ids.__getitem__, part), np.int64, len(part))].sum(0)
+        total, n_known, key = np.zeros(len(self.langs)), 0, self.keys[0]
+        counted = Counter(words)
+        kinds, times = [], []
+        level = np.zeros(LONGEST + 1)
+        for w, c in counted.items():
+            kind = key.get(w)
+            if kind is not None:
+                kinds.append(kind)
+                times.append(c)
+                n_known += c
+            else:
+                n, lang, gain = self.backoff(w)
+                if n:
+                    level[n] += c
+                    total[lang] += c * gain
+        if kinds:
+            which, lang, gain = self.entries(0, np.array(kinds))
+            total += np.bincount(lang, gain * np.array(times)[which], len(self.langs))
+        level[0] = n_known
+        total += level @ self.base
         mean = total / len(words)
         p = np.exp((mean - mean.max()) * min(len(words), sure_after))
         best = int(p.argmax())
@@ -151,7 +178,7 @@ class Scorer:
 
 def predict(docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, lang_pred, score) of every row of ``docs``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by keep_words and keep_grams
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # as large as the sample
     key = uuid.uuid4().hex
 
     def run(cols: dict[str, pa.Array]) -> dict:

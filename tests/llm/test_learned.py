@@ -79,6 +79,59 @@ def test_language_odd_rows(spark):
     assert langid.predict(odd(spark).limit(0), model).count() == 0
 
 
+def plain_language(train, text, langs):
+    """The method as it is written, one word and language at a time."""
+    counts = {(x, n): {} for x in langs for n in range(5)}
+    for t, x in train:
+        for w in re.findall(r"[^\W\d_]+", t.lower()):
+            for n, grams in [(0, [w]), (1, list(w))] + [(n, [f" {w} "[i:i + n] for i in range(len(w) + 3 - n)]) for n in (2, 3, 4)]:
+                for g in grams:
+                    counts[x, n][g] = counts[x, n].get(g, 0) + 1
+
+    def log_share(x, n, g):
+        own = counts[x, n]
+        return np.log(own.get(g, 0) + 0.5) - np.log(sum(own.values()) + 0.5 * len(own))
+    total, words = dict.fromkeys(langs, 0.0), re.findall(r"[^\W\d_]+", text.lower())
+    for w in words:
+        if any(w in counts[x, 0] for x in langs):
+            for x in langs:
+                total[x] += log_share(x, 0, w)
+            continue
+        for n in (4, 3, 2, 1):
+            grams = list(w) if n == 1 else [f" {w} "[i:i + n] for i in range(len(w) + 3 - n)]
+            known = [g for g in grams if any(g in counts[x, n] for x in langs)]
+            if known:
+                for x in langs:
+                    total[x] += float(np.mean([log_share(x, n, g) for g in known]))
+                break
+    mean = np.array([total[x] for x in langs]) / len(words)
+    p = np.exp((mean - mean.max()) * min(len(words), 10))
+    return langs[int(p.argmax())], float(1 / p.sum())
+
+
+def test_language_equals_a_plain_scorer(spark):
+    docs = [r for r in table(spark, "documents", "doc_id", "text", "lang").collect() if r["text"] and r["lang"] and len(r["text"]) < 600][:60]
+    train = [(r["text"], r["lang"]) for r in docs[:40]]
+    model = langid.learn(spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(train)], "doc_id long, text string, lang string"))
+    langs = sorted({x for _, x in train})
+    ask = [(i, r["text"]) for i, r in enumerate(docs)] + [(100, "the thzzq qqqq Éà"), (101, "x")]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(spark.createDataFrame(ask, "doc_id long, text string"), model).collect()}
+    for i, t in ask:
+        if re.search(r"[^\W\d_]", t):
+            want = plain_language(train, t, langs)
+            assert got[i][0] == want[0] and abs(got[i][1] - want[1]) < 1e-9, (i, got[i], want)
+
+
+def test_more_than_a_thousand_languages(spark):
+    text = lambda x: " ".join(chr(0x4E00 + x) + end for end in ("ax", "by", "cz"))  # noqa: E731  each language has words of its own
+    rows = [(x * 3 + j, text(x), f"l{x:04}") for x in range(1100) for j in range(3)]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_lang=2, sample_docs=1500)
+    assert len(model["langs"]) == 1100 and sum(len(t[1]) for t in model["tables"]) < 200_000
+    ask = [(x, text(x)) for x in range(0, 1100, 7)]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(spark.createDataFrame(ask, "doc_id long, text string"), model).collect()}
+    assert got == {x: f"l{x:04}" for x, _ in ask}
+
+
 def plain_spans(text):
     """The contract's patterns as they are written."""
     digits = lambda s: re.sub("[^0-9]", "", s)
