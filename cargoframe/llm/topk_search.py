@@ -4,8 +4,8 @@ A vector is cut into segments; a segment of ``l`` components is described by
 its mean and deviation. By Cauchy-Schwarz a segment's share of an inner product
 is at most ``l * (mean * mean' + dev * dev')`` (the same as bounding the
 distance from below by ``l * ((mean - mean')^2 + (dev - dev')^2)``), so a few
-numbers per vector bound every score from above. Levels go from 4 segments to
-segments of two components; at each one, candidates whose bound is below a
+numbers per vector bound every score from above. Levels go from 4 segments over
+segments of two components to half of the components alone; at each one, candidates whose bound is below a
 query's threshold drop out for that query, and only (query, candidate) pairs
 that are left after the last level get an exact score, in whole numbers.
 Components are put in an order first that a sample suggests: neighbours load
@@ -51,13 +51,14 @@ _NONE = np.iinfo(np.int64).min  # no threshold yet
 
 
 def levels(dim: int) -> list[int]:
-    """Segments per level, coarse to fine; the last has segments of two
-    components or so (one each would be the exact score)."""
+    """Segments per level, coarse to fine: 4, 16, 32, ... to segments of two
+    components, and one between those and the components themselves (which
+    would be the exact score)."""
     out, n = [COARSE], 16
     while n < dim:
         out.append(n)
         n *= 2
-    return [s for s in out if s < dim]
+    return [s for s in [*out, out[-1] + (dim - out[-1]) // 2] if s < dim]
 
 
 def segment_statistics(x: np.ndarray, segments: int) -> np.ndarray:
@@ -96,6 +97,15 @@ def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.array([min(high, max(low, sum(a * b for a, b in zip(r, c)))) for r, c in zip(q.tolist(), x.tolist())], np.int64)
 
 
+def all_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of all rows with all rows in whole numbers; one matrix
+    product where doubles hold them exactly."""
+    most = (float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(x.astype(float)).max(initial=0))) * max(1, q.shape[1])
+    if most < 2.0**53:
+        return (q.astype(float) @ x.astype(float).T).astype(np.int64)
+    return np.stack([exact_scores(np.broadcast_to(r, x.shape), x) for r in q]) if len(q) else np.zeros((0, len(x)), np.int64)
+
+
 def search_block(q: np.ndarray, q_id: np.ndarray, floor: np.ndarray, x: np.ndarray, x_id: np.ndarray, k: int,
                  order: np.ndarray | None = None) -> tuple[list, dict]:
     """Per query (ids, scores) of the rows of a block that can be among its best
@@ -103,28 +113,29 @@ def search_block(q: np.ndarray, q_id: np.ndarray, floor: np.ndarray, x: np.ndarr
     Vectors are int64; ``floor``: scores that a k-th best already has."""
     order = np.arange(x.shape[1]) if order is None or len(order) != x.shape[1] else order
     qf, xf = q[:, order].astype(float), x[:, order].astype(float)
-    length = np.sqrt((qf * qf).sum(1))[:, None] * np.sqrt((xf * xf).sum(1).max(initial=0))
-    slack = 1e-9 * length + 1e-6
-    may = q_id[:, None] != x_id
-    upper = np.full(may.shape, np.inf)
+    steps = levels(x.shape[1])
+    stats = [(segment_statistics(qf, s), segment_statistics(xf, s)) for s in steps]
+    slack = (1e-9 * np.sqrt((qf * qf).sum(1)) * np.sqrt((xf * xf).sum(1).max(initial=0)) + 1e-6)[:, None]
     least = floor.copy()
-    left = {"pairs": int(may.sum())}
-    for segments in levels(x.shape[1]):
-        live = may.any(0)
-        if not live.any():
-            break
-        bound = segment_statistics(qf, segments) @ segment_statistics(xf[live], segments).T
-        upper[:, live] = np.minimum(upper[:, live], bound)
-        may[:, live] &= bound + slack >= least[:, None]
-        left[segments] = int(may.sum())
+    left = dict.fromkeys(["pairs", *steps, "scored"], 0)
     ids: list[np.ndarray] = [np.zeros(0, np.int64)] * len(q)
     scores: list[np.ndarray] = [np.zeros(0, np.int64)] * len(q)
-    left["scored"] = 0
-    live = np.flatnonzero(may.any(0))
-    live = live[np.argsort(-np.where(may[:, live], upper[:, live], -np.inf).max(0, initial=-np.inf), kind="stable")]
-    for at in range(0, len(live), _CHUNK):
-        cols = live[at:at + _CHUNK]
-        r, c = np.nonzero(may[:, cols] & (upper[:, cols] + slack >= least[:, None]))
+    rank = np.arange(len(x))
+    if steps and len(q):  # by the best coarse bound that any query has
+        best = np.concatenate([(stats[0][0] @ stats[0][1][i:i + _CHUNK].T).max(0) for i in range(0, len(x), _CHUNK)])
+        rank = np.argsort(-best, kind="stable")
+    for at in range(0, len(x), _CHUNK):
+        cols = rank[at:at + _CHUNK]
+        may = q_id[:, None] != x_id[cols]
+        left["pairs"] += int(may.sum())
+        reach = least[:, None] - slack
+        for s, (a, b) in zip(steps, stats):
+            rows = np.flatnonzero(may.any(1))
+            if not len(rows):
+                break
+            may[rows] &= a[rows] @ b[cols].T >= reach[rows]
+            left[s] += int(may.sum())
+        r, c = np.nonzero(may)
         left["scored"] += len(r)
         c = cols[c]
         s = exact_scores(q[r], x[c])
@@ -166,9 +177,7 @@ class _Fitted:
         """A score that the k-th best of each query can't be below."""
         out, dim = np.full(len(q), _NONE), q.shape[1]
         if len(self.ids.get(dim, ())) > k:
-            rows = np.repeat(np.arange(len(q)), len(self.ids[dim]))
-            s = exact_scores(q[rows], np.tile(self.vectors[dim], (len(q), 1))).reshape(len(q), -1)
-            s = np.where(q_id[:, None] == self.ids[dim], _NONE, s)
+            s = np.where(q_id[:, None] == self.ids[dim], _NONE, all_scores(q, self.vectors[dim]))
             out = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
         return out
 
