@@ -3,12 +3,13 @@
 1. Voters. Words and word beginnings that stand out in toxic labelled texts
    become lexicon and pattern voters; more voters look at how many of them a
    text holds, at a short fixed list of insults, at shouting and at exclamation
-   marks. The mark in the labels table is one more voter. A voter says toxic,
-   clean or nothing.
+   marks. A voter says toxic, clean or nothing. The marks of the labels table
+   choose the lexicon and say which way it leans; they are no voter, and the
+   label model never sees them.
 2. Label model. A generative model with a hidden label estimates, by EM on the
-   votes alone, how often each voter says what under either label, and the
-   correlations that remain between voters given the label; correlated voters
-   share their weight. It gives each text a posterior label.
+   votes alone, how often each voter says what under either label. Voters that
+   stay correlated given the label become one factor, whose joint votes it
+   estimates instead of a product. It gives each text a posterior label.
 3. A linear (logistic) classifier is trained on the posterior labels over
    presence features and scores every whole text.
 
@@ -45,7 +46,9 @@ _WORDS = re.compile(r"[^\W\d_]+")
 SEEDS = ("stupid", "idiot", "moron", "loser", "worthless", "pathetic", "disgusting", "scum", "trash", "clown")
 STEMS = (4, 5, 6)  # lengths of word beginnings
 LEAST = (2, 3, 5)
-MARK = 0.995       # prior accuracy of the labels table's marks, as strong as the sample is large
+LINKED = 0.3       # correlation given the label from which voters share a factor
+ALIKE = 0.9        # correlation of the votes themselves from which they share one from the start
+FACTOR = 5         # voters of a factor at most
 ODDS = 4.0         # how many times as frequent in one class a mined feature is at least
 _MEMO = 100_000
 
@@ -124,44 +127,80 @@ def _standing_out(counts: DataFrame, n1: int, n0: int) -> DataFrame:
 
 
 def votes_of(text: str, lex: list[str], lex_set: set[str]) -> list[int]:
-    """Votes of all voters: 1 toxic, -1 clean, 0 none."""
+    """Votes of the voters that look at one thing (1 toxic, 0 none), and last
+    how many words of the lexicon the text holds (``count_voters``)."""
     words = Counter(_WORDS.findall(text.lower()))
     have = {p for w in words for p in parts_of(w)}
     hits = sum(c for w, c in words.items() if any(p in lex_set for p in parts_of(w)))
     seeds = sum(words[x] for x in SEEDS)
     letters, upper = sum(map(str.isalpha, text)), sum(map(str.isupper, text))
-    return [*(int(x in have) for x in lex), 0 if hits else -1, int(hits >= 2), int(hits >= 4), int(seeds >= 1),
-            int(upper > 0.5 * letters > 10), int(text.count("!") * 20 > len(text) > 0)]
-
-
-def label_model(votes: np.ndarray, prior: float, rounds: int = 40) -> tuple[np.ndarray, dict]:
-    """Posterior P(toxic) per row of votes (the first voter starts it), and the estimates: ``rates``
-    [voter, label, vote + 1] and ``weight`` (less where voters that agree
-    beyond the label's doing share it)."""
+    return [*(int(x in have) for x in lex), int(seeds >= 1), int(upper > 0.5 * letters > 10), int(text.count("!") * 20 > len(text) > 0), hits]
+
+
+def count_voters(hits: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Two voters on the number of lexicon words: toxic from ``k`` on and clean
+    below, and toxic from ``2 k`` on; the marks choose k (best mean of both
+    classes' shares, ties: the smallest)."""
+    if len(set(toxic.tolist())) < 2:
+        k = 1
+    else:
+        k = max(range(1, 9), key=lambda n: ((hits >= n)[toxic == 1].mean() + (hits < n)[toxic == 0].mean(), -n))
+    return np.stack([np.where(hits >= k, 1, -1), (hits >= 2 * k).astype(int)], 1)
+
+
+def factors_of(left: np.ndarray, least: float) -> list[list[int]]:
+    """Voters grouped by the correlations of the columns of ``left`` from
+    ``least`` on, the strongest first, ``FACTOR`` to a group."""
+    left = left - left.mean(0)
+    sd = np.sqrt((left**2).mean(0)) + 1e-9
+    corr = (left.T @ left) / len(left) / np.outer(sd, sd)
+    group = {i: [i] for i in range(len(corr))}
+    pairs = [(-corr[i, j], i, j) for i in range(len(corr)) for j in range(i) if corr[i, j] > least]
+    for _, i, j in sorted(pairs):
+        if group[i] is not group[j] and len(group[i]) + len(group[j]) <= FACTOR:
+            group[i].extend(group[j])
+            for x in group[j]:
+                group[x] = group[i]
+    return sorted(sorted(g) for g in {id(g): g for g in group.values()}.values())
+
+
+def label_model(votes: np.ndarray, prior: float, rounds: int = 60) -> tuple[np.ndarray, dict]:
+    """Posterior P(toxic) per row of votes (1 toxic, -1 clean, 0 none), and the
+    estimates: ``rates`` [voter, label, vote + 1] and ``factors`` (groups of
+    voters with a joint distribution). A factor's joint votes are counted under
+    either label and fall back on the product of its voters' rates where they
+    are rare."""
     n, m = votes.shape
-    if not n:
-        return np.zeros(0), {"rates": np.full((m, 2, 3), 1 / 3), "weight": np.ones(m)}
+    if not n or not m:
+        return np.full(n, prior), {"rates": np.full((m, 2, 3), 1 / 3), "factors": [[i] for i in range(m)]}
     said = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float)  # n, m, 3
-    post = np.clip(0.5 + 0.45 * np.sign(votes.sum(1) + m * votes[:, 0]), 0.02, 0.98)
-    weight = np.ones(m)
+    factors = factors_of(votes.astype(float), ALIKE)  # voters that repeat each other have one say between them
+    majority = sum(votes[:, f].mean(1) for f in factors)
+    post = np.clip(0.5 + 0.45 * np.sign(majority), 0.02, 0.98)
     for k in range(rounds):
         y = np.stack([1 - post, post], 1)
         rates = np.einsum("ny,nmv->myv", y, said) + 0.5
-        rates[0] += n * np.array([[MARK, 0, 1 - MARK], [1 - MARK, 0, MARK]])
         rates /= rates.sum(2, keepdims=True)
-        if k % 10 == 9:  # correlations given the label
-            left = votes - y @ np.einsum("myv,v->ym", rates, np.array([-1.0, 0, 1]))
-            sd = np.sqrt((left**2).mean(0)) + 1e-9
-            corr = (left.T @ left) / n / np.outer(sd, sd)
-            weight = 1 / np.clip(np.where(corr > 0.1, corr, 0).sum(1), 1, None)
-            weight[0] = 1
-        ratio = np.log(rates[:, 1] / rates[:, 0])
-        z = np.einsum("m,nmv,mv->n", weight, said, ratio) + np.log(prior / (1 - prior))
+        if k == rounds // 3:  # what the label leaves unexplained becomes factors
+            factors = factors_of(votes - y @ np.einsum("myv,v->ym", rates, np.array([-1.0, 0, 1])), LINKED)
+        if k in (0, rounds // 3):
+            patterns = [np.unique(votes[:, f], axis=0, return_inverse=True) for f in factors]
+        z = np.full(n, np.log(prior / (1 - prior)))
+        log = np.log(rates)
+        for f, p in zip(factors, patterns):
+            alone = np.einsum("nmv,myv->ny", said[:, f], log[f])
+            if len(f) == 1:
+                z += alone[:, 1] - alone[:, 0]
+            else:
+                which = p[1].reshape(-1)
+                seen = np.stack([np.bincount(which, y[:, c], len(p[0])) for c in (0, 1)], 1)
+                joint = np.log((seen[which] + 10 * np.exp(alone)) / (y.sum(0) + 10))
+                z += joint[:, 1] - joint[:, 0]
         new = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        if np.abs(new - post).max() < 1e-6 and k > 12:
+        if np.abs(new - post).max() < 1e-6 and k > rounds // 3:
             break
         post = new
-    return post, {"rates": rates, "weight": weight}
+    return post, {"rates": rates, "factors": factors}
 
 
 def logistic(ids: list[np.ndarray], target: np.ndarray, n_features: int, steps: int = 1500, l2: float = 1e-6) -> np.ndarray:
@@ -198,13 +237,13 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 4000, keep: int =
     lex_set = {f for _, f in strong} or set(SEEDS)
 
     def vote(cols: dict[str, pa.Array]) -> dict:
-        marks = [2 * y - 1 for y in cols["toxic"].to_pylist()]
         texts = [t.as_py() or "" for t in cols["text"]]
         features = Features(index, lex_set)
-        return {"votes": [[y, *votes_of(t, lex, lex_set)] for y, t in zip(marks, texts)], "ids": [features.of(t) for t in texts]}
+        return {"toxic": cols["toxic"], "votes": [votes_of(t, lex, lex_set) for t in texts], "ids": [features.of(t) for t in texts]}
 
-    got = arrow_map(sample.select("toxic", "text"), vote, "votes array<int>, ids array<int>").toArrow()
+    got = arrow_map(sample.select("toxic", "text"), vote, "toxic int, votes array<int>, ids array<int>").toArrow()
     votes = np.array(got.column("votes").to_pylist(), np.int64).reshape(got.num_rows, -1 if got.num_rows else 1)
+    votes = np.concatenate([count_voters(votes[:, -1], np.array(got.column("toxic").to_pylist(), int)), votes[:, :-1]], 1)
     prior = np.clip(1 / (1 + np.exp(-_logit(took.get(1, 0), took.get(0, 0)))), 0.02, 0.98)
     post, estimates = label_model(votes, prior)
     size = len(names) + len(LEAST)

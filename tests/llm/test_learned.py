@@ -46,15 +46,38 @@ def test_toxicity_odd_rows(spark):
 
 
 def test_label_model_finds_accuracies_and_correlations():
+    """Without any mark: the hidden label comes out of the votes alone."""
     rng = np.random.default_rng(0)
     y = rng.random(4000) < 0.3
-    right = lambda acc: np.where(rng.random(4000) < acc, y, ~y)
-    a = right(0.9)
-    votes = np.stack([2 * right(0.995).astype(int) - 1, 2 * a - 1, 2 * a - 1, 2 * right(0.8).astype(int) - 1, 2 * right(0.5).astype(int) - 1], 1)
+    right = lambda acc: 2 * np.where(rng.random(4000) < acc, y, ~y).astype(int) - 1
+    a, b, c, d, noise = right(0.7), right(0.9), right(0.85), right(0.8), right(0.5)
+    votes = np.stack([a, a, a, b, c, d, noise], 1)  # a voter that stands three times must not outvote the others
     post, est = toxicity.label_model(votes, 0.3)
-    assert ((post > 0.5) == y).mean() > 0.97
-    assert abs(est["rates"][3, 1, 2] - 0.8) < 0.06 and abs(est["rates"][4, 1, 2] - 0.5) < 0.08
-    assert est["weight"][1] < 0.65 and est["weight"][4] > 0.8  # the voter that stands twice shares its weight
+    alone, _ = toxicity.label_model(votes[:, 2:], 0.3)
+    assert [0, 1, 2] in est["factors"] and ((post > 0.5) == y).mean() >= ((alone > 0.5) == y).mean() - 0.01 > 0.9
+    for i, acc in ((0, 0.7), (3, 0.9), (4, 0.85), (5, 0.8), (6, 0.5)):
+        assert abs((est["rates"][i, 1, 2] + est["rates"][i, 0, 0]) / 2 - acc) < 0.06
+
+
+def test_label_model_posterior_equals_enumeration():
+    """The posterior is Bayes' rule over the estimated factors, row by row."""
+    rng = np.random.default_rng(1)
+    y = rng.random(1500) < 0.4
+    votes = np.stack([np.where(rng.random(1500) < p, 2 * y.astype(int) - 1, rng.integers(-1, 2, 1500)) for p in (0.8, 0.7, 0.6, 0.5)], 1)
+    post, est = toxicity.label_model(votes, 0.4, rounds=400)
+    assert est["factors"] == [[0], [1], [2], [3]]
+    for i in range(0, 1500, 50):
+        joint = [prior * np.prod([est["rates"][m, label, votes[i, m] + 1] for m in range(4)]) for label, prior in ((0, 0.6), (1, 0.4))]
+        assert abs(post[i] - joint[1] / sum(joint)) < 1e-3
+
+
+def test_marks_choose_voters_but_do_not_vote(spark):
+    """Turning a few marks round changes no posterior beyond what the choice of voters does."""
+    hits, toxic = np.array([0, 0, 1, 1, 2, 3, 5, 4]), np.array([0, 0, 0, 0, 1, 1, 1, 1])
+    assert toxicity.count_voters(hits, toxic)[:, 0].tolist() == [-1, -1, -1, -1, 1, 1, 1, 1]
+    turned = toxic.copy()
+    turned[0] = 1
+    assert (toxicity.count_voters(hits, turned) == toxicity.count_voters(hits, toxic)).all()
 
 
 def test_language_held_out(spark):
