@@ -87,7 +87,9 @@ def learn(docs: DataFrame, per_lang: int = 1500, sample_docs: int = 20_000) -> d
                     [pa.array([lang] * len(grams)), pa.array([n] * len(grams), pa.int32()), pa.array(list(grams), pa.string()),
                      pa.array(list(grams.values()), pa.int64())], names=["lang", "n", "gram", "c"])
 
-    counts = (sample_rows(texts, "lang", per_lang, "langid", sample_docs).select("lang", "text")
+    # the sample's ids are bounded by sample_docs (and one for each language); texts stay where they are
+    ids = sample_rows(texts.select("doc_id", "lang"), "lang", per_lang, "langid", sample_docs).distinct()
+    counts = (texts.join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "text")
               .mapInArrow(count, "lang string, n int, gram string, c long").groupBy("lang", "n", "gram").agg(F.sum("c").alias("c")))
     counts = materialise(counts, "grams")
     totals = counts.groupBy("lang", "n").agg(F.sum("c").alias("c"), F.count("*").alias("kinds")).collect()
@@ -113,64 +115,72 @@ def learn(docs: DataFrame, per_lang: int = 1500, sample_docs: int = 20_000) -> d
 
 
 class Scorer:
-    """Scores texts with a learned model; unseen words are remembered. A table
-    is (start of each kind's entries, their languages, their gains)."""
+    """Scores texts with a learned model. A table is (start of each kind's
+    entries, their languages, their gains); words that were looked up stand in
+    one such table, known ones first, unseen ones behind them until there are
+    too many."""
 
     def __init__(self, model: dict):
-        self.langs, self.keys, self.tables, self.base = model["langs"], model["keys"], model["tables"], model["base"]
-        self.memo: dict[str, tuple] = {}
-
-    def entries(self, n: int, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All entries of the kinds of level ``n``: which kind, language, gain."""
-        start, lang, gain = self.tables[n]
-        size = start[kinds + 1] - start[kinds]
-        which = np.repeat(np.arange(len(kinds)), size)
-        flat = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start[kinds], size)
-        return which, lang[flat], gain[flat]
+        self.langs, self.keys, self.tables = model["langs"], model["keys"], model["tables"]
+        self.base = np.vstack([model["base"], np.zeros(len(self.langs))])  # the last level: no n-gram is known
+        start, self.lang, self.gain = self.tables[0]
+        self.known, self.filled = len(start) - 1, len(self.lang)
+        self.start, self.size = start[:-1].copy(), np.diff(start)
+        self.level = np.zeros(self.known, np.int64)
+        self.next, self.free = self.known, self.filled
+        outer = self
+
+        class Ids(dict):
+            def __missing__(self, word: str) -> int:
+                got = outer.keys[0].get(word)
+                self[word] = got = outer.add(word) if got is None else got
+                return got
+
+        self.ids = Ids()
 
     def backoff(self, word: str) -> tuple:
-        """(level, languages, gains) of the longest n-grams that are known; level
-        0: none is, and no language gains."""
-        got = self.memo.get(word)
-        if got is None:
-            got = (0, np.zeros(0, np.int32), np.zeros(0))
-            for n in range(LONGEST, 0, -1):
-                hits = [self.keys[n][g] for g in grams_of(word, n) if g in self.keys[n]]
-                if hits:
-                    _, lang, gain = self.entries(n, np.array(hits))
-                    own, back = np.unique(lang, return_inverse=True)
-                    got = (n, own, np.bincount(back, gain, len(own)) / len(hits))
-                    break
-            if len(self.memo) >= _MEMO:
-                self.memo.clear()
-            self.memo[word] = got
-        return got
+        """(level, languages, gains) of the longest n-grams that are known."""
+        for n in range(LONGEST, 0, -1):
+            hits = [self.keys[n][g] for g in grams_of(word, n) if g in self.keys[n]]
+            if hits:
+                start, lang, gain = self.tables[n]
+                at = np.concatenate([np.arange(start[h], start[h + 1]) for h in hits])
+                own, back = np.unique(lang[at], return_inverse=True)
+                return n, own, np.bincount(back, gain[at], len(own)) / len(hits)
+        return LONGEST + 1, np.zeros(0, np.int32), np.zeros(0)
+
+    def add(self, word: str) -> int:
+        """A row for an unseen word; the arrays grow as they must."""
+        n, lang, gain = self.backoff(word)
+        if self.next == len(self.start):
+            more = max(1024, len(self.start) // 2)
+            self.start, self.size, self.level = (np.append(x, np.zeros(more, x.dtype)) for x in (self.start, self.size, self.level))
+        if self.free + len(lang) > len(self.lang):
+            more = max(4096, len(self.lang) // 2, len(lang))
+            self.lang, self.gain = np.append(self.lang, np.zeros(more, np.int32)), np.append(self.gain, np.zeros(more))
+        i, end = self.next, self.free + len(lang)
+        self.start[i], self.size[i], self.level[i] = self.free, len(lang), n
+        self.lang[self.free:end], self.gain[self.free:end] = lang, gain
+        self.next, self.free = i + 1, end
+        return i
 
     def score(self, text: str | None, sure_after: int = 10) -> tuple[str, float]:
         words = words_of(text or "")
         if not words or not self.langs:
             return "und", 0.0
-        total, n_known, key = np.zeros(len(self.langs)), 0, self.keys[0]
-        counted = Counter(words)
-        kinds, times = [], []
-        level = np.zeros(LONGEST + 1)
-        for w, c in counted.items():
-            kind = key.get(w)
-            if kind is not None:
-                kinds.append(kind)
-                times.append(c)
-                n_known += c
-            else:
-                n, lang, gain = self.backoff(w)
-                if n:
-                    level[n] += c
-                    total[lang] += c * gain
-        if kinds:
-            which, lang, gain = self.entries(0, np.array(kinds))
-            total += np.bincount(lang, gain * np.array(times)[which], len(self.langs))
-        level[0] = n_known
-        total += level @ self.base
-        mean = total / len(words)
+        total, level = np.zeros(len(self.langs)), np.zeros(LONGEST + 2)
+        for a in range(0, len(words), 20_000):
+            if self.next - self.known > _MEMO or self.free - self.filled > 8 * _MEMO:
+                self.ids.clear()
+                self.next, self.free = self.known, self.filled
+            part = words[a:a + 20_000]
+            ids = np.fromiter(map(self.ids.__getitem__, part), np.int64, len(part))
+            size = self.size[ids]
+            end = np.cumsum(size)
+            flat = np.arange(end[-1]) + np.repeat(self.start[ids] - end + size, size)
+            total += np.bincount(self.lang[flat], self.gain[flat], len(self.langs))
+            level += np.bincount(self.level[ids], minlength=LONGEST + 2)
+        mean = (total + level @ self.base) / len(words)
         p = np.exp((mean - mean.max()) * min(len(words), sure_after))
         best = int(p.argmax())
         return self.langs[best], float(1 / p.sum())

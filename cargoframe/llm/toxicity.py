@@ -49,6 +49,7 @@ LEAST = (2, 3, 5)
 LINKED = 0.3       # correlation given the label from which voters share a factor
 ALIKE = 0.9        # correlation of the votes themselves from which they share one from the start
 FACTOR = 5         # voters of a factor at most
+CLEAN = 10         # how many times the share of clean texts taken for toxic weighs that of toxic ones missed
 ODDS = 4.0         # how many times as frequent in one class a mined feature is at least
 _MEMO = 100_000
 
@@ -139,12 +140,13 @@ def votes_of(text: str, lex: list[str], lex_set: set[str]) -> list[int]:
 
 def count_voters(hits: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Two voters on the number of lexicon words: toxic from ``k`` on and clean
-    below, and toxic from ``2 k`` on; the marks choose k (best mean of both
-    classes' shares, ties: the smallest)."""
+    below, and toxic from ``2 k`` on; the marks choose k: the largest share of
+    toxic texts at least k, less ``CLEAN`` times that of clean ones (ties: the
+    smallest k)."""
     if len(set(toxic.tolist())) < 2:
         k = 1
     else:
-        k = max(range(1, 9), key=lambda n: ((hits >= n)[toxic == 1].mean() + (hits < n)[toxic == 0].mean(), -n))
+        k = max(range(1, 9), key=lambda n: ((hits >= n)[toxic == 1].mean() - CLEAN * (hits >= n)[toxic == 0].mean(), -n))
     return np.stack([np.where(hits >= k, 1, -1), (hits >= 2 * k).astype(int)], 1)
 
 
@@ -203,9 +205,11 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 60) -> tuple[np.n
     return post, {"rates": rates, "factors": factors}
 
 
-def logistic(ids: list[np.ndarray], target: np.ndarray, n_features: int, steps: int = 1500, l2: float = 1e-6) -> np.ndarray:
+def logistic(ids: list[np.ndarray], target: np.ndarray, n_features: int, steps: int = 1500, ridge: float = 0.3) -> np.ndarray:
     """Weights [features, intercept] of a logistic model on presence features
-    and soft targets (Adam on the whole sample)."""
+    and soft targets (Adam on the whole sample); the penalty is that of ``ridge``
+    texts, however large the sample."""
+    l2 = ridge / max(1, len(ids))
     row = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
     col = np.concatenate([*ids, np.zeros(0, np.int64)]).astype(np.int64)
     w = np.zeros(n_features + 1)

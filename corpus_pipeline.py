@@ -32,10 +32,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of near copies (five words, 0.8)."""
-    kept = superminhash.near_duplicates(docs.select("doc_id", "text")).filter("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.select(*COLUMNS).join(kept, "doc_id").dropDuplicates(["doc_id"]).select(*COLUMNS)
-    return one.union(docs.select(*COLUMNS).filter("doc_id is null"))
+    """One document of each group of near copies (five words, 0.8): the one of
+    the smallest doc_id (NULL after all others), then of the smallest text hash,
+    lang and source.
+
+    A document is a row's doc_id and text: rows equal in both are one, rows that
+    share a doc_id but not the text are told apart, so are rows with NULL
+    doc_id. Documents without words are near to nothing else."""
+    d = docs.select(*COLUMNS)
+    if d.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").limit(1).count() == 0:
+        kept = superminhash.near_duplicates(d.select("doc_id", "text")).filter("kept").select("doc_id")
+        return d.join(kept, "doc_id").select(*COLUMNS)
+    # doc_id tells rows apart no more: rows get a key, written once
+    d = materialise(d.withColumn("_key", F.monotonically_increasing_id()), "keyed")
+    near = superminhash.near_duplicates(d.select(F.col("_key").alias("doc_id"), "text"))
+    near = near.select(F.col("doc_id").alias("_key"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("_group"))
+    rows = d.select("_key", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("_hash"), "lang", "source").join(near, "_key")
+    alone = F.when(F.col("_group").isNull(), F.struct("doc_id", "_hash"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_hash", "lang", "source", "_key")).alias("f")
+    kept = rows.groupBy("_group", alone.alias("_alone")).agg(first).select("f._key")
+    return d.join(kept, "_key", "left_semi").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
