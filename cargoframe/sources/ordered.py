@@ -41,6 +41,40 @@ def write_json_object(df: DataFrame, path: str, key_col: str, json_col: str) ->
     in_ranges(df.select(key_col, line.alias("value")), [key_col]).select("value").write.mode("overwrite").text(path)
 
 
+def write_classification_object(rows: DataFrame, path: str) -> None:
+    """K2: ``{hs4: {product: [{"goods_shipped", "attributes", "shipment_ids"}]}}``
+    over all part files, sorted by code, product and description.
+
+    ``rows``: ``hs4, product, goods_shipped, attributes`` (JSON text) and one row
+    per ``line`` of ``ids`` (array), so that a description with any number of
+    shipments stays in bounded rows. Each row is a line of the file; where
+    brackets open and close follows from the first and last row of every
+    product, code and of all, which are aggregates. No rows give ``{}``."""
+    group, item = ["hs4", "product"], ["hs4", "product", "goods_shipped"]
+    at = F.struct("goods_shipped", "line")
+    ends = rows.groupBy(*group).agg(F.min(at).alias("_low"), F.max(at).alias("_high"))
+    codes = ends.groupBy("hs4").agg(F.min("product").alias("_first"), F.max("product").alias("_last"))
+    low, high = codes.agg(F.min("hs4"), F.max("hs4")).first()
+    if low is None:
+        df = rows.sparkSession.range(1).select(F.lit("{}").alias("value"))
+        df.coalesce(1).write.mode("overwrite").text(path)
+        return
+    lines = rows.groupBy(*item).agg(F.min("line").alias("_l0"), F.max("line").alias("_l1"))
+    r = rows.join(lines, item).join(ends, group).join(codes, "hs4")
+    first_item, last_item = F.col("line") == F.col("_l0"), F.col("line") == F.col("_l1")
+    first_product, last_product = at == F.col("_low"), at == F.col("_high")
+    first_code, last_code = first_product & (F.col("product") == F.col("_first")), last_product & (F.col("product") == F.col("_last"))
+    text = lambda cond, *parts: F.when(cond, F.concat(*parts)).otherwise(F.lit(""))
+    line = F.concat(
+        text(first_code, F.when(F.col("hs4") == F.lit(low), F.lit("{")).otherwise(F.lit("")), json_string("hs4"), F.lit(": {")),
+        text(first_product, json_string("product"), F.lit(": [")),
+        text(first_item, F.lit('{"goods_shipped": '), json_string("goods_shipped"), F.lit(', "attributes": '), F.col("attributes"), F.lit(', "shipment_ids": [')),
+        F.array_join(F.transform("ids", json_string), ", "),
+        F.when(~last_item, F.lit(",")).when(~last_product, F.lit("]},")).when(~last_code, F.lit("]}],"))
+         .when(F.col("hs4") == F.lit(high), F.lit("]}]}}")).otherwise(F.lit("]}]},")))
+    in_ranges(r.select(*item, "line", line.alias("value")), [*item, "line"]).select("value").write.mode("overwrite").text(path)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of part files (``line``) with the columns ``PLACE``, which sort them
     in file order."""
@@ -53,4 +87,4 @@ def read_sorted_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("*", *place_columns())
 
 
-__all__ = ["PLACE", "in_ranges", "read_lines", "read_sorted_csv", "write_json_object", "write_sorted_csv"]
+__all__ = ["PLACE", "in_ranges", "read_lines", "read_sorted_csv", "write_classification_object", "write_json_object", "write_sorted_csv"]

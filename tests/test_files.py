@@ -107,3 +107,29 @@ def test_ordered_sinks_are_sorted_and_one_object(spark):
     assert [r["id"] for r in sorted(back, key=lambda r: tuple(r[c] for c in OR.PLACE))] == sorted(k for k, _ in rows)
     OR.write_json_object(df.limit(0), base + "/none", "id", "j")
     assert json.loads("".join(open(f).read() for f in glob.glob(base + "/none/part-*"))) == {}
+
+
+def test_classification_object_is_one_document(spark):
+    import glob
+    import json
+    base = tempfile.mkdtemp(prefix="cf-obj-")
+    rows, want = [], {}
+    for h in ("0901", "1006"):
+        for p in ('A "x"', "B"):
+            for g in range(5):
+                item = {"goods_shipped": f"goods {g}", "attributes": {"Color": "Red"}, "shipment_ids": []}
+                for line in (0, 2) if g % 2 else (1,):  # lines may be missing
+                    ids = [f"{h}{p}{g}-{line}-{j}" for j in range(3)]
+                    rows.append((h, p, item["goods_shipped"], json.dumps(item["attributes"]), line, ids))
+                    item["shipment_ids"] += ids
+                want.setdefault(h, {}).setdefault(p, []).append(item)
+    df = spark.createDataFrame(rows, "hs4 string, product string, goods_shipped string, attributes string, line long, ids array<string>").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        OR.write_classification_object(df, base + "/o")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = sorted(glob.glob(base + "/o/part-*"))
+    assert len(files) > 2 and json.loads("".join(open(f).read() for f in files)) == want
+    OR.write_classification_object(df.limit(0), base + "/none")
+    assert json.loads("".join(open(f).read() for f in glob.glob(base + "/none/part-*"))) == {}
