@@ -128,15 +128,7 @@ class Scorer:
         self.start, self.size = start[:-1].copy(), np.diff(start)
         self.level = np.zeros(self.known, np.int64)
         self.next, self.free = self.known, self.filled
-        outer = self
-
-        class Ids(dict):
-            def __missing__(self, word: str) -> int:
-                got = outer.keys[0].get(word)
-                self[word] = got = outer.add(word) if got is None else got
-                return got
-
-        self.ids = Ids()
+        self.unseen: dict[str, int] = {}
 
     def backoff(self, word: str) -> tuple:
         """(level, languages, gains) of the longest n-grams that are known."""
@@ -162,6 +154,7 @@ class Scorer:
         self.start[i], self.size[i], self.level[i] = self.free, len(lang), n
         self.lang[self.free:end], self.gain[self.free:end] = lang, gain
         self.next, self.free = i + 1, end
+        self.unseen[word] = i
         return i
 
     def score(self, text: str | None, sure_after: int = 10) -> tuple[str, float]:
@@ -171,10 +164,12 @@ class Scorer:
         total, level = np.zeros(len(self.langs)), np.zeros(LONGEST + 2)
         for a in range(0, len(words), 20_000):
             if self.next - self.known > _MEMO or self.free - self.filled > 8 * _MEMO:
-                self.ids.clear()
+                self.unseen.clear()
                 self.next, self.free = self.known, self.filled
             part = words[a:a + 20_000]
-            ids = np.fromiter(map(self.ids.__getitem__, part), np.int64, len(part))
+            kinds = self.keys[0]
+            row = {w: kinds[w] if w in kinds else self.unseen[w] if w in self.unseen else self.add(w) for w in set(part)}
+            ids = np.fromiter(map(row.__getitem__, part), np.int64, len(part))
             size = self.size[ids]
             end = np.cumsum(size)
             flat = np.arange(end[-1]) + np.repeat(self.start[ids] - end + size, size)
