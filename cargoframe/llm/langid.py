@@ -28,6 +28,7 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -167,9 +168,10 @@ class Scorer:
                 self.unseen.clear()
                 self.next, self.free = self.known, self.filled
             part = words[a:a + 20_000]
-            kinds = self.keys[0]
-            row = {w: kinds[w] if w in kinds else self.unseen[w] if w in self.unseen else self.add(w) for w in set(part)}
-            ids = np.fromiter(map(row.__getitem__, part), np.int64, len(part))
+            ids = np.fromiter(map(self.keys[0].get, part, repeat(-1)), np.int64, len(part))
+            for i in np.flatnonzero(ids < 0).tolist():
+                row = self.unseen.get(part[i])
+                ids[i] = self.add(part[i]) if row is None else row
             size = self.size[ids]
             end = np.cumsum(size)
             flat = np.arange(end[-1]) + np.repeat(self.start[ids] - end + size, size)
