@@ -12,10 +12,11 @@ Two plans share that test:
   goods row joins its product's array (Catalyst's size check decides about
   broadcasting) and the hits are selected inside the row.
 * ``value_index`` / ``match_by_token``: a dictionary that grows with the data is
-  an inverted index, each value under its rarest token. Descriptions are
-  exploded to their distinct tokens and joined on (product, token), so a
-  description meets only the values whose rarest token it holds, and no task
-  holds a product's values together.
+  an inverted index, each value under its rarest pair of adjacent tokens (its
+  token, if it has one only). Descriptions are exploded to their distinct tokens
+  and pairs and joined on (product, token), so a description meets only the
+  values whose rarest pair it holds, and no task holds a product's values
+  together.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.text import (DENSITY_UNIT, HEURISTIC_SEPARATORS, NEGATION_WINDOW_CHARS, NEGATION_WORDS, WHITESPACE,
                               bounded_pattern, collapse_ws, is_density_value, marked_value, match_text, strip_ws,
                               token_marked, tokens, unmarked_length, value_pattern)
+from ..session import cut_lineage
 
 MIN_VALUE_CHARS = 3
 _WS = list(WHITESPACE)
@@ -152,15 +154,31 @@ def _picked(text_col: str, negation_guard: bool) -> Column:
 _ANY, _DENSITY = "*", "#"  # index keys of values without a token, and of density values
 
 
+def _pairs(found: Column) -> Column:
+    """Adjacent tokens as one name each."""
+    n = F.greatest(F.size(found) - 1, F.lit(0))
+    return F.zip_with(F.slice(found, F.lit(1), n), F.slice(found, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
+
+
 def value_index(schema: DataFrame, keys: Sequence[str], min_chars: int = MIN_VALUE_CHARS) -> DataFrame:
-    """``dictionary_values`` and ``token``: of the value's tokens the one that
-    the fewest values of its product hold (ties: the longest, then the first).
-
-    Every token of a value that stands in a text is a token of the text, so any
-    one of them finds it. Values without a token stand under ``*``, density
-    values under ``#``."""
-    v = dictionary_values(schema, keys, min_chars)
-    names = F.when(F.col("pattern").isNotNull(), F.array(F.lit(_DENSITY))).otherwise(F.array_distinct(tokens("norm")))
+    """``dictionary_values`` and ``token``: of the value's pairs of adjacent
+    tokens (its token, if it has one only) the one that the fewest values of its
+    product hold (ties: the longest, then the first).
+
+    The tokens of a value that stands in a text are tokens of the text, in the
+    same order without others between them, so any pair finds it. Values without
+    a token stand under ``*``, density values under ``#``.
+
+    Equal entries of the schema become one (their first place) before any text
+    rule runs, and the distinct values are computed once for both sides of the
+    count."""
+    there = F.col("value_ord").isNull()  # sorts before all numbers, as in ``dictionary_values``
+    entries = schema.groupBy(*keys, "attr", "attr_ord", "value").agg(F.max(there).alias("_n"), F.min("value_ord").alias("value_ord"))
+    v = cut_lineage(dictionary_values(entries.withColumn("value_ord", F.when(~F.col("_n"), F.col("value_ord"))).drop("_n"), keys, min_chars))
+
+    def own(found):
+        return F.when(F.size(found) > 1, F.array_distinct(_pairs(found))).otherwise(found)
+    names = F.when(F.col("pattern").isNotNull(), F.array(F.lit(_DENSITY))).otherwise(_let(tokens("norm"), own))
     v = v.withColumn("token", F.explode(F.when(F.size(names) == 0, F.array(F.lit(_ANY))).otherwise(names)))
     held = v.groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("n"))
     rarest = F.min(F.struct("n", (-F.length("token")).alias("neg_len"), "token")).alias("r")
@@ -175,15 +193,18 @@ def match_by_token(goods: DataFrame, index: DataFrame, keys: Sequence[str],
     ``dictionary_match``.
 
     ``goods`` rows are told apart by ``keys`` and text: equal ones get the same
-    matches. The token rows are narrow (a 128-bit key and the token); texts are
-    shuffled once to meet their candidates. A hot token is split by AQE's
-    skew join, and the pick of the longest value is an aggregation that starts
-    before the shuffle."""
+    matches. They are written once and read back: each use would compute them
+    again, and the text rules would run on the rows that they are made from. The
+    token rows are narrow (a 128-bit key and the token); texts are shuffled once
+    to meet their candidates. A hot token is split by AQE's skew join, and the
+    pick of the longest value is an aggregation that starts before the shuffle."""
+    goods = cut_lineage(goods)
     # an escaped separator keeps ("a", "bc") and ("ab", "c") apart
     part = [F.coalesce(F.replace(F.col(c).cast("string"), F.lit("|"), F.lit("||")), F.lit("|n")) for c in (*keys, text_col)]
     g = goods.withColumn("_id", F.unhex(F.md5(F.concat_ws("|.", *part))))
-    texts = g.select("_id", *keys, match_form(text_col).alias("_t")).dropDuplicates(["_id"])
-    own = F.concat(F.array_distinct(tokens(F.col("_t.text"))), F.array(F.lit(_ANY)),
+    texts = g.select("_id", *keys, text_col).distinct().select("_id", *keys, match_form(text_col).alias("_t"))
+    named = _let(tokens(F.col("_t.text")), lambda found: F.array_distinct(F.concat(found, _pairs(found))))
+    own = F.concat(named, F.array(F.lit(_ANY)),
                    F.when(F.col("_t.text").rlike(DENSITY_UNIT), F.array(F.lit(_DENSITY))).otherwise(F.array().cast("array<string>")))
     candidates = texts.select("_id", *keys, F.explode(own).alias("token")).join(index, [*keys, "token"]).select(
         "_id", F.struct("attr", (-F.length("value")).alias("neg_len"), "value", "probe", "pattern").alias("d"))
