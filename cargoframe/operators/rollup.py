@@ -72,29 +72,33 @@ def shipment_attributes(rows: DataFrame, columns: Sequence[tuple[str, str]], id_
     a key keeps its first position; blanks and nan/none/null are skipped.
     Product is the last non-empty one.
 
-    One aggregation per shipment: its rows are never exploded per attribute
-    and, with ``max_by`` and ``min``, combined before the shuffle."""
+    One aggregation per shipment: its rows are never exploded per attribute.
+    Most shipments have few rows, so the cleaned rows are shuffled as they are
+    and sorted once; what ``max_by`` and ``min`` hold per key is wider than they."""
     def usable(c: str) -> Column:
         v = strip_ws(F.col(c).cast("string"))
         return F.when(~F.lower(v).isin(ROLLUP_MISSING_VALUES), v)
 
     at = F.struct(*[F.col(c) for c in order_cols])
     keys = list(dict.fromkeys(k for _, k in columns if k))
-    own = {k: [(i, c) for i, (c, key) in enumerate(columns) if key == k] for k in keys}
+    own = {k: [i for i, (_, key) in enumerate(columns) if key == k] for k in keys}
     r = rows.withColumn(id_col, strip_ws(id_col)).filter(F.col(id_col) != "").select(
-        id_col, at.alias("_at"), strip_ws(product_col).alias("_prod"),
-        *[F.coalesce(*[usable(c) for _, c in reversed(cs)]).alias(f"_v{n}") for n, cs in enumerate(own.values())],
-        *[F.coalesce(*[F.when(usable(c).isNotNull(), F.lit(i)) for i, c in cs]).alias(f"_c{n}") for n, cs in enumerate(own.values())])
+        id_col, at.alias("_at"), strip_ws(product_col).alias("_prod"), *[usable(c).alias(f"_u{i}") for i, (c, key) in enumerate(columns) if key])
+    r = r.repartition(id_col)
     aggs = [F.max_by("_prod", F.when(F.col("_prod") != "", F.col("_at"))).alias("_product")]
-    for n in range(len(keys)):
-        there = F.col(f"_v{n}").isNotNull()
-        aggs += [F.max_by(f"_v{n}", F.when(there, F.col("_at"))).alias(f"_v{n}"),
-                 F.min(F.when(there, F.struct("_at", f"_c{n}"))).alias(f"_p{n}")]
+    for n, places in enumerate(own.values()):
+        value = F.coalesce(*[F.col(f"_u{i}") for i in reversed(places)])
+        first = F.coalesce(*[F.when(F.col(f"_u{i}").isNotNull(), F.lit(i)) for i in places])
+        there = value.isNotNull()
+        aggs += [F.max_by(value, F.when(there, F.col("_at"))).alias(f"_v{n}"),
+                 F.min(F.when(there, F.struct("_at", first.alias("_c")))).alias(f"_p{n}")]
     g = r.groupBy(id_col).agg(*aggs)
+    # an entry's text is made here, where a key is a constant, and not per element
     entries = F.array_sort(F.filter(F.array(*[
-        F.struct(F.col(f"_p{n}._at").alias("o"), F.col(f"_p{n}._c{n}").alias("c"), F.lit(k).alias("k"),
-                 json_string(f"_v{n}").alias("v")) for n, k in enumerate(keys)]), lambda e: e["v"].isNotNull()))
-    return g.select(id_col, F.coalesce("_product", F.lit("")).alias(product_col), json_text_object(entries).alias("attrs_json"))
+        F.struct(F.col(f"_p{n}._at").alias("o"), F.col(f"_p{n}._c").alias("c"),
+                 F.concat(json_string(F.lit(k)), F.lit(": "), json_string(f"_v{n}")).alias("t")) for n, k in enumerate(keys)]), lambda e: e["t"].isNotNull()))
+    text = F.concat(F.lit("{"), F.array_join(entries["t"], ", "), F.lit("}"))
+    return g.select(id_col, F.coalesce("_product", F.lit("")).alias(product_col), text.alias("attrs_json"))
 
 
 def keyed_columns(spark, names: Sequence[str]) -> list[tuple[str, str]]:

@@ -3,6 +3,7 @@
 import glob
 
 from cargoframe.operators import dictionary as D
+from cargoframe.operators import rollup as R
 from cargoframe.operators import tables as TB
 from cargoframe.sources import fixtures as FX
 
@@ -41,3 +42,11 @@ def test_appended_batches_are_small(spark, tmp_path):
     TB.append_to(spark.range(5), str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 15
     assert all(".zstd." in f for f in glob.glob(str(tmp_path / "t" / "*.parquet")))
+
+
+def test_shipment_rows_are_shuffled_before_they_are_merged(spark):
+    rows = spark.createDataFrame([("s", 0, 1, "P", "Red", None), ("s", 1, 1, "", "none", 'a"b'), ("s", 1, 0, "Q", "Blue", "x"), (" t ", 0, 0, None, None, None)],
+                                 "shipment_id string, file_ord int, ord int, product string, c0 string, c1 string")
+    df = R.shipment_attributes(rows, [("c0", "color"), ("c1", "grade")])
+    assert {tuple(r) for r in df.collect()} == {("s", "Q", '{"color": "Blue", "grade": "a\\"b"}'), ("t", "", "{}")}
+    assert "RepartitionByExpression [shipment_id" in _optimized(df)
