@@ -54,21 +54,21 @@ def _fragments(json_text: Column) -> Column:
         entries, lambda e: F.struct(e["key"].alias("k"), F.coalesce(F.to_json(e["value"]), F.lit("null")).alias("v"))))
 
 
-def _merged_attrs(existing_json: Column, updates: Column) -> Column:
-    """Existing JSON object text updated with an ordered ``array<struct<k,v>>``
-    of JSON fragments: existing keys keep their place, new keys are appended,
-    update values win. Text that is not an object stays as it is."""
+def _merged_attrs(parsed: Column, updates: Column) -> Column:
+    """The members ``parsed`` of a JSON object updated with an ordered
+    ``array<struct<k,v>>`` of JSON fragments: existing keys keep their place, new
+    keys are appended, update values win; no members: NULL."""
     none = F.array().cast("array<struct<k:string,v:string>>")
-    blank = existing_json.isNull() | (strip_ws(existing_json) == "")
-    old = F.coalesce(_fragments(existing_json), none)
-    upd = F.coalesce(updates, none)
-    upd_map = F.map_from_entries(upd)
-    kept = F.transform(old, lambda e: F.struct(e["k"].alias("k"), F.coalesce(F.try_element_at(upd_map, e["k"]), e["v"]).alias("v")))
-    old_keys = F.transform(old, lambda e: e["k"])
-    added = F.filter(upd, lambda u: ~F.array_contains(old_keys, u["k"]))
-    allkv = F.concat(kept, added)
-    return (F.when(~blank & _fragments(existing_json).isNull(), existing_json)
-             .when(F.size(allkv) > 0, json_text_object(allkv)))
+
+    def merged(x):
+        old, new = x["old"], x["new"]
+        kept = F.transform(old, lambda e: F.struct(e["k"].alias("k"), F.coalesce(F.try_element_at(x["map"], e["k"]), e["v"]).alias("v")))
+        added = F.filter(new, lambda u: ~F.array_contains(x["keys"], u["k"]))
+        allkv = F.concat(kept, added)
+        return F.when(F.size(allkv) > 0, json_text_object(allkv))
+    old, new = F.coalesce(parsed, none), F.coalesce(updates, none)
+    one = F.struct(old.alias("old"), new.alias("new"), F.map_from_entries(new).alias("map"), old["k"].alias("keys"))
+    return F.element_at(F.transform(F.array(one), merged), 1)
 
 
 def aggregate_updates(updates: DataFrame, id_col: str = "shipment_id", order_col: str = "ord") -> DataFrame:
@@ -83,13 +83,14 @@ def aggregate_updates(updates: DataFrame, id_col: str = "shipment_id", order_col
     sort-based aggregate runs on the raw updates."""
     from pyspark.sql import Window
     u = updates.withColumn(id_col, strip_ws(id_col)).filter(F.col(id_col).isNotNull() & (F.col(id_col) != ""))
+    u = u.select(id_col, order_col, "product", "attrs_json")
     prod = strip_ws(F.coalesce("product", F.lit("")))
     ok = F.when((prod != "") & (F.lower(prod) != "none"), prod)
     firsts = u.select(id_col, ok.alias("_ok"), order_col).filter(F.col("_ok").isNotNull()) \
               .groupBy(id_col, "_ok").agg(F.min(order_col).alias("_o"))
     prods = firsts.groupBy(id_col).agg(F.min_by("_ok", "_o").alias("product"))
     kv = (u.select(id_col, order_col, F.posexplode(_fragments(strip_ws("attrs_json"))).alias("kpos", "e"))
-           .select(id_col, order_col, "kpos", "e.k", "e.v"))
+           .select(id_col, order_col, "kpos", "e.k", "e.v")).repartition(id_col)  # one shuffle for keys and ids
     w = Window.partitionBy(id_col, "k").orderBy(order_col, "kpos")
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     per_key = (kv.withColumn("_rf", F.row_number().over(w)).withColumn("_last", F.last("v").over(w_all))
@@ -112,12 +113,19 @@ def attribute_upsert(target: DataFrame, agg_updates: DataFrame, id_col: str = "s
                            F.lit(True).alias("_hit"))
     j = target.join(u, id_col, "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
-    new_attrs = _merged_attrs(F.col(attrs_col), F.col("_upd"))
-    bad = hit & F.col(attrs_col).isNotNull() & (strip_ws(attrs_col) != "") & _fragments(F.col(attrs_col)).isNull()
-    return (j.withColumn("attrs_kept", F.coalesce(bad, F.lit(False)))
+    old = F.col(attrs_col)
+    text = old.isNotNull() & (strip_ws(old) != "")
+
+    # the old text is parsed once, and only in rows that are hit
+    def change(parsed):
+        bad = text & parsed.isNull()
+        return F.struct(bad.alias("bad"), F.when(bad, old).otherwise(_merged_attrs(parsed, F.col("_upd"))).alias("text"))
+    change = F.when(hit, F.element_at(F.transform(F.array(_fragments(old)), change), 1))
+    j = j.withColumn("_new", change)
+    return (j.withColumn("attrs_kept", F.coalesce(F.col("_new.bad"), F.lit(False)))
              .withColumn(product_col, F.when(hit, F.coalesce("_np", product_col)).otherwise(F.col(product_col)))
-             .withColumn(attrs_col, F.when(hit, new_attrs).otherwise(F.col(attrs_col)))
-             .drop("_np", "_upd", "_hit"))
+             .withColumn(attrs_col, F.when(hit, F.col("_new.text")).otherwise(old))
+             .drop("_np", "_upd", "_hit", "_new"))
 
 
 def delete_keys(target: DataFrame, keys: DataFrame, key_col: str) -> DataFrame:

@@ -50,3 +50,12 @@ def test_shipment_rows_are_shuffled_before_they_are_merged(spark):
     df = R.shipment_attributes(rows, [("c0", "color"), ("c1", "grade")])
     assert {tuple(r) for r in df.collect()} == {("s", "Q", '{"color": "Blue", "grade": "a\\"b"}'), ("t", "", "{}")}
     assert "RepartitionByExpression [shipment_id" in _optimized(df)
+
+
+def test_target_text_is_parsed_once(spark):
+    target = spark.createDataFrame([("1", "P", '{"a": 1}'), ("2", "Q", "{bad"), ("3", "R", " "), ("4", "S", '{"k": 1}')], "shipment_id string, product_name string, attributes string")
+    upd = spark.createDataFrame([("1", None, [("b", "2"), ("a", "3")]), ("2", "X", [("b", "2")]), ("3", "Y", None)],
+                                "shipment_id string, product string, upd array<struct<k:string,v:string>>")
+    df = TB.attribute_upsert(target, upd)
+    assert {tuple(r) for r in df.collect()} == {("1", "P", '{"a": 3, "b": 2}', False), ("2", "X", "{bad", True), ("3", "Y", None, False), ("4", "S", '{"k": 1}', False)}
+    assert _optimized(df).count("from_json(") == 1
