@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import TRUTHY_FLAGS, hs4_from_digits, hs4_prefix, strip_ws
+from ..session import cut_lineage
 
 REQUIRED_SHIPMENT_COLUMNS = ["hs_code", "goods_shipped", "shipment_id"]
 REQUIRED_CLASSIFIED_COLUMNS = ["hs_code", "goods_shipped", "category"]
@@ -108,6 +110,7 @@ def with_default(df: DataFrame, col: str, value: str) -> DataFrame:
     return df if col in df.columns else df.withColumn(col, F.lit(value))
 
 
+WORD_BITS = 62  # slices of a cube in one word
 SKETCH_LG_K = 14  # 2^14 registers: a standard error of about 0.8 %
 
 
@@ -128,6 +131,36 @@ def merge_sketches(sketches: DataFrame, by: Sequence[str], cube: bool = False) -
         F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(c)), F.lit(0)).cast("long").alias("n_" + c.removeprefix("sk_")) for c in cols])
 
 
+def cube_distinct(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Exact distinct counts of ``columns`` in every combination of ``by``
+    (NULL: all), as ``cube`` with ``countDistinct`` gives them.
+
+    Every slice of the cube is a bit of a numbered word, so a row is one
+    (value, word, bits) instead of a row per column and combination, and one
+    aggregate per column (bits united before the shuffle) finds the slices
+    that a value occurs in. The slices themselves are a report-sized table."""
+    seen = df.select(*by).distinct()
+    level = lambda m: F.struct(*[F.when(F.lit(bool(m >> i & 1)), F.col(c)).alias(c) for i, c in enumerate(by)], F.lit(m).alias("_level"))
+    own = seen.withColumn("_s", F.explode(F.array(*[level(m) for m in range(1 << len(by))])))
+    w = Window.orderBy("_s")  # the slices of the cube: a small table
+    own = own.withColumn("_n", F.dense_rank().over(w) - 1).select(
+        *by, "_s", F.floor(F.col("_n") / WORD_BITS).cast("int").alias("_word"), F.expr(f"shiftleft(1L, _n % {WORD_BITS})").alias("_bit"))
+    own = cut_lineage(own)
+    slices = own.select("_s", "_word", "_bit").distinct()
+    names = [f"_by{i}" for i in range(len(by))]
+    words = own.groupBy(*[F.col(c).alias(n) for c, n in zip(by, names)], "_word").agg(F.bit_or("_bit").alias("_bits"))
+    same = functools.reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(c)) for c, n in zip(by, names)])
+    out = slices
+    for i, c in enumerate(columns):
+        rows = df.select(*by, F.col(c).alias("_v")).filter(F.col("_v").isNotNull()).join(F.broadcast(words), same)
+        per_value = rows.groupBy("_v", "_word").agg(F.bit_or("_bits").alias("_bits"))
+        s = slices.select(F.col("_word").alias("_w"), "_bit")
+        n = (per_value.join(F.broadcast(s), (F.col("_word") == F.col("_w")) & (F.col("_bits").bitwiseAND(F.col("_bit")) != 0))
+             .groupBy("_word", "_bit").agg(F.count(F.lit(1)).alias(f"_c{i}")))
+        out = out.join(n, ["_word", "_bit"], "left")
+    return out.select(*[F.col("_s")[c].alias(c) for c in by], *[F.coalesce(f"_c{i}", F.lit(0)).alias(f"n_{c}") for i, c in enumerate(columns)])
+
+
 def profile_shipments(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Rows, distinct HS/goods/shipments, all-empty flags, dedup ratio.
     Every distinct count is its own two-step aggregate over one pruned column

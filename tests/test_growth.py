@@ -2,6 +2,9 @@
 
 import glob
 
+from pyspark.sql import functions as F
+
+from cargoframe.operators import clean as C
 from cargoframe.operators import dictionary as D
 from cargoframe.operators import rollup as R
 from cargoframe.operators import tables as TB
@@ -59,3 +62,15 @@ def test_target_text_is_parsed_once(spark):
     df = TB.attribute_upsert(target, upd)
     assert {tuple(r) for r in df.collect()} == {("1", "P", '{"a": 3, "b": 2}', False), ("2", "X", "{bad", True), ("3", "Y", None, False), ("4", "S", '{"k": 1}', False)}
     assert _optimized(df).count("from_json(") == 1
+
+
+def test_cube_counts_distinct_values_without_a_row_per_slice(spark):
+    """More slices than one word holds, NULLs in the keys and in the values."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 31 != 0, F.col("id") % 31).alias("day"), F.when(F.col("id") % 7 != 0, (F.col("id") % 7).cast("string")).alias("flag"),
+                                    F.when(F.col("id") % 5 != 0, F.col("id") % 400).alias("a"), (F.col("id") % 90).cast("string").alias("b"), F.lit(None).cast("long").alias("none"))
+    df = C.cube_distinct(rows, ["day", "flag"], ["a", "b", "none"])
+    want = rows.cube("day", "flag").agg(F.countDistinct("a"), F.countDistinct("b"), F.countDistinct("none"))
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, df.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+    assert "Expand" not in _optimized(df)
+    assert C.cube_distinct(rows.limit(0), ["day", "flag"], ["a"]).count() == 0
