@@ -26,9 +26,14 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
 def standardize_shipments(df: DataFrame) -> DataFrame:
     """Trim the key columns, NULL goods -> ''; derive both HS-4 forms."""
     require_columns(df, REQUIRED_SHIPMENT_COLUMNS)
+    return standardize_goods(df).withColumn("shipment_id", strip_ws(F.col("shipment_id").cast("string")))
+
+
+def standardize_goods(df: DataFrame) -> DataFrame:
+    """P1 for what describes the goods only, so that a table of goods can be
+    cleaned before it meets its shipments."""
     return (df.withColumn("hs_code", strip_ws(F.col("hs_code").cast("string")))
               .withColumn("goods_shipped", strip_ws(F.coalesce(F.col("goods_shipped").cast("string"), F.lit(""))))
-              .withColumn("shipment_id", strip_ws(F.col("shipment_id").cast("string")))
               .withColumn("hs4", hs4_from_digits("hs_code"))
               .withColumn("hs4_prefix", hs4_prefix("hs_code")))
 

@@ -6,10 +6,14 @@ from pyspark.sql import functions as F
 
 from cargoframe.operators import clean as C
 from cargoframe.operators import dictionary as D
+from cargoframe.operators import profile as PR
 from cargoframe.operators import rollup as R
 from cargoframe.operators import tables as TB
+from cargoframe.plans import queries as Q
 from cargoframe.sources import fixtures as FX
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_values_stand_under_adjacent_pairs(spark):
     schema = spark.createDataFrame([("p", "Lot", 0, v, i) for i, v in enumerate(
@@ -74,3 +78,29 @@ def test_cube_counts_distinct_values_without_a_row_per_slice(spark):
     assert sorted(map(tuple, df.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
     assert "Expand" not in _optimized(df)
     assert C.cube_distinct(rows.limit(0), ["day", "flag"], ["a"]).count() == 0
+
+
+def test_goods_are_cleaned_once_per_part(spark):
+    """No text rule of the goods runs on shipment rows, and the rows are those of ``load_clean``."""
+    df = Q.clean_shipments(spark, SF)
+    plan = _optimized(df.select("hs4", "category", "goods_shipped")).splitlines()
+    top = next(i for i, line in enumerate(plan) if "Join " in line)
+    assert not any("trim(" in line or "regexp_replace" in line for line in plan[:top])
+    want = C.load_clean(FX.shipments(spark, SF))
+    assert df.columns == want.columns and df.exceptAll(want).isEmpty() and want.exceptAll(df).isEmpty()
+
+
+def test_order_number_is_that_of_the_text(spark):
+    rows = spark.createDataFrame([(1, 2, 3, 4, 5), (10**10 - 1, 9, 10**8 - 1, 10**6 - 1, 10**12 - 1), (0, 0, 0, 0, 0), (10**10, 1, 1, 1, 1), (1, 10, 1, 1, 1),
+                                  (1, 1, 10**8, 1, 1), (1, 1, 1, 10**6, 1), (-5, 1, 1, 1, 1), (1, 1, 1, 1, -7), (None, 1, 1, 1, 1), (1, 1, 1, 1, None)],
+                                 "o long, n int, p long, s long, c long")
+    text = F.concat_ws("-", FX._pad("o", 10), F.col("n").cast("string"), FX._pad("p", 8), FX._pad("s", 6), FX._pad("c", 12))
+    text = F.when(F.col("o").isNotNull() & F.col("c").isNotNull(), text)
+    got = rows.select(FX.ord_number(*map(F.col, "onpsc"), text).alias("a"), FX.ord_key(text).alias("b"))
+    assert got.schema["a"].dataType == got.schema["b"].dataType and all(r.a == r.b for r in got.collect())
+
+
+def test_proposals_are_read_once(spark):
+    """Names, values and groups of the proposals come from one short table."""
+    model = PR.normalise_proposals(Q._proposals(spark, SF), "category")
+    assert "l_partkey" not in _optimized(model)
