@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, store
 
 UNCLASSIFIED = "Unclassified"
 
@@ -104,7 +104,7 @@ def _range_offsets(local: DataFrame, group_cols: Sequence[str], measures: dict[s
     return per
 
 
-def positions_by_range(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+def positions_by_range(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], blocks: Sequence[str] = ()) -> DataFrame:
     """0-based ``pos`` of each row within its group in ``order_cols`` order,
     and the group's ``group_size``, without sending a whole group to one task.
 
@@ -112,7 +112,14 @@ def positions_by_range(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     so a row's place in its range is its running id; that of the group's first
     row there is taken off and the counts of the group's earlier ranges are
     added. One exchange; pass the columns that are needed only, as the rows
-    are written once so that ids and counts see the same ranges."""
+    are written once so that ids and counts see the same ranges.
+
+    ``blocks`` (the first of ``order_cols``; no groups) tells that rows are in
+    order already within the blocks that these columns name, each unbroken in
+    one partition, as a scan of files gives them: nothing is exchanged then, and
+    a row's place in its block is its running id less that of the block's first."""
+    if blocks:
+        return _positions_in_blocks(df, blocks)
     cols = [*group_cols, *order_cols]
     ranged = df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_mid", F.monotonically_increasing_id())
     local = cut_lineage(ranged).withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
@@ -126,6 +133,18 @@ def positions_by_range(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     return out.withColumn("pos", (F.col("_at") + F.col("_add")).cast("long")).drop("_pid", "_mid", "_at", "_add")
 
 
+def _positions_in_blocks(df: DataFrame, blocks: Sequence[str]) -> DataFrame:
+    # one materialisation: a second scan might cut the files into other blocks
+    local = store(df.withColumn("_mid", F.monotonically_increasing_id()))
+    per = local.groupBy(*blocks).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(F.lit(0))  # one row per block of a file
+    before = whole.orderBy(*blocks).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*blocks, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_add"),
+                     F.sum("_n").over(whole).alias("group_size"))
+    out = local.join(F.broadcast(per), list(blocks))
+    return out.withColumn("pos", (F.col("_mid") + F.col("_add")).cast("long")).drop("_mid", "_add")
+
+
 def batch_numbers_scaled(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                          batch_size: int) -> DataFrame:
     """W1 for groups of any size (see ``positions_by_range``)."""

@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import (ROLLUP_MISSING_VALUES, attr_to_snake, clean_value, json_string,
-                              json_text_array, json_text_object, snake_case_combined, strip_ws)
+from ..functions.text import (JSON_ESCAPED, ROLLUP_MISSING_VALUES, attr_to_snake, clean_value, json_string,
+                              json_text_array, json_text_object, snake_case_combined, strip_odd, strip_ws)
 
 ATTR_PREFIX = "attr_"
 
@@ -65,7 +65,8 @@ def schema_master(long_df: DataFrame, group_cols: Sequence[str], order_col: str
 
 
 def shipment_attributes(rows: DataFrame, columns: Sequence[tuple[str, str]], id_col: str = "shipment_id",
-                        order_cols: Sequence[str] = ("file_ord", "ord"), product_col: str = "product") -> DataFrame:
+                        order_cols: Sequence[str] = ("file_ord", "ord"), product_col: str = "product",
+                        in_ranges: bool = False) -> DataFrame:
     """A10 + K5: per shipment, attributes merged over files: ``columns`` names
     the attribute columns of the wide ``rows`` in file order with their key
     (``snake_case_combined`` of the name); the later (file, row, column) wins;
@@ -73,18 +74,23 @@ def shipment_attributes(rows: DataFrame, columns: Sequence[tuple[str, str]], id_
     Product is the last non-empty one.
 
     One aggregation per shipment: its rows are never exploded per attribute.
-    Most shipments have few rows, so the cleaned rows are shuffled as they are
-    and sorted once; what ``max_by`` and ``min`` hold per key is wider than they."""
-    def usable(c: str) -> Column:
-        v = strip_ws(F.col(c).cast("string"))
-        return F.when(~F.lower(v).isin(ROLLUP_MISSING_VALUES), v)
+    Most shipments have few rows, so the rows are shuffled as they are, cleaned
+    and sorted once; what ``max_by`` and ``min`` hold per key is wider than they.
+    With ``in_ranges`` that shuffle deals ranges of ids, and the result stands in
+    them sorted, for sinks by id."""
+    def usable(u: str) -> Column:
+        return F.when(~F.lower(u).isin(ROLLUP_MISSING_VALUES), F.col(u))
 
     at = F.struct(*[F.col(c) for c in order_cols])
     keys = list(dict.fromkeys(k for _, k in columns if k))
     own = {k: [i for i, (_, key) in enumerate(columns) if key == k] for k in keys}
+    used = [(f"_u{i}", F.col(c).cast("string")) for i, (c, key) in enumerate(columns) if key]
     r = rows.withColumn(id_col, strip_ws(id_col)).filter(F.col(id_col) != "").select(
-        id_col, at.alias("_at"), strip_ws(product_col).alias("_prod"), *[usable(c).alias(f"_u{i}") for i, (c, key) in enumerate(columns) if key])
-    r = r.repartition(id_col)
+        id_col, at.alias("_at"), F.col(product_col).alias("_prod"), *[c.alias(u) for u, c in used])
+    # cells are cleaned after the shuffle: ranges are found by a pass over what is before it
+    r = r.repartitionByRange(id_col) if in_ranges else r.repartition(id_col)
+    r = r.select(id_col, "_at", *[strip_odd(u).alias(u) for u in ("_prod", *(u for u, _ in used))])
+    r = r.select(id_col, "_at", "_prod", *[usable(u).alias(u) for u, _ in used])
     aggs = [F.max_by("_prod", F.when(F.col("_prod") != "", F.col("_at"))).alias("_product")]
     for n, places in enumerate(own.values()):
         value = F.coalesce(*[F.col(f"_u{i}") for i in reversed(places)])
@@ -93,12 +99,21 @@ def shipment_attributes(rows: DataFrame, columns: Sequence[tuple[str, str]], id_
         aggs += [F.max_by(value, F.when(there, F.col("_at"))).alias(f"_v{n}"),
                  F.min(F.when(there, F.struct("_at", first.alias("_c")))).alias(f"_p{n}")]
     g = r.groupBy(id_col).agg(*aggs)
+    # Most shipments' keys stand in column order and their values need no escape: their text is one concatenation.
+    # The others' entries go through lambda functions, whose arguments are not compiled; compiled, they are too
+    # much code for one method, which slows all rows.
+    places = [F.col(f"_p{n}") for n in range(len(keys))]
+    simple = ~F.concat_ws("", *[F.col(f"_v{n}") for n in range(len(keys))]).rlike(JSON_ESCAPED)
+    for n in range(1, len(keys)):
+        simple = simple & F.coalesce(F.coalesce(*reversed(places[:n])) <= places[n], F.lit(True))
+    plain = F.concat_ws(", ", *[F.concat(json_string(F.lit(k)), F.lit(': "'), F.col(f"_v{n}"), F.lit('"')) for n, k in enumerate(keys)])
     # an entry's text is made here, where a key is a constant, and not per element
     entries = F.array_sort(F.filter(F.array(*[
         F.struct(F.col(f"_p{n}._at").alias("o"), F.col(f"_p{n}._c").alias("c"),
                  F.concat(json_string(F.lit(k)), F.lit(": "), json_string(f"_v{n}")).alias("t")) for n, k in enumerate(keys)]), lambda e: e["t"].isNotNull()))
-    text = F.concat(F.lit("{"), F.array_join(entries["t"], ", "), F.lit("}"))
-    return g.select(id_col, F.coalesce("_product", F.lit("")).alias(product_col), text.alias("attrs_json"))
+    text = F.concat(F.lit("{"), F.when(simple, plain).otherwise(F.array_join(entries["t"], ", ")), F.lit("}"))
+    out = g.select(id_col, F.coalesce("_product", F.lit("")).alias(product_col), text.alias("attrs_json"))
+    return out.sortWithinPartitions(id_col) if in_ranges else out
 
 
 def keyed_columns(spark, names: Sequence[str]) -> list[tuple[str, str]]:

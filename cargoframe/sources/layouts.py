@@ -18,12 +18,14 @@ from ..session import cut_lineage
 
 #: Where a row stands: the number of the part file (of files written by Spark), its path, block and row.
 PLACE = ("part_no", "file_path", "block_start", "row_no")
+#: What names a block of a file: a scan reads its rows in order and in one task.
+BLOCK = PLACE[:3]
 
 
 def place_columns() -> list[Column]:
     """The columns ``PLACE`` of a file scan; taken directly on the scan, before any shuffle."""
-    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)
-    return [F.when(part != "", part.cast("long")).otherwise(F.lit(0)).cast("long").alias("part_no"), F.col("_metadata.file_path").alias("file_path"),
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("long")
+    return [F.coalesce(part, F.lit(0)).cast("long").alias("part_no"), F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_block_start").alias("block_start"), F.monotonically_increasing_id().alias("row_no")]
 
 

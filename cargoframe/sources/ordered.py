@@ -1,7 +1,8 @@
 """Sinks whose files, read in their order, are sorted as a whole (K2, K5).
 
 Rows are dealt to ranges of the sort key and sorted within them, so part files
-follow each other in key order without any task seeing all rows.
+follow each other in key order without any task seeing all rows. Rows for several
+sinks by one key are dealt once: with ``ranged`` a sink takes them as they stand.
 """
 
 from __future__ import annotations
@@ -12,33 +13,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import json_string
-from .files import write_csv
-from .layouts import PLACE, place_columns
+from .files import compressed, write_csv
+from .layouts import BLOCK, PLACE, place_columns
 
 
 def in_ranges(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     return df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
 
 
-def write_sorted_csv(df: DataFrame, path: str, order_cols: Sequence[str], partition_by: Sequence[str] = (), drop: Sequence[str] = ()) -> None:
+def write_sorted_csv(df: DataFrame, path: str, order_cols: Sequence[str], partition_by: Sequence[str] = (), drop: Sequence[str] = (),
+                     ranged: bool = False, compression: str = "none") -> None:
     """CSV whose part files, in the order of their numbers, hold the rows by
     ``order_cols``; with ``partition_by``, so does every folder. ``drop`` names
     columns that only give the order."""
-    write_csv(in_ranges(df, [*partition_by, *order_cols]).drop(*drop), path, partition_by=partition_by)
+    df = df if ranged else in_ranges(df, [*partition_by, *order_cols])
+    write_csv(df.drop(*drop), path, partition_by=partition_by, compression=compression)
 
 
-def write_json_object(df: DataFrame, path: str, key_col: str, json_col: str) -> None:
+def write_json_object(df: DataFrame, path: str, key_col: str, json_col: str, ranged: bool = False, compression: str = "none") -> None:
     """One JSON object ``{key: json, …}`` over all part files, by key; each row is
     a line, and only the least and the greatest key (two scalars) decide where
     the braces go. Keys are unique and not NULL; no rows give ``{}``."""
     low, high = df.agg(F.min(key_col), F.max(key_col)).first()
     if low is None:
-        df.sparkSession.range(1).select(F.lit("{}").alias("value")).coalesce(1).write.mode("overwrite").text(path)
+        none = df.sparkSession.range(1).select(F.lit("{}").alias("value")).coalesce(1)
+        compressed(none.write.mode("overwrite"), compression).text(path)
         return
     k = F.col(key_col)
     line = F.concat(F.when(k == F.lit(low), F.lit("{")).otherwise(F.lit("")), json_string(k.cast("string")), F.lit(": "), F.col(json_col),
                     F.when(k == F.lit(high), F.lit("}")).otherwise(F.lit(",")))
-    in_ranges(df.select(key_col, line.alias("value")), [key_col]).select("value").write.mode("overwrite").text(path)
+    lines = df.select(key_col, line.alias("value"))
+    lines = lines if ranged else in_ranges(lines, [key_col])
+    compressed(lines.select("value").write.mode("overwrite"), compression).text(path)
 
 
 def write_classification_object(rows: DataFrame, path: str) -> None:
@@ -87,4 +93,4 @@ def read_sorted_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("*", *place_columns())
 
 
-__all__ = ["PLACE", "in_ranges", "read_lines", "read_sorted_csv", "write_classification_object", "write_json_object", "write_sorted_csv"]
+__all__ = ["BLOCK", "PLACE", "in_ranges", "read_lines", "read_sorted_csv", "write_classification_object", "write_json_object", "write_sorted_csv"]

@@ -3,6 +3,8 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from cargoframe.operators import labels as L
+from cargoframe.session import cut_lineage
 from cargoframe.sources import files as FS
 from cargoframe.sources import fixtures as FX
 from cargoframe.sources import layouts as LY
@@ -133,3 +135,53 @@ def test_classification_object_is_one_document(spark):
     assert len(files) > 2 and json.loads("".join(open(f).read() for f in files)) == want
     OR.write_classification_object(df.limit(0), base + "/none")
     assert json.loads("".join(open(f).read() for f in glob.glob(base + "/none/part-*"))) == {}
+
+
+def test_sinks_by_one_key_share_ranges_and_are_numbered_where_they_are_read(spark):
+    """Rows dealt to ranges once are written by both sinks without another
+    exchange, as small files, and read back in order without one."""
+    import glob
+    import gzip
+    import json
+    base = tempfile.mkdtemp(prefix="cf-rng-")
+    rows = [(f"id {i * 7919 % 5000:05}", 'P "x", y' if i % 3 else None, json.dumps({"k": i, 'q"': "same text in all rows " * 4})) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id string, product string, j string").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = cut_lineage(OR.in_ranges(df, ["id"]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.sparkContext.setJobGroup("sinks", "ranged")
+    OR.write_sorted_csv(ranged, base + "/csv", ["id"], ranged=True, compression="gzip")
+    OR.write_json_object(ranged, base + "/json", "id", "j", ranged=True, compression="gzip")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("sinks")]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(stages) <= 4 and max(stages) <= 2  # two writes and the least and greatest id: no job with an exchange of rows
+    files = {k: sorted(glob.glob(f"{base}/{k}/part-*.gz")) for k in ("csv", "json")}
+    assert all(len(f) > 3 for f in files.values())
+    want = sorted(rows)
+    assert list(json.loads("".join(gzip.open(f, "rt").read() for f in files["json"])).items()) == [(k, json.loads(v)) for k, _, v in want]
+    csv = L.positions_by_range(OR.read_sorted_csv(spark, base + "/csv"), [], list(OR.PLACE), list(OR.BLOCK))
+    lines = L.positions_by_range(OR.read_lines(spark, base + "/json"), [], list(OR.PLACE), list(OR.BLOCK))
+    for got in (csv, lines):
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression" not in plan and "LogicalRDD" not in plan
+    assert [tuple(r) for r in csv.orderBy("pos").select("pos", "id", "product", "j", "group_size").collect()] == [(i, *r, 3000) for i, r in enumerate(want)]
+    text = [r.line for r in lines.orderBy("pos").collect()]
+    assert "\n".join(text) == "".join(gzip.open(f, "rt").read() for f in files["json"]).rstrip("\n")
+
+
+def test_positions_in_blocks_of_split_files(spark):
+    """Files cut into several blocks, and several files in one task."""
+    base = tempfile.mkdtemp(prefix="cf-blk-")
+    spark.range(5000).select(F.format_string("%05d", "id").alias("value")).repartitionByRange(3, "value").sortWithinPartitions("value").write.text(base + "/t")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        got = L.positions_by_range(OR.read_lines(spark, base + "/t"), [], list(OR.PLACE), list(OR.BLOCK)).select("pos", "line", "block_start", "group_size").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r.pos, r.line) for r in got) == [(i, f"{i:05}") for i in range(5000)]
+    assert len({r.block_start for r in got}) > 2 and {r.group_size for r in got} == {5000}
+    OR.write_sorted_csv(spark.range(0).select(F.col("id").cast("string")), base + "/none", ["id"])
+    assert L.positions_by_range(OR.read_sorted_csv(spark, base + "/none"), [], list(OR.PLACE), list(OR.BLOCK)).count() == 0
